@@ -1,9 +1,13 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
+from .language_id import op10_language_id
+from .quality import op4_quality_rules
 from .token_records import op9_token_records
 
 QUERIES = {
+    "op4_quality_rules": op4_quality_rules,
     "op9_token_records": op9_token_records,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {}
