@@ -2,9 +2,11 @@
 
 from .language_id import op10_language_id
 from .quality import op4_quality_rules
+from .simhash import op3_simhash
 from .token_records import op9_token_records
 
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op9_token_records": op9_token_records,
     "op10_language_id": op10_language_id,

@@ -224,7 +224,8 @@ def read_records(spark: SparkSession, path: str, index: DataFrame, split_bytes:
     runs = index.groupBy("shard", "shard_no", F.floor(F.col("offset") / split_bytes).alias("run")).agg(
         F.min("offset").alias("at"), F.sum("n_bytes").alias("n_bytes"), F.min("ordinal").alias("first"), F.count("*").alias("n")
     )
-    return runs.repartition(F.xxhash64("shard", "run")).mapInPandas(read, out)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return runs.repartition(tasks, F.xxhash64("shard", "run")).mapInPandas(read, out)
 
 
 def token_layout(records: DataFrame) -> DataFrame:
