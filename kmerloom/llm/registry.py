@@ -1,5 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
+from .html_text import op5_html_text
 from .language_id import op10_language_id
 from .mixing import op7_mixing
 from .quality import op4_quality_rules
@@ -9,6 +10,7 @@ from .token_records import op9_token_records
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
+    "op5_html_text": op5_html_text,
     "op7_mixing": op7_mixing,
     "op9_token_records": op9_token_records,
     "op10_language_id": op10_language_id,
