@@ -1,5 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
+from .embedding_dedup import op1_embedding_dedup
 from .html_text import op5_html_text
 from .language_id import op10_language_id
 from .mixing import op7_mixing
@@ -8,6 +9,7 @@ from .simhash import op3_simhash
 from .token_records import op9_token_records
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op5_html_text": op5_html_text,
