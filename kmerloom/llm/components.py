@@ -35,7 +35,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
     found = hangs[0]
     for hang in hangs[1:]:
-        found = found.join(hang.withColumnsRenamed({"node": "root", "root": "higher"}), "root", "left").select("node", F.coalesce("higher", "root").alias("root"))
+        found = found.join(hang.select(F.col("node").alias("root"), F.col("root").alias("higher")), "root", "left").select("node", F.coalesce("higher", "root").alias("root"))
     return found
 
 
