@@ -149,7 +149,8 @@ def mix_slots(spark: SparkSession, plans: list[SourcePlan], shards: int = SHARDS
                         block[turn == t] = permuted(k[turn == t] % blocks[s], blocks[s], f"{seed}/{s}/{t}")
                     yield pd.DataFrame({"shard": shard, "source_no": s, "block": block, "pass_no": turn})
 
-    return spark.range(shards).repartition(min(shards, max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))), "id").mapInPandas(run, "shard long, source_no int, block long, pass_no long")
+    # Spark takes this table for as small as its one row per shard; it must not be broadcast.
+    return spark.range(shards).repartition(min(shards, max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))), "id").mapInPandas(run, "shard long, source_no int, block long, pass_no long").hint("shuffle_merge")
 
 
 def placed(sized: DataFrame, plans: list[SourcePlan], row: tuple[str, ...]) -> DataFrame:
