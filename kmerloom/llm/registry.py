@@ -6,10 +6,12 @@ from .language_id import op10_language_id
 from .mixing import op7_mixing
 from .quality import op4_quality_rules
 from .simhash import op3_simhash
+from .suffix_dedup import op2_suffix_dedup
 from .token_records import op9_token_records
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op5_html_text": op5_html_text,
