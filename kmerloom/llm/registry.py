@@ -4,6 +4,7 @@ from .embedding_dedup import op1_embedding_dedup
 from .html_text import op5_html_text
 from .language_id import op10_language_id
 from .mixing import op7_mixing
+from .pii import op6_pii_surrogates
 from .quality import op4_quality_rules
 from .simhash import op3_simhash
 from .suffix_dedup import op2_suffix_dedup
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op5_html_text": op5_html_text,
+    "op6_pii_surrogates": op6_pii_surrogates,
     "op7_mixing": op7_mixing,
     "op9_token_records": op9_token_records,
     "op10_language_id": op10_language_id,
