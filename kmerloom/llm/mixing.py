@@ -201,9 +201,12 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     space between them; a wholly taken document keeps its exact text. ``n_chars`` is that of the new text.
     """
     spark = docs.sparkSession
-    sized = docs.withColumn("size", word_count(F.col("text"))).withColumn("row", F.monotonically_increasing_id())
-    sized = common.written(sized, "rows")
-    narrow = sized.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "size")
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.struct(*map(common.column, docs.columns)).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
+    )
+    rows = common.written(rows, "rows")
+    narrow = rows.select("row", "doc_id", "source", "size")
     plans = plan_sources(narrow, block_words)
     pieces = document_blocks(placed(narrow, plans, ("row",)), block_words).select("row", "source_no", "block", "first_word", "words")
     taken = pieces.join(mix_slots(spark, plans), ["source_no", "block"])
@@ -211,14 +214,17 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, parts: pd.Series) -> pd.Series:
-        return pd.Series([cut_words(t, [(p["first_word"], p["words"]) for p in ps]) for t, ps in zip(texts, parts, strict=True)])
-
-    joined = sized.join(passes, "row")
-    whole = F.col("words") == F.col("size")
-    names = docs.columns
-    kept = joined.where(whole).select(*names)
-    part = joined.where(~whole).withColumn("text", cut("text", "parts")).withColumn("n_chars", F.length("text").cast("long")).select(*names)
-    return kept.unionByName(part)
+        return pd.Series([None if t is None else cut_words(t, [(p["first_word"], p["words"]) for p in ps]) for t, ps in zip(texts, parts, strict=True)], dtype=object)
+
+    joined = rows.select("row", "doc", "size").join(passes, "row")
+    whole, text = F.col("words") == F.col("size"), F.col("doc")["text"].cast("string")
+    # Wholly taken documents do not go to Python.
+    joined = joined.withColumn("new", F.when(whole, text).otherwise(cut(F.when(~whole, text), F.col("parts"))))
+    out = []
+    for field in docs.schema:
+        value = {"text": F.col("new"), "n_chars": F.length("new").cast(field.dataType)}.get(field.name.lower(), F.col("doc")[field.name])
+        out.append(value.alias(field.name))
+    return joined.select(*out)
 
 
 def cut_words(text: str, parts: list[tuple[int, int]]) -> str:

@@ -6,6 +6,7 @@ from .language_id import op10_language_id
 from .mixing import op7_mixing
 from .pii import op6_pii_surrogates
 from .quality import op4_quality_rules
+from .sentencepieces import op8_sentencepieces
 from .simhash import op3_simhash
 from .suffix_dedup import op2_suffix_dedup
 from .token_records import op9_token_records
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_html_text": op5_html_text,
     "op6_pii_surrogates": op6_pii_surrogates,
     "op7_mixing": op7_mixing,
+    "op8_sentencepieces": op8_sentencepieces,
     "op9_token_records": op9_token_records,
     "op10_language_id": op10_language_id,
 }

@@ -195,15 +195,19 @@ def fingerprint_links(distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long")
 
 
+def _classes(prints: DataFrame, chunk: int) -> DataFrame:
+    """``(fp, first, root)``: of each fingerprint its smallest doc_id, and one fingerprint of its component."""
+    distinct = common.written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    roots = connected_components(fingerprint_links(distinct, chunk))
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """``(doc_id, fp, component_id)`` for every row of ``docs (doc_id, text)``."""
     prints = common.written(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("doc_id", "fp"), "prints")
-    distinct = common.written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = connected_components(fingerprint_links(distinct, chunk))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _classes(prints, chunk)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,12 +216,19 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """One row of each component, that of its smallest doc_id, with the columns of ``docs``.
 
-    Rows that repeat a doc_id are one document: the first by text stays. Rows without a doc_id stay if no other row of
-    their component has one.
+    A component without any doc_id keeps a row of its smallest fingerprint. Rows that repeat doc_id and fingerprint are
+    one document.
     """
-    found = simhash_components(docs)
-    ids = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    names = [common.column(c) for c in docs.columns]
+    rows = docs.select(F.struct(*names).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = common.written(fingerprints(rows).drop("text"), "rows")
+    prints = rows.select("doc_id", "fp")
+    best = F.min(F.struct(F.col("first").isNull().alias("no_id"), F.col("first"), F.col("fp").alias("best_fp"))).alias("best")
+    winners = _classes(prints, chunk).groupBy("root").agg(best).select("best.first", "best.best_fp")
+    kept = rows.join(winners, (F.col("fp") == F.col("best_fp")) & F.col("doc_id").eqNullSafe(F.col("first")))
+    if prints.groupBy("doc_id", "fp").count().where("count > 1").limit(1).collect():
+        kept = kept.dropDuplicates(["doc_id", "fp"])
+    return kept.select("doc.*")
