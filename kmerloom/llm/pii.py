@@ -226,7 +226,7 @@ def replace_entities(docs: DataFrame, secret: bytes = DEFAULT_KEY) -> DataFrame:
     hit = common.written(searched.where(F.size(found) > 0).withColumn(row, F.monotonically_increasing_id()), "hit")
     mentions = hit.select(F.col(row).alias("row"), F.explode(found).alias("m")).select("row", "m.*")
     known = mentions.join(assign(mentions, secret), ["kind", "key"])
-    gathered = known.groupBy("row").agg(F.collect_list(F.struct("start", "end", "kind", "surrogate")).alias(parts))
+    gathered = known.groupBy(F.col("row").alias(f"{row}_of")).agg(F.collect_list(F.struct("start", "end", "kind", "surrogate")).alias(parts))
 
     @F.pandas_udf("string")
     def splice(texts: pd.Series, lists: pd.Series) -> pd.Series:
@@ -239,7 +239,7 @@ def replace_entities(docs: DataFrame, secret: bytes = DEFAULT_KEY) -> DataFrame:
             out.append("".join([*done, text[at:]]))
         return pd.Series(out, dtype=object)
 
-    changed = hit.join(gathered, F.col(row) == F.col("row")).withColumn("text", splice(F.col("text").cast("string"), parts)).withColumn("n_entities", F.size(parts).cast("long"))
+    changed = hit.join(gathered, F.col(row) == F.col(f"{row}_of")).withColumn("text", splice(F.col("text").cast("string"), parts)).withColumn("n_entities", F.size(parts).cast("long"))
     for name in docs.columns:
         if name.lower() == "n_chars":
             changed = changed.withColumn(name, F.length("text").cast(docs.schema[name].dataType))

@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -200,7 +201,6 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
 
 def decode_ids(rows: DataFrame, path: str) -> DataFrame:
     """``rows`` with ``text``, decoded from ``ids``; null ids give null."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -1,0 +1,152 @@
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from kmerloom.llm import html_text, language_id, pii, quality
+
+WORDS = {"en": "the of and that with from this when house water light under".split(), "de": "der die und nicht mit eine auf Haus Wasser Licht unter über".split()}
+
+
+def prose(rng, lang, n):
+    return " ".join(rng.choices(WORDS[lang], k=n))
+
+
+# Quality.
+
+
+def brute_counts(text):
+    text = text or ""
+    space = " \t\n\x0b\x0c\r"
+    words, word = [], ""
+    for c in text + " ":
+        if c in space:
+            words += [word] if word else []
+            word = ""
+        else:
+            word += c
+    lines, seen, dup = text.split("\n"), set(), 0
+    for line in lines:
+        if any(c not in space for c in line):
+            dup += line in seen
+            seen.add(line)
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    often = Counter(windows)
+    covered = {j for i, w in enumerate(windows) if often[w] > 1 for j in range(i, i + 5)}
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered)
+
+
+def test_base_counts():
+    rng = random.Random(2)
+    texts = ["", " ", "a", "a b c d e a b c d e", "x\n\nx\n x\nx", "é ü #|<", "a\x1cb\x85c", "a b c d e f " * 30]
+    texts += ["".join(rng.choices("ab \n\t#é", k=rng.randint(0, 200))) for _ in range(200)]
+    for t in texts:
+        data = t.encode()
+        assert quality.base_counts(t, data.split(), len(data)) == brute_counts(t), repr(t)
+
+
+def test_quality(spark, docs):
+    rng = random.Random(3)
+    rows, labels = [], []
+    for k in range(200):
+        good = k % 3 > 0
+        rows.append((k, prose(rng, "en", 60) if good else " ".join(w.upper() + "!!" for w in prose(rng, "en", 60).split()), "en", None, 1))
+        if k % 2:
+            labels.append((k, int(good)))
+    rows += [(500, None, None, None, None), (501, "a " * 50, None, None, None), (0, rows[0][1], None, None, None)]
+    labels += [(None, 1), (3, None), (9999, 0), (5, 7)]
+    df = docs(rows).withColumn("kept", F.lit("x")).withColumn("N_Words", F.lit(1))
+    model = quality.fit_quality(df, spark.createDataFrame(labels, "doc_id long, quality int"))
+    got = {r["doc_id"]: r for r in quality.score_quality(df, model).collect()}
+    wrong = sum(got[k]["kept"] != (k % 3 > 0) for k in range(0, 200, 2))
+    assert wrong == 0
+    assert not got[500]["kept"] and got[500]["base_failed"] and not got[501]["kept"]
+    kept = quality.keep_quality(docs(rows), spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert kept.columns == docs(rows).columns
+    assert quality.fit_quality(df, spark.createDataFrame([], "doc_id long, quality int")).weights is None
+    assert quality.score_quality(docs([]), model).count() == 0
+
+
+# Languages.
+
+
+def test_languages(spark, docs):
+    rng = random.Random(4)
+    rows = [(k, prose(rng, ("en", "de")[k % 2], 30), ("en", "de")[k % 2], None, 1) for k in range(120)]
+    rows += [(500, None, "en", None, 1), (501, "123 !!", "de", None, 1), (502, prose(rng, "de", 5), None, None, 1), (None, prose(rng, "en", 9), "xx", None, 1), (503, "", "en", None, 1)]
+    df = docs(rows).withColumn("score", F.lit("x"))
+    model = language_id.fit_language(df)
+    assert model.languages == ["de", "en"]
+    got = {r["doc_id"]: r for r in language_id.predict_language(df, model).collect()}
+    assert all(got[k]["lang_pred"] == ("en", "de")[k % 2] for k in range(120))
+    assert [got[k]["lang_pred"] for k in (500, 501, 502, None, 503)] == ["und", "und", "de", "en", "und"]
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    assert language_id.fit_language(docs([])).predict("abc") == ("und", 0.0)
+
+
+def test_held_out_accuracy(spark, sf):
+    truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    held = [r for r in language_id.op10_language_id(spark, sf).collect() if r["held_out"]]
+    assert len(held) > 20 and sum(truth[r["doc_id"]] == r["lang_pred"] for r in held) >= 0.95 * len(held)
+
+
+# Personal data.
+
+MAIL = "Write to Anna.99@Mail7.example.com, or call +1 (017) 555-7713 190.137.223.204 now. Card 4111 1111 1111 1111; token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\". Ms Maria Schmidt met Mr. Jones. Version 4.0 of 2024, 12 items."
+
+
+def test_entities():
+    kinds = [(k, MAIL[s:e]) for s, e, k, _ in pii.find_entities(MAIL)]
+    assert kinds == [
+        ("email", "Anna.99@Mail7.example.com"), ("phone", "+1 (017) 555-7713"), ("ip", "190.137.223.204"), ("card", "4111 1111 1111 1111"),
+        ("secret", "04dbebab91ab85687d33eeaaf9ac699e1188f962"), ("given_f_latin", "Maria"), ("surname_latin", "Schmidt"), ("surname_latin", "Jones"),
+    ]
+    for clean in ("Licensed under CC BY-NC 4.0.", "v1.2.3.4.5", "300.1.2.3", "It cost 1999 in 2024.", "", None):
+        assert pii.find_entities(clean) == []
+
+
+def test_surrogates(spark, docs):
+    rows = [(1, MAIL), (2, "ANNA.99@MAIL7.EXAMPLE.COM and 4111-1111-1111-1111 by Dr Schmidt"), (3, "nothing here"), (4, None), (5, "ip 1.2.3.4, 1.2.3.5"), (5, "ip 1.2.3.4, 1.2.3.5")]
+    df = docs([(i, t, None, None, 7) for i, t in rows]).withColumn("found", F.lit("z")).withColumn("row", F.lit(1))
+    out = pii.replace_entities(df)
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert out.columns == [*df.columns, "n_entities"] and out.count() == 6
+    assert got[3]["text"] == "nothing here" and got[4]["text"] is None and got[3]["n_chars"] == 7
+    assert got[1]["n_chars"] == len(got[1]["text"])
+    for i, t in rows[:2]:
+        for s, e, _, _ in pii.find_entities(t):
+            assert t[s:e] not in got[i]["text"]
+    found = {k: got[1]["text"][s:e] for s, e, k, _ in pii.find_entities(got[1]["text"])}
+    assert set(found) >= {"email", "phone", "ip", "card", "secret"}
+    assert found["email"].upper() in got[2]["text"]
+    digits = "".join(c for c in found["card"] if c.isdigit())
+    assert pii.luhn(digits) and f"{digits[:4]}-{digits[4:8]}" in got[2]["text"]
+    name = got[1]["text"].split("Ms ")[1].split()[:2]
+    assert name[0] in pii.GIVEN["f", "latin"] and got[2]["text"].endswith("Dr " + name[1])
+
+
+def test_surrogates_stay_distinct(spark):
+    keys = [("given_f_latin", f"name{k}") for k in range(150)] + [("ip", f"1.1.1.{k}") for k in range(50)]
+    rows = pii.assign(spark.createDataFrame(keys, "kind string, key string")).collect()
+    assert len(rows) == len(keys) == len({(r["kind"], r["surrogate"]) for r in rows})
+    assert not {(r["kind"], r["surrogate"]) for r in rows} & set(keys)
+
+
+# Pages.
+
+
+def page(body, nav="<nav><ul><li>Home<li>Shop</ul></nav>"):
+    return f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t='</p>';</script></head><body>{nav}<div class='box'><p>Follow us on Example &amp; more</p></div>{body}<footer>&copy; X</footer></body></html>"
+
+
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_pages(spark, broadcast_rows):
+    rows = [(k, f"http://a.example/{k}", page(f"<h1>Title {k}</h1><p>Some&nbsp;&lt;b&gt; text\n number {k}<p><b>bold {k}<br>next</p><div class='comments'><p>c{k}</p></div>")) for k in range(12)]
+    rows += [(50, "http://b.example/x", page("<article><h1>A</h1><p>One</p><aside>no</aside><ul><li>x<li>y</ul></article><p>out</p>")), (51, None, None), (52, "nohost", ""), (53, "http://c.example", "<p>open &am"), (54, "http://c.example", "plain < text")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("old"))
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(df, broadcast_rows=broadcast_rows).collect()}
+    assert got[3] == "Title 3\nSome <b> text number 3\nbold 3 next"
+    assert got[50] == "A\nOne\nx\ny"
+    assert got[51] == got[52] == "" and got[53] == "open &am" and got[54] == "plain < text"
+    assert html_text.extract_text(df.where("false")).count() == 0
