@@ -19,7 +19,11 @@ def lenient_number(text: Column) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
-@F.pandas_udf("string")
-def six_digits(values: pd.Series) -> pd.Series:
+def six_digits(values: Column | str) -> Column:
     """Six significant digits, without padding; only used on small, final tables."""
-    return values.map(lambda v: None if pd.isna(v) else f"{v:.6g}")
+
+    @F.pandas_udf("string")
+    def run(numbers: pd.Series) -> pd.Series:
+        return numbers.map(lambda v: None if pd.isna(v) else f"{v:.6g}")
+
+    return run(values)

@@ -61,7 +61,7 @@ def _cut_cycles(nodes: DataFrame, chain: DataFrame) -> DataFrame:
     """``(v, prev)`` of the links of ``chain``, without those that close a cycle.
 
     A node on a cycle never comes to a first node: walking back by doubling, it sees the smallest k-mer of the cycle, in
-    either orientation; the link into that k-mer goes.
+    either orientation; the link into that k-mer goes, or out of its reverse complement.
     """
     walk = nodes.join(chain.select(F.col("v").alias("u"), F.col("u").alias("prev")), "u", "left")
     walk = walk.select(F.col("u").alias("node"), "prev", F.least("u", reverse_complement(F.col("u"))).alias("least"))
@@ -76,5 +76,7 @@ def _cut_cycles(nodes: DataFrame, chain: DataFrame) -> DataFrame:
             break
         open_, steps = left, steps * 2
     cyclic = walk.where("prev is not null").select(F.col("node").alias("v"), "least")
-    smallest = cyclic.where(F.col("least") == F.least("v", reverse_complement(F.col("v")))).select("v")
-    return chain.join(smallest, "v", "left_anti").select("v", F.col("u").alias("prev"))
+    # On the other strand the cycle is cut behind it, so that both strands spell the same contig.
+    first = cyclic.where(F.col("least") == F.col("v")).select("v")
+    last = cyclic.where((F.col("least") != F.col("v")) & (F.col("least") == reverse_complement(F.col("v")))).select(F.col("v").alias("u"))
+    return chain.join(first, "v", "left_anti").join(last, "u", "left_anti").select("v", F.col("u").alias("prev"))
