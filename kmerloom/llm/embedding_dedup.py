@@ -227,4 +227,4 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, block
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and verdict of every vector."""
     found = embedding_components(common.read_table(spark, sf_dir, "embeddings"))
-    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -30,6 +30,10 @@ PER_LANGUAGE = 1000
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def text_slots(text: str) -> tuple[np.ndarray, np.ndarray]:
     return counted(char_slots(text.lower(), SIZES, BITS), BITS)
 
@@ -48,7 +52,7 @@ class LanguageModel:
         return (value / norm) @ self.weights[at] + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return "und", 0.0
         s = self.scores(*text_slots(text)) / self.temperature
         p = np.exp(s - s.max())
@@ -125,7 +129,7 @@ def fit_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageM
         for pdf in batches:
             rows = []
             for doc_id, text, lang in pdf.itertuples(index=False):
-                if LETTER.search(text):
+                if has_letter(text):
                     at, n = text_slots(text)
                     rows.append((doc_id, lang, at.astype("<u2").tobytes(), n.astype("<u4").tobytes()))
             yield pd.DataFrame(rows, columns=["doc_id", "lang", "at", "n"])
