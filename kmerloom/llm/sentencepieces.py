@@ -35,7 +35,7 @@ UNKNOWN_PENALTY = 10.0
 class PieceModel:
     """The pieces of a model file, and encoding and decoding by them."""
 
-    def __init__(self, path: str, memo: int = 800_000) -> None:
+    def __init__(self, path: str, memo: int = 200_000) -> None:
         import ahocorasick
         import sentencepiece
 
@@ -182,6 +182,8 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
+        # Workers outlive tasks; what the last task has met does not stay in their memory.
+        model.memo.clear()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -194,6 +196,7 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
                 gaps = np.array([i is None for i in ids] + [False])
                 lists = pa.ListArray.from_arrays(pa.array(offsets, mask=gaps) if gaps.any() else pa.array(offsets), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([part.column(0), counts, lists, pa.array(same, pa.bool_())], schema=schema)
+        model.memo.clear()
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return picked.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
