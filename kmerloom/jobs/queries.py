@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parsing, sequences, signatures, statistics
 from ..operators import assembly, counting, lookup, matrix, presence, report
+from ..sources import manifest
 from ..sources.reads import document_reads
 from ..streaming import cohort
 
@@ -176,6 +177,12 @@ def kmer_right_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.right_counts(counting.universe(counts), counts.where("sample = 'en-src0'"))
 
 
+@query(f"WITH {_counts()} SELECT u.kmer, s.sample, coalesce(c.cnt, 1) AS cnt FROM (SELECT DISTINCT kmer FROM counts) u CROSS JOIN (SELECT DISTINCT sample FROM reads) s LEFT JOIN counts c ON c.kmer = u.kmer AND c.sample = s.sample")
+def kmer_right_count_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sample as ``kmer_right_count`` has one."""
+    return matrix.right_counts(_sample_counts(spark, sf_dir), manifest.sample_order(document_reads(spark, sf_dir)))
+
+
 @query(f"WITH {_counts()} SELECT DISTINCT kmer, CAST(1 AS BIGINT) AS cnt FROM counts")
 def kmer_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.compact(_sample_counts(spark, sf_dir))
@@ -199,6 +206,18 @@ def count_matrix_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.count_matrix(counts.where(F.col("sample").isin(_SOURCES)), _SOURCES)
 
 
+@query(
+    f"WITH {_counts(5)}, samples AS (SELECT DISTINCT grp, sample, [CASE WHEN regexp_matches(p, '[0-9]') THEN {{'kind': 1, 'n': CAST(p AS BIGINT), 's': ''}} ELSE {{'kind': 0, 'n': CAST(0 AS BIGINT), 's': p}} END"
+    " FOR p IN regexp_extract_all(sample, '[0-9]+|[^0-9]+')] AS natural_key FROM reads),"
+    " cells AS (SELECT u.kmer, s.grp, s.natural_key, coalesce(c.cnt, 0) AS cnt FROM (SELECT DISTINCT kmer FROM counts) u CROSS JOIN samples s LEFT JOIN counts c ON c.kmer = u.kmer AND c.sample = s.sample)"
+    " SELECT kmer, string_agg(CAST(cnt AS VARCHAR), chr(9) ORDER BY grp, natural_key) AS cells FROM cells GROUP BY kmer"
+)
+def count_matrix_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All samples, as lines of a matrix file: group 1 first, each group in natural order."""
+    samples = manifest.sample_order(document_reads(spark, sf_dir))
+    return matrix.count_arrays(_sample_counts(spark, sf_dir, 5), samples).select("kmer", F.array_join(F.col("counts").cast("array<string>"), "\t").alias("cells"))
+
+
 @query(
     "WITH n AS (SELECT n_nationkey FROM nation), t AS (SELECT l_partkey, c_nationkey, count(*) AS cnt FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"
     " SELECT l_partkey, " + ", ".join(f"coalesce(max(cnt) FILTER (c_nationkey = {i}), 0) AS n{i}" for i in range(25)) + " FROM t GROUP BY l_partkey"

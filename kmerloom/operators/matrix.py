@@ -14,6 +14,22 @@ def count_matrix(counts: DataFrame, samples: list[str], missing: int = 0) -> Dat
     return wide.na.fill(missing, samples)
 
 
+def count_arrays(counts: DataFrame, samples: list[str], missing: int = 0) -> DataFrame:
+    """``(kmer, counts)``: one array per k-mer with the counts of all samples in the given order, in a single shuffle.
+
+    Arrays hold any number of samples and any names, where columns do not.
+    """
+    wide = counts.groupBy("kmer").pivot("sample", samples).agg(F.first("cnt"))
+    cells = [F.coalesce(F.col("`" + s.replace("`", "``") + "`"), F.lit(missing).cast("long")) for s in samples]
+    return wide.select("kmer", F.array(*cells).alias("counts"))
+
+
+def right_counts(counts: DataFrame, samples: list[str], missing: int = 1) -> DataFrame:
+    """``(kmer, sample, cnt)``: each k-mer of any sample for every one of ``samples``, with its count there or ``missing``."""
+    cells = count_arrays(counts, samples, missing).select("kmer", F.posexplode("counts").alias("at", "cnt"))
+    return cells.select("kmer", F.get(F.array(*map(F.lit, samples)), F.col("at")).alias("sample"), "cnt")
+
+
 def read_matrix(lines: DataFrame, samples: list[str]) -> DataFrame:
     """``(kmer, sample, cnt)`` from tab-separated lines ``value``; cells are parsed leniently, short rows have fewer cells."""
     cells = F.split("value", "\t", -1)
