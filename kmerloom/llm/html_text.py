@@ -1,12 +1,13 @@
 """Main text of web pages by site template removal.
 
 Pages are cut into element trees. Every element subtree gets a hash of its tags, attributes and text; Spark counts, for
-each host, on how many pages each hash stands. Subtrees that recur on many pages of their host are its template and are
-deleted; so are elements that are never article text (navigation, forms, scripts, adverts, notices, reader comments, by
+each host, on how many different pages each hash stands. Pages of a host with the same main part, templates included, are
+copies and count once. Subtrees on ``MIN_PAGES`` pages, however many the host has, are its template and are deleted; so are elements that are never article text (navigation, forms, scripts, adverts, notices, reader comments, by
 tag, role, class or id). What is left of the page's article, or of its body where it marks no article, is the text.
 
 Inside a marked article a recurring block of plain text (paragraph, heading, list item, table cell) stays: passages that
-articles share are text. Elsewhere it goes.
+articles share are text. Elsewhere it goes. What is the article itself stays too, though others share it: a recurring
+subtree with half of the article's text or more, and everything where deletion would leave headings only.
 
 The deletion set is broadcast while it has at most ``BROADCAST_ROWS`` rows; beyond that it is joined to the pages by
 element.
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 from . import common
 
 MIN_PAGES = 5
-MIN_SHARE = 0.02
 BROADCAST_ROWS = 200_000
 
 # Element names of the HTML standard.
@@ -40,6 +40,7 @@ BLOCKS = frozenset(
     " head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt td th tr pre blockquote figcaption caption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 NOT_TEXT = frozenset(
     "head script style noscript template iframe object embed svg canvas audio video nav footer aside form button input select"
     " option textarea label fieldset dialog menu title".split()
@@ -149,9 +150,36 @@ def subtree_hashes(root: Node) -> Iterator[tuple[int, Node, bool]]:
     yield from walk(root, False)
 
 
+def descendants(node: Node) -> Iterator[Node]:
+    """An element and all elements in it."""
+    yield node
+    for child in node.children:
+        if isinstance(child, Node):
+            yield from descendants(child)
+
+
 def main_text(root: Node, deleted: set[int]) -> str:
     """The blocks of the article, or of the page where none is marked, without ``deleted`` and what is not text."""
     gone = {id(node) for h, node, _ in subtree_hashes(root) if h in deleted} if deleted else set()
+    kept: set[int] = set()
+
+    def length(node: Node, heads: bool = True, cut: bool = False) -> int:
+        """Letters of an element's text, without headings or without what is deleted."""
+        n = 0
+        for child in node.children:
+            if not isinstance(child, Node):
+                n += sum(map(len, child.split()))
+            elif not not_text(child) and (heads or child.tag not in HEADINGS) and not (cut and id(child) in gone):
+                n += length(child, heads, cut)
+        return n
+
+    def keep_main(node: Node, least: float) -> None:
+        for child in node.children:
+            if isinstance(child, Node) and not not_text(child):
+                if id(child) in gone and 2 * length(child) >= least:
+                    kept.update(map(id, descendants(child)))
+                elif id(child) not in gone:
+                    keep_main(child, least)
 
     def find(node: Node, tags: tuple[str, ...]) -> Iterator[Node]:
         for child in node.children:
@@ -183,7 +211,13 @@ def main_text(root: Node, deleted: set[int]) -> str:
                 else:
                     walk(child)
 
-    for top in list(find(root, ("article",))) or list(find(root, ("main",))) or [root]:
+    marked = list(find(root, ("article",))) or list(find(root, ("main",)))
+    for top in marked if gone else ():
+        keep_main(top, max(length(top), 1))
+        if length(top, False) and not length(top, False, True):
+            kept.update(map(id, descendants(top)))
+    gone -= kept
+    for top in marked or [root]:
         walk(top)
         flush()
     return "\n".join(blocks)
@@ -201,30 +235,37 @@ def _host(url) -> F.Column:
     return F.lower(F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), HOST, 1))
 
 
-def subtree_counts(pages: DataFrame) -> DataFrame:
-    """``(host, subtree, n_pages)``: a page counts once for each subtree; tasks sum before the shuffle."""
+def subtree_counts(pages: DataFrame, enough: int = MIN_PAGES) -> DataFrame:
+    """``(host, subtree, n_pages)``: different pages with each subtree, told apart by their main parts.
+
+    A batch names at most ``enough`` pages of each subtree: counts below ``enough`` are exact, others are ``enough`` or more.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
+            found: dict[tuple[str, int], set[int]] = {}
             for host, html in zip(pdf["host"], pdf["html"], strict=True):
-                rows += [(host, h) for h in {h for h, _, _ in subtree_hashes(parse(html or ""))}]
-            yield pd.DataFrame(rows, columns=["host", "subtree"])
+                root = parse(html or "")
+                text = main_text(root, set()).encode("utf-8", "surrogatepass")
+                page = int.from_bytes(blake2b(text, digest_size=8).digest(), "little", signed=True)
+                for subtree in {h for h, _, _ in subtree_hashes(root)}:
+                    if len(named := found.setdefault((host, subtree), set())) < enough:
+                        named.add(page)
+            rows = [(*key, page) for key, named in found.items() for page in named]
+            yield pd.DataFrame(rows, columns=["host", "subtree", "page"])
 
-    elements = pages.select(_host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html")).mapInPandas(run, "host string, subtree long")
-    return elements.groupBy("host", "subtree").agg(F.count("*").alias("n_pages"))
+    elements = pages.select(_host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html")).mapInPandas(run, "host string, subtree long, page long")
+    return elements.groupBy("host", "subtree").agg(F.countDistinct("page").alias("n_pages"))
 
 
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``(host, subtree)`` of the subtrees on at least ``min_pages`` pages and ``min_share`` of their host's pages."""
-    sizes = pages.groupBy(_host(F.col("url")).alias("host")).agg(F.count("*").alias("host_pages"))
-    counts = subtree_counts(pages).where(F.col("n_pages") >= min_pages)
-    return counts.join(sizes, "host").where(F.col("n_pages") >= min_share * F.col("host_pages")).select("host", "subtree")
+def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``(host, subtree)`` of the subtrees on at least ``min_pages`` different pages of their host."""
+    return subtree_counts(pages, min_pages).where(F.col("n_pages") >= min_pages).select("host", "subtree")
 
 
-def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``pages`` with ``text``, the main text of ``html``; a column of this name is replaced."""
-    templates = common.written(site_templates(pages, min_pages, min_share), "templates")
+    templates = common.written(site_templates(pages, min_pages), "templates")
     kept = common.without(pages, "text")
     if templates.count() > broadcast_rows:
         return _extract_joined(kept, templates)

@@ -150,3 +150,24 @@ def test_pages(spark, broadcast_rows):
     assert got[50] == "A\nOne\nx\ny"
     assert got[51] == got[52] == "" and got[53] == "open &am" and got[54] == "plain < text"
     assert html_text.extract_text(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_templates_of_copies_and_large_hosts(spark, broadcast_rows):
+    """Copies count once, an article that others share stays, and a notice goes whatever the size of its host."""
+    part = "<div><p>One long passage of the article itself.</p></div>"
+    rows = [(k, "http://copy.example/", page(f"<article><h1>A</h1>{part}</article>")) for k in range(6)]
+    rows += [(10 + k, "http://bare.example/", page(f"<h1>A</h1>{part}")) for k in range(6)]
+    rows += [(20 + k, "http://near.example/", page(f"<article><h1>A {k}</h1>{part}</article>")) for k in range(6)]
+    thirds = "".join(f"<div><p>The {w} third of it</p></div>" for w in ("first", "second", "last"))
+    rows += [(30 + k, "http://near.example/3", page(f"<article><h1>B {k}</h1>{thirds}</article>")) for k in range(6)]
+    note = "<div><p>We are moving</p></div>"
+    rows += [(1000 + k, "http://large.example/", page(f"<article><p>Text of the page numbered {k}</p>{note if k < 6 else ''}</article>")) for k in range(400)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(df, broadcast_rows=broadcast_rows).collect()}
+    for k in range(6):
+        assert got[k] == "A\nOne long passage of the article itself."
+        assert "One long passage of the article itself." in got[10 + k]
+        assert got[20 + k] == f"A {k}\nOne long passage of the article itself."
+        assert got[30 + k] == f"B {k}\nThe first third of it\nThe second third of it\nThe last third of it"
+        assert got[1000 + k] == f"Text of the page numbered {k}"
