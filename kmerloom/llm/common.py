@@ -2,43 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
+from ..storage import scratch, written
 
+__all__ = ["column", "free_name", "read_table", "scratch", "without", "written"]
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only where none is set (local tests)."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-kmerloom-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-    return root.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{scratch_root(spark)}/kmerloom/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    This cuts the lineage, and what was written outlives lost executors.
-    """
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have in any letter case."""
     taken = {c.lower() for c in df.columns}

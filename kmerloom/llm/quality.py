@@ -7,7 +7,9 @@ hashes of doc_id; a fifth of them is set aside to calibrate the probabilities (P
 over its whole text, in Arrow batches, against a fixed threshold.
 
 Defined cases: a null text is an empty one; a label that is null or neither 0 nor 1 is ignored; a document with several
-labels takes the smallest; with no labels, or labels of one class only, the model keeps what the base rules keep.
+labels takes the smallest; rows that repeat a doc_id are judged each by its own text and count once in the fit; a very
+long text is read whole; input columns named like results are replaced by ``score_quality`` and untouched by
+``keep_quality``; an empty table gives an empty result; with no labels, or labels of one class only, the model keeps what the base rules keep.
 """
 
 from __future__ import annotations
@@ -112,8 +114,10 @@ def _training_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> list[tu
                 rows.append((doc_id, quality, np.concatenate(at).astype("<u2").tobytes(), np.concatenate(value).astype("<f4").tobytes()))
             yield pd.DataFrame(rows, columns=["doc_id", "quality", "at", "value"])
 
-    found = joined.mapInPandas(run, "doc_id long, quality int, at binary, value binary").toPandas()
-    found = found.sort_values(["doc_id", "at", "value"], kind="stable").drop_duplicates("doc_id")
+    features = joined.mapInPandas(run, "doc_id long, quality int, at binary, value binary")
+    # Rows that repeat a doc_id become one in Spark: no more than max_rows come to the driver.
+    one = features.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min(F.struct("at", "value")).alias("features"))
+    found = one.select("doc_id", "quality", "features.*").toPandas().sort_values("doc_id")
     return [(q, np.frombuffer(a, "<u2").astype(np.int64), np.frombuffer(v, "<f4").astype(float)) for q, a, v in zip(found["quality"], found["at"], found["value"], strict=True)]
 
 
@@ -164,8 +168,8 @@ def _platt(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(theta[0], 1e-3) / spread), float(theta[1])
 
 
-def score_quality(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``COUNTS``, ``quality_prob``, ``base_failed`` and ``kept``; columns of these names are replaced."""
+def _scored(docs: DataFrame, model: QualityModel, threshold: float, name: str) -> DataFrame:
+    """``docs`` with a struct of counts and verdict in the new column ``name``."""
 
     @F.pandas_udf(", ".join(f"{c} long" for c in COUNTS) + ", quality_prob double, base_failed boolean, kept boolean")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -180,9 +184,14 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = THRES
                 rows.append((*counts, p, failed, not failed and p >= threshold))
             yield pd.DataFrame(rows, columns=[*COUNTS, "quality_prob", "base_failed", "kept"])
 
+    return docs.withColumn(name, run(F.col("text").cast("string")))
+
+
+def score_quality(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with ``COUNTS``, ``quality_prob``, ``base_failed`` and ``kept``; columns of these names are replaced."""
     kept = common.without(docs, *COUNTS, "quality_prob", "base_failed", "kept")
     name = common.free_name(kept, "scored")
-    return kept.withColumn(name, run(F.col("text").cast("string"))).select(*[common.column(c) for c in kept.columns], f"{name}.*")
+    return _scored(kept, model, threshold, name).select(*[common.column(c) for c in kept.columns], f"{name}.*")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,5 +202,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with the columns of ``docs``."""
-    return score_quality(docs, fit_quality(docs, labels)).where("kept").select(*[common.column(c) for c in docs.columns])
+    """The rows of ``docs`` that pass, with all columns of ``docs`` as they are, whatever their names."""
+    name = common.free_name(docs, "scored")
+    scored = _scored(docs, fit_quality(docs, labels), THRESHOLD, name)
+    return scored.where(F.col(name)["kept"]).select(*[common.column(c) for c in docs.columns])

@@ -4,7 +4,7 @@ A shard file is a run of records. Each record is framed as
 
     length    8 bytes, little-endian unsigned, of the payload
     check     4 bytes, masked CRC-32 of the length bytes
-    payload   key (8 bytes, signed), n (4 bytes), width (1 byte: 2 or 4), then n ids of ``width`` bytes
+    payload   key (8 bytes, signed), n (4 bytes), width (1 byte: 2 or 4; 128 more for a null key), then n ids of ``width`` bytes
     check     4 bytes, masked CRC-32 of the payload
 
 All integers are little-endian; ids take two bytes where the vocabulary fits and four otherwise. A masked checksum is
@@ -15,6 +15,10 @@ records by shuffling the index and seeking.
 Shards are range-partitioned by key, so that shard order, then record order, is ascending key order. A shard is written
 under a name of its own for each task attempt and renamed at its end; only shards of successful attempts are in the
 index, so that lost executors and repeated attempts leave nothing that a reader sees.
+
+Defined cases: a null text is empty; null keys come first and are read back as null; every 64-bit key is kept exactly; rows that repeat a key come in the order of their texts; texts of any
+length are one record; an empty table writes no shards, and index, records and layout are empty; other columns are not
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,8 +30,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,9 +42,9 @@ MASK_DELTA = 0xA282EAD8
 HEAD = struct.Struct("<QI")
 META = struct.Struct("<qIB")
 TAIL = struct.Struct("<I")
-NULL_KEY = -(1 << 63)
+NULL_KEY = 0x80
 
-INDEX_SCHEMA = "shard string, shard_no int, ordinal int, doc_id long, offset long, n_bytes int, n_tokens long"
+INDEX_SCHEMA = "shard string, shard_no int, ordinal int, doc_id long, offset long, n_bytes long, n_tokens long"
 
 
 def masked_crc(data: bytes) -> int:
@@ -50,7 +54,7 @@ def masked_crc(data: bytes) -> int:
 
 def frame(key: int | None, ids: bytes, width: int) -> bytes:
     """One record; ``ids`` are little-endian integers of ``width`` bytes."""
-    payload = META.pack(NULL_KEY if key is None else key, len(ids) // width, width) + ids
+    payload = META.pack(key or 0, len(ids) // width, width | NULL_KEY * (key is None)) + ids
     length = len(payload).to_bytes(8, "little")
     return b"".join((HEAD.pack(len(payload), masked_crc(length)), payload, TAIL.pack(masked_crc(payload))))
 
@@ -65,8 +69,17 @@ def unframe(data: bytes, offset: int = 0) -> tuple[int | None, np.ndarray, int]:
     if len(payload) < length or TAIL.unpack_from(data, start + length)[0] != masked_crc(payload):
         raise ValueError(f"payload checksum at offset {offset} does not match")
     key, n, width = META.unpack_from(payload)
-    ids = np.frombuffer(payload, f"<u{width}", n, META.size)
-    return (None if key == NULL_KEY else key), ids, start + length + TAIL.size
+    ids = np.frombuffer(payload, f"<u{width & ~NULL_KEY}", n, META.size)
+    return (None if width & NULL_KEY else key), ids, start + length + TAIL.size
+
+
+def file_store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI, and the path in it.
+
+    Names of object stores as Spark writes them (s3a, s3n, abfss, wasbs) are those of Arrow under another scheme.
+    """
+    scheme, sep, rest = path.partition("://")
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}.get(scheme, scheme) + sep + rest)
 
 
 class WordEncoder:
@@ -163,34 +176,40 @@ def write_records(tokens: DataFrame, path: str) -> DataFrame:
     Records keep the order of partitions and rows. An empty table writes no shards and an empty index. ``path`` is a URI in storage that all executors share.
     """
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
+    schema = pa.schema([("shard", pa.string()), ("shard_no", pa.int32()), ("ordinal", pa.int32()), ("doc_id", pa.int64()), ("offset", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         no = TaskContext.get().partitionId()
-        store, base = fs.FileSystem.from_uri(path)
+        store, base = file_store(path)
         name = f"shard-{no:06d}-{uuid.uuid4().hex}.rec"
         out, at, ordinal = None, 0, 0
-        for pdf in batches:
+        for batch in batches:
             if out is None:
                 store.create_dir(base, recursive=True)
                 out = store.open_output_stream(f"{base}/_{name}")
-            rows = []
-            for key, width, ids in zip(pdf["doc_id"], pdf["width"], pdf["ids"], strict=True):
-                key = None if pd.isna(key) else int(key)
+            keys, sizes, counts = batch.column(0), [], []
+            # Arrow integers, not pandas: beside a null, pandas would make large ids floats.
+            for key, width, ids in zip(keys.to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                ids = ids.as_py()
                 record = frame(key, ids, width)
                 out.write(record)
-                rows.append((name, no, ordinal, key, at, len(record), len(ids) // width))
-                at, ordinal = at + len(record), ordinal + 1
-            index = pd.DataFrame(rows, columns=["shard", "shard_no", "ordinal", "doc_id", "offset", "n_bytes", "n_tokens"])
-            yield index.astype({"doc_id": "Int64"})
+                sizes.append(len(record))
+                counts.append(len(ids) // width)
+            n = len(sizes)
+            ends = at + np.cumsum(np.array(sizes, np.int64))
+            columns = [pa.array([name] * n, pa.string()), pa.array(np.full(n, no, np.int32)), pa.array(np.arange(ordinal, ordinal + n, dtype=np.int32)), keys, pa.array(ends - np.array(sizes, np.int64)), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())]
+            if n:
+                at, ordinal = int(ends[-1]), ordinal + n
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
         if out is not None:
             out.close()
             store.move(f"{base}/_{name}", f"{base}/{name}")
 
     spark = tokens.sparkSession
     # The index is written at once: its rows name the shards of the attempts that succeeded.
-    tokens.mapInPandas(write, INDEX_SCHEMA).write.parquet(f"{path}-index")
+    tokens.select("doc_id", "width", "ids").mapInArrow(write, INDEX_SCHEMA).write.parquet(f"{path}-index")
     return spark.read.schema(INDEX_SCHEMA).parquet(f"{path}-index")
 
 
@@ -202,30 +221,28 @@ def read_records(spark: SparkSession, path: str, index: DataFrame, split_bytes:
     verified; a record that does not match its index row raises ValueError.
     """
     out = "shard_no int, ordinal int, doc_id long, n_tokens long, ids_crc32 long"
+    schema = pa.schema([("shard_no", pa.int32()), ("ordinal", pa.int32()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(path)
-        for pdf in batches:
-            rows = []
-            for shard, no, offset, n_bytes, first, n in zip(pdf["shard"], pdf["shard_no"], pdf["at"], pdf["n_bytes"], pdf["first"], pdf["n"], strict=True):
-                with store.open_input_file(f"{base}/{shard}") as f:
-                    f.seek(int(offset))
-                    data = f.read(int(n_bytes))
-                at = 0
-                for k in range(int(n)):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = file_store(path)
+        for batch in batches:
+            for run in batch.to_pylist():
+                with store.open_input_file(f"{base}/{run['shard']}") as f:
+                    f.seek(run["at"])
+                    data = f.read(run["n_bytes"])
+                at, rows = 0, []
+                for k in range(run["n"]):
                     key, ids, at = unframe(data, at)
-                    rows.append((no, int(first) + k, key, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                if at != n_bytes:
-                    raise ValueError(f"{shard}: the records at {offset} end at {at}, not at {n_bytes}")
-            yield pd.DataFrame(rows, columns=["shard_no", "ordinal", "doc_id", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
+                    rows.append((run["shard_no"], run["first"] + k, key, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                if at != run["n_bytes"]:
+                    raise ValueError(f"{run['shard']}: the records at {run['at']} end at {at}, not at {run['n_bytes']}")
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
     runs = index.groupBy("shard", "shard_no", F.floor(F.col("offset") / split_bytes).alias("run")).agg(
         F.min("offset").alias("at"), F.sum("n_bytes").alias("n_bytes"), F.min("ordinal").alias("first"), F.count("*").alias("n")
     )
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return runs.repartition(tasks, F.xxhash64("shard", "run")).mapInPandas(read, out)
+    return runs.repartition(tasks, F.xxhash64("shard", "run")).mapInArrow(read, out)
 
 
 def token_layout(records: DataFrame) -> DataFrame:

@@ -64,6 +64,8 @@ def test_quality(spark, docs):
     assert not got[500]["kept"] and got[500]["base_failed"] and not got[501]["kept"]
     kept = quality.keep_quality(docs(rows), spark.createDataFrame(labels, "doc_id long, quality int"))
     assert kept.columns == docs(rows).columns
+    own = quality.keep_quality(df, spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert own.columns == df.columns and {(r["kept"], r["N_Words"]) for r in own.collect()} == {("x", 1)} and own.count() == kept.count()
     assert quality.fit_quality(df, spark.createDataFrame([], "doc_id long, quality int")).weights is None
     assert quality.score_quality(docs([]), model).count() == 0
 

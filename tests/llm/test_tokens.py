@@ -58,6 +58,17 @@ def test_records_round_trip(spark, docs):
     assert all(not f.base_name.startswith("_") for f in store.get_file_info(fs.FileSelector(base)))
 
 
+def test_keys_stay_exact(spark, docs):
+    keys = [None, -(1 << 63), -5, (1 << 53) + 1, (1 << 63) - 1]
+    df = docs([(k, "some words", None, None, 1) for k in keys])
+    path = common.scratch(spark, "records")
+    tokens = token_records.encode_documents(token_records.ordered_documents(df, 1), token_records.default_tokenizer(), 1)
+    index = token_records.write_records(tokens, path)
+    assert [r["doc_id"] for r in index.orderBy("ordinal").collect()] == keys
+    found = token_records.token_layout(token_records.read_records(spark, path, index)).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == keys
+
+
 def test_no_records(spark, docs):
     path = common.scratch(spark, "records")
     index = token_records.write_records(token_records.encode_documents(token_records.ordered_documents(docs([]), 2), token_records.default_tokenizer(), 1), path)
