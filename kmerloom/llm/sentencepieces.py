@@ -1,18 +1,25 @@
 """SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives a single-pass Viterbi search.
 
 The automaton reads a text once. At each position its output links give every piece that ends there, longest first; each
-relaxes the best score of the position. Of segmentations with the best sum of piece scores, the one with the longest last
-pieces wins. A character that no piece covers becomes its bytes' pieces. White space is written with U+2581 and a text
-gets one in front, as the model file asks; a U+2581 that the text itself holds becomes bytes, so that decoding gives back
-every text exactly.
+relaxes the position's best segmentation. What a relaxation compares is the model's own rule, so that the ids are those of
+the public library:
+
+* unigram models: the best sum of piece scores; of equal sums, the one with the longest last pieces (where the library,
+  adding in single precision, may take another of them).
+* BPE models: a segmentation is what merging gives exactly if every two neighbouring pieces are what merging the two
+  alone gives, for merges on either side of a border that none crosses do not depend on each other. A piece therefore
+  relaxes a position only if it may follow the last piece of the best segmentation before it. One piece passes.
+
+A character that no piece covers becomes its bytes' pieces. White space is written with U+2581 and a text gets one in
+front, as the model file asks; a U+2581 that the text itself holds becomes bytes, so that decoding gives back every text
+exactly (the library reads it as white space).
 
 No piece of such a model goes on past a word: where U+2581 follows another character, a piece ends. Texts are therefore
 cut there, and a word's ids are kept in a bounded memo. A model with pieces across words is read text by text.
 
-Scores are taken as they are in the file. For a model of the unigram type this is the public library's result; for one of
-the BPE type it is the best sum of scores, which can differ from the merge order of that library.
-
-Defined cases: a null text has no ids and decodes to null; an empty text has no ids.
+Defined cases: a null text has no ids and decodes to null; an empty text has no ids; repeated rows are encoded alike; a
+very long text is read whole; other columns are not read, whatever their names, except that ``decode_ids`` replaces a
+column ``text``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,6 +37,18 @@ from . import common
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
+FIRST = 1 << 19
+BPE = 2
+
+
+def model_type(path: str) -> int:
+    """1 for unigram models, 2 for BPE models, as the file says."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as f:
+        model.ParseFromString(f.read())
+    return model.trainer_spec.model_type
 
 
 class PieceModel:
@@ -64,6 +83,10 @@ class PieceModel:
                 if len(piece) == 1:
                     self.single.add(piece)
         self.automaton.make_automaton()
+        self.merging = model_type(path) == BPE
+        self.texts = [model.id_to_piece(i) for i in range(n)]
+        self.merges: dict[str, list[tuple[float, str, str]] | None] = {}
+        self.follow_memo: dict[int, bool] = {}
         self.unknown = lowest - UNKNOWN_PENALTY
         # Marks that no piece holds right after a letter: words are cut there as well, so that the memo meets fewer words.
         marks = set(".,!?;:*#$%&|\"()\n") - joined
@@ -71,9 +94,94 @@ class PieceModel:
         go_on = f"(?:[^{SPACE}{c}]|(?<![^\\W\\d_])[{c}])"
         self.words = None if crossing else re.compile(f"{SPACE}*{go_on}+|{SPACE}+|[{c}]{go_on}*")
 
+    def _score(self, text: str) -> float | None:
+        found = self.automaton.get(text, None)
+        return None if found is None else found[2]
+
+    def _merges(self, text: str) -> list[tuple[float, str, str]] | None:
+        """Score, and last and first symbol afterwards, of each merge that makes a piece of its characters; None if none does."""
+        if text not in self.merges:
+            symbols, out = list(text), []
+            while len(symbols) > 1:
+                scored = [(s, -k) for k in range(len(symbols) - 1) if (s := self._score(symbols[k] + symbols[k + 1])) is not None]
+                if not scored:
+                    break
+                score, k = max(scored)
+                symbols[-k : 2 - k] = [symbols[-k] + symbols[1 - k]]
+                out.append((score, symbols[-1], symbols[0]))
+            self.merges[text] = out if len(symbols) == 1 else None
+        return self.merges[text]
+
+    def follows(self, left: str, right: str) -> bool:
+        """True if merging the two pieces' characters gives these two pieces: no merge crosses their border."""
+        ours, theirs = self._merges(left), self._merges(right)
+        if ours is None or theirs is None:
+            return False
+        x, y, i, j = left[-1], right[0], 0, 0
+        while True:
+            here = ours[i][0] if i < len(ours) else None
+            there = theirs[j][0] if j < len(theirs) else None
+            across = self._score(x + y)
+            # The highest score merges first, the leftmost of equal ones.
+            if across is not None and (here is None or across > here) and (there is None or across >= there):
+                return False
+            if here is None and there is None:
+                return True
+            if there is None or here is not None and here >= there:
+                x, i = ours[i][1], i + 1
+            else:
+                y, j = theirs[j][2], j + 1
+
+    def _segment_merging(self, text: str) -> list[int]:
+        """As ``segment``, for BPE models: the last piece of each prefix is the one that may follow."""
+        last, lengths, memo = [FIRST] + [0] * len(text), self.lengths, self.follow_memo
+        if len(memo) > 2 * self.memo_size:
+            memo.clear()
+        done = 0
+        for at, (length, piece, _) in self.automaton.iter(text):
+            if at < done:
+                continue
+            before = last[at + 1 - length]
+            if (good := memo.get(key := before << 20 | piece)) is None:
+                own = self.texts[piece]
+                good = memo[key] = self._merges(own) is not None if before == FIRST else self.follows(self.texts[before], own)
+            if good:
+                done = at + 1
+                last[done] = piece
+        out, n = [], len(text)
+        while n:
+            out.append(last[n])
+            n -= lengths[last[n]]
+        out.reverse()
+        return out
+
+    def _segment_merging_unknown(self, text: str) -> list[int]:
+        """The same with characters that are no piece of their own; each stands as itself until it becomes bytes."""
+        last: list[str] = [""] * (len(text) + 1)
+        ends: list[list[str]] = [[] for _ in last]
+        for at, (length, _, _) in self.automaton.iter(text):
+            ends[at + 1].append(text[at + 1 - length : at + 1])
+        for end in range(1, len(last)):
+            if text[end - 1] not in self.single:
+                ends[end].append(text[end - 1])
+            for own in ends[end]:
+                before = last[end - len(own)]
+                if self.follows(before, own) if before else self._merges(own) is not None:
+                    last[end] = own
+                    break
+        out, n = [], len(text)
+        while n:
+            found = self.automaton.get(last[n], None)
+            out += [found[1]] if found else [self.byte_ids[b] for b in reversed(last[n].encode())]
+            n -= len(last[n])
+        out.reverse()
+        return out
+
     def segment(self, text: str) -> list[int]:
         """The ids of a text that is already written with U+2581."""
         n = len(text)
+        if self.merging:
+            return self._segment_merging(text) if self.single.issuperset(text) else self._segment_merging_unknown(text)
         if not self.single.issuperset(text):
             return self._segment_unknown(text)
         best, back, lengths = [0.0] + [float("-inf")] * n, [0] * (n + 1), self.lengths
