@@ -2,8 +2,9 @@
 
 Pages are cut into element trees. Every element subtree gets a hash of its tags, attributes and text; Spark counts, for
 each host, on how many different pages each hash stands. Pages of a host with the same main part, templates included, are
-copies and count once. Subtrees on ``MIN_PAGES`` pages, however many the host has, are its template and are deleted; so are elements that are never article text (navigation, forms, scripts, adverts, notices, reader comments, by
-tag, role, class or id). What is left of the page's article, or of its body where it marks no article, is the text.
+copies and count once. Subtrees on ``MIN_PAGES`` pages, however many the host has, are its template and are deleted; so
+are elements that are never article text (navigation, forms, scripts, adverts, notices, reader comments, by tag, or by a
+class, id or role that consists of marking words). What is left of the page's article, or of its body where it marks no article, is the text.
 
 Inside a marked article a recurring block of plain text (paragraph, heading, list item, table cell) stays: passages that
 articles share are text. Elsewhere it goes. What is the article itself stays too, though others share it: a recurring
@@ -13,7 +14,9 @@ The deletion set is broadcast while it has at most ``BROADCAST_ROWS`` rows; beyo
 element.
 
 Defined cases: null html is empty; pages without a host share one empty host; unclosed and wrongly nested tags end where
-their parent ends; a page of markup only has an empty text; repeated rows are pages of their own.
+their parent ends; a page of markup only has an empty text; repeated rows are pages of their own; pages of any length and depth are read
+whole, without recursion and with one hash per element; a column ``text`` is replaced, others stay as they are; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -45,34 +48,43 @@ NOT_TEXT = frozenset(
     "head script style noscript template iframe object embed svg canvas audio video nav footer aside form button input select"
     " option textarea label fieldset dialog menu title".split()
 )
-# Words in class, id and role that mark parts which are not the article.
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promotion|nav|navbar|navigation|menu"
-    r"|breadcrumb|breadcrumbs|sidebar|side|footer|masthead|cookie|cookies|consent|gdpr|notice|alert|popup|modal|newsletter|subscribe|signup"
-    r"|login|search|share|sharing|social|related|recommended|recommendations|comment|comments|commentlist|replies|reply|disqus|discussion"
-    r"|pagination|pager|toolbar|widget|widgets|skip|complementary|contentinfo)(?:$|[\s_-])",
-    re.I,
+# Words in class, id and role that mark parts which are not the article, and words that go with them.
+MARKS = frozenset(
+    "ad ads adv advert adverts advertisement advertisements advertising banner sponsor sponsored promo promos nav navbar navigation menu"
+    " breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe"
+    " signup login search share sharing social related recommended recommendations comment comments commentlist replies reply disqus"
+    " pagination pager toolbar widget widgets skip complementary contentinfo".split()
+)
+BESIDE = frozenset(
+    "area articles aside bar block body bottom box btn button buttons center container content col column cta desktop fixed form"
+    " google group head header icon icons inner item items label layer left link links list main mobile module outer overlay page panel"
+    " placeholder posts primary reader region right row secondary section site slot small space stories text title top unit user wrap"
+    " wrapper".split()
 )
 CLOSES = {
     "p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-SPACES = re.compile(r"\s+")
+# Quotes open a value only right after "=": elsewhere they are letters like others.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+CASES = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|[-_]+")
 
 
 class Node:
-    __slots__ = ("attributes", "children", "tag")
+    """An element; ``end`` is the number in page order of the first element behind it."""
+
+    __slots__ = ("attributes", "children", "end", "inside", "number", "skip", "tag")
 
-    def __init__(self, tag: str, attributes: str = "") -> None:
-        self.tag, self.attributes, self.children = tag, attributes, []
+    def __init__(self, tag: str, attributes: str = "", number: int = 0) -> None:
+        self.tag, self.attributes, self.children, self.number = tag, attributes, [], number
+        self.end, self.inside, self.skip = number + 1, False, False
 
 
-def parse(html: str) -> Node:
-    """The element tree of a page; children are nodes and texts with their character references decoded."""
-    root = Node("html")
-    stack = [root]
+def parse(html: str) -> list[Node]:
+    """The elements of a page in page order, the root first; their children are elements and texts with decoded references."""
+    nodes = [Node("html")]
+    stack = nodes[:]
     at, end = 0, len(html)
     while at < end:
         m = TOKEN.search(html, at)
@@ -100,7 +112,8 @@ def parse(html: str) -> Node:
                     break
                 if stack[k].tag in stops or stack[k].tag in BLOCKS:
                     break
-        node = Node(tag, m[3].strip())
+        node = Node(tag, m[3].strip(), len(nodes))
+        nodes.append(node)
         stack[-1].children.append(node)
         if tag in VOID or node.attributes.endswith("/") and tag not in BLOCKS:
             continue
@@ -110,85 +123,91 @@ def parse(html: str) -> Node:
             at = close.end() if close else end
             continue
         stack.append(node)
-    return root
+    # Parents stand before their elements: one pass down, one pass up.
+    for node in nodes:
+        inside = node.inside or node.tag in ("article", "main")
+        node.skip = not_text(node)
+        for child in node.children:
+            if isinstance(child, Node):
+                child.inside = inside
+    for node in reversed(nodes):
+        for child in reversed(node.children):
+            if isinstance(child, Node):
+                node.end = child.end
+                break
+    return nodes
+
+
+def attributes_of(text: str) -> dict[str, str]:
+    """Names in lower case and their decoded values; of a repeated name the first counts."""
+    out: dict[str, str] = {}
+    for name, double, single, bare in ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), unescape(double or single or bare))
+    return out
+
+
+def is_mark(token: str) -> bool:
+    """True for a class or id of marking words, alone or with words of layout: ``ad-box``, not ``related-work``."""
+    words = [w for w in CASES.split(token) if w and not w.isdigit()]
+    known = [w.lower() for w in words]
+    return any(w in MARKS for w in known) and all(w in MARKS or w in BESIDE for w in known)
 
 
 def not_text(node: Node) -> bool:
-    """By its tag or its marks, an element is not part of an article."""
+    """By its tag or its marks, an element is not part of an article.
+
+    Headings carry no marks, and an id marks only what is outside an article: ids inside are made from titles.
+    """
     if node.tag in NOT_TEXT:
         return True
     if not node.attributes or node.tag in ("html", "body", "article", "main"):
         return False
-    for name, value in ATTRIBUTE.findall(node.attributes):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" and not value or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name in ("class", "id", "role") and MARKS.search(value):
-            return True
-    return False
-
+    found = attributes_of(node.attributes)
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
+        return True
+    if node.tag in HEADINGS:
+        return False
+    marked = [found.get("class", ""), found.get("role", "")]
+    if not node.inside and node.tag not in TEXT_BLOCKS:
+        marked.append(found.get("id", ""))
+    return any(is_mark(token) for value in marked for token in value.split())
 
-def subtree_hashes(root: Node) -> Iterator[tuple[int, Node, bool]]:
-    """``(hash, element, inside an article)`` of each element with text or elements that may be deleted, parents first."""
 
-    def digest(node: Node) -> bytes:
+def subtree_hashes(nodes: list[Node]) -> Iterator[tuple[int, Node]]:
+    """``(hash, element)`` of each element with text or elements that may be deleted, in page order; each is hashed once."""
+    digests: list[bytes] = [b""] * len(nodes)
+    for node in reversed(nodes):
         h = blake2b(f"{node.tag}\0{node.attributes}".encode("utf-8", "surrogatepass"), digest_size=8)
         for child in node.children:
-            h.update(b"\1" + digest(child) if isinstance(child, Node) else b"\2" + " ".join(child.split()).encode("utf-8", "surrogatepass"))
-        return h.digest()
-
-    def walk(node: Node, inside: bool) -> Iterator[tuple[int, Node, bool]]:
-        for child in node.children:
-            if not isinstance(child, Node) or child.tag in VOID or child.tag in ("head", "script", "style"):
-                continue
-            deletable = child.tag in BLOCKS and child.tag not in ("html", "body", "article", "main") and not (inside and child.tag in TEXT_BLOCKS)
-            if deletable:
-                yield int.from_bytes(digest(child), "little", signed=True), child, inside
-            if not (inside and child.tag in TEXT_BLOCKS):
-                yield from walk(child, inside or child.tag in ("article", "main"))
-
-    yield from walk(root, False)
-
-
-def descendants(node: Node) -> Iterator[Node]:
-    """An element and all elements in it."""
-    yield node
-    for child in node.children:
-        if isinstance(child, Node):
-            yield from descendants(child)
+            h.update(b"\1" + digests[child.number] if isinstance(child, Node) else b"\2" + " ".join(child.split()).encode("utf-8", "surrogatepass"))
+        digests[node.number] = h.digest()
+    at = 1
+    while at < len(nodes):
+        node = nodes[at]
+        if node.tag in VOID or node.tag in ("head", "script", "style") or node.inside and node.tag in TEXT_BLOCKS:
+            at = node.end
+            continue
+        if node.tag in BLOCKS and node.tag not in ("html", "body", "article", "main"):
+            yield int.from_bytes(digests[at], "little", signed=True), node
+        at += 1
 
 
-def main_text(root: Node, deleted: set[int]) -> str:
+def main_text(nodes: list[Node], deleted: set[int]) -> str:
     """The blocks of the article, or of the page where none is marked, without ``deleted`` and what is not text."""
-    gone = {id(node) for h, node, _ in subtree_hashes(root) if h in deleted} if deleted else set()
-    kept: set[int] = set()
-
-    def length(node: Node, heads: bool = True, cut: bool = False) -> int:
-        """Letters of an element's text, without headings or without what is deleted."""
-        n = 0
-        for child in node.children:
-            if not isinstance(child, Node):
-                n += sum(map(len, child.split()))
-            elif not not_text(child) and (heads or child.tag not in HEADINGS) and not (cut and id(child) in gone):
-                n += length(child, heads, cut)
-        return n
-
-    def keep_main(node: Node, least: float) -> None:
-        for child in node.children:
-            if isinstance(child, Node) and not not_text(child):
-                if id(child) in gone and 2 * length(child) >= least:
-                    kept.update(map(id, descendants(child)))
-                elif id(child) not in gone:
-                    keep_main(child, least)
-
-    def find(node: Node, tags: tuple[str, ...]) -> Iterator[Node]:
-        for child in node.children:
-            if isinstance(child, Node) and id(child) not in gone and not not_text(child):
-                if child.tag in tags:
-                    yield child
-                else:
-                    yield from find(child, tags)
-
+    gone = {node.number for h, node in subtree_hashes(nodes) if h in deleted} if deleted else set()
+
+    def find(tag: str) -> list[Node]:
+        out, at = [], 1
+        while at < len(nodes):
+            node = nodes[at]
+            if node.tag == tag and not node.skip and at not in gone:
+                out.append(node)
+            at = node.end if node.skip or at in gone or node.tag == tag else at + 1
+        return out
+
+    marked = find("article") or find("main")
+    if marked and gone:
+        gone -= _kept(nodes, marked, gone)
     blocks: list[str] = []
     line: list[str] = []
 
@@ -197,32 +216,60 @@ def main_text(root: Node, deleted: set[int]) -> str:
             blocks.append(text)
         line.clear()
 
-    def walk(node: Node) -> None:
-        for child in node.children:
-            if not isinstance(child, Node):
-                line.append(child)
-            elif child.tag == "br":
-                line.append(" ")
-            elif id(child) not in gone and not not_text(child):
-                if child.tag in BLOCKS:
-                    flush()
-                    walk(child)
+    for top in marked or nodes[:1]:
+        # Elements under way, each with what is left of its children.
+        way = [(top, iter(top.children))]
+        while way:
+            node, rest = way[-1]
+            for child in rest:
+                if not isinstance(child, Node):
+                    line.append(child)
+                elif child.tag == "br":
+                    line.append(" ")
+                elif not child.skip and child.number not in gone:
+                    if child.tag in BLOCKS:
+                        flush()
+                    way.append((child, iter(child.children)))
+                    break
+            else:
+                way.pop()
+                if node.tag in BLOCKS:
                     flush()
-                else:
-                    walk(child)
-
-    marked = list(find(root, ("article",))) or list(find(root, ("main",)))
-    for top in marked if gone else ():
-        keep_main(top, max(length(top), 1))
-        if length(top, False) and not length(top, False, True):
-            kept.update(map(id, descendants(top)))
-    gone -= kept
-    for top in marked or [root]:
-        walk(top)
         flush()
     return "\n".join(blocks)
 
 
+def _kept(nodes: list[Node], marked: list[Node], gone: set[int]) -> set[int]:
+    """Recurring elements that are the article itself: with half of its letters, or all where only headings would stay."""
+    n = len(nodes)
+    letters, plain, left = [0] * n, [0] * n, [0] * n
+    for node in reversed(nodes):
+        at = node.number
+        for child in node.children:
+            if not isinstance(child, Node):
+                k = sum(map(len, child.split()))
+                letters[at] += k
+                plain[at] += k
+                left[at] += k
+            elif not child.skip:
+                letters[at] += letters[child.number]
+                if child.tag not in HEADINGS:
+                    plain[at] += plain[child.number]
+                    left[at] += 0 if child.number in gone else left[child.number]
+    kept: set[int] = set()
+    for top in marked:
+        if plain[top.number] and not left[top.number]:
+            kept.update(range(top.number, top.end))
+            continue
+        at = top.number + 1
+        while at < top.end:
+            node = nodes[at]
+            if at in gone and not node.skip and 2 * letters[at] >= max(letters[top.number], 1):
+                kept.update(range(at, node.end))
+            at = node.end if at in gone or node.skip else at + 1
+    return kept
+
+
 def host_of(url: str | None) -> str:
     m = re.match(r"(?:[a-zA-Z][\w+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]*)", url or "")
     return m[1].lower() if m else ""
@@ -245,10 +292,10 @@ def subtree_counts(pages: DataFrame, enough: int = MIN_PAGES) -> DataFrame:
         for pdf in batches:
             found: dict[tuple[str, int], set[int]] = {}
             for host, html in zip(pdf["host"], pdf["html"], strict=True):
-                root = parse(html or "")
-                text = main_text(root, set()).encode("utf-8", "surrogatepass")
+                nodes = parse(html or "")
+                text = main_text(nodes, set()).encode("utf-8", "surrogatepass")
                 page = int.from_bytes(blake2b(text, digest_size=8).digest(), "little", signed=True)
-                for subtree in {h for h, _, _ in subtree_hashes(root)}:
+                for subtree in {h for h, _ in subtree_hashes(nodes)}:
                     if len(named := found.setdefault((host, subtree), set())) < enough:
                         named.add(page)
             rows = [(*key, page) for key, named in found.items() for page in named]
@@ -290,7 +337,7 @@ def _extract_joined(pages: DataFrame, templates: DataFrame) -> DataFrame:
         for pdf in batches:
             rows = []
             for page, host, html in zip(pdf["row"], pdf["host"], pdf["html"], strict=True):
-                rows += [(page, host, h) for h in {h for h, _, _ in subtree_hashes(parse(html or ""))}]
+                rows += [(page, host, h) for h in {h for h, _ in subtree_hashes(parse(html or ""))}]
             yield pd.DataFrame(rows, columns=["row", "host", "subtree"])
 
     elements = numbered.select(F.col(row).alias("row"), _host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html")).mapInPandas(run, "row long, host string, subtree long")

@@ -173,3 +173,66 @@ def test_templates_of_copies_and_large_hosts(spark, broadcast_rows):
         assert got[20 + k] == f"A {k}\nOne long passage of the article itself."
         assert got[30 + k] == f"B {k}\nThe first third of it\nThe second third of it\nThe last third of it"
         assert got[1000 + k] == f"Text of the page numbered {k}"
+
+
+def text_of(html):
+    return html_text.main_text(html_text.parse(html), set())
+
+
+def test_attributes_are_read_by_name():
+    assert text_of('<p style="overflow:hidden">A</p><p title="hidden gem">B</p><p data-id="menu">C</p><p hidden>no</p>') == "A\nB\nC"
+    inside = '<article><p class="related-work">x</p><div id="search-algorithms">y</div><section class="side effects">z</section><h2 id="menu">h</h2></article>'
+    assert text_of(inside) == "x\ny\nz\nh"
+    for mark in ('class="ad"', "class=adBox", "id='cookie-notice'", 'class="x comment-list"', "role=navigation", 'class="related posts"'):
+        assert text_of(f"<div {mark}>no</div><p>yes</p>") == "yes", mark
+
+
+def test_stray_quotes_are_letters():
+    assert text_of('<p class="a"">Hello') == "Hello"
+    assert text_of("<p title=it's>one</p><p>it's two</p>") == "one\nit's two"
+    assert text_of("<a href='x>y'>t</a> <b class=\"un>closed</b>") == "t closed"  # an unclosed value ends with its tag
+    assert text_of("a < b </ c> d") == "a < b d"
+
+
+def test_deep_and_long_pages():
+    assert text_of("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
+    nodes = html_text.parse("<b>" * 5000 + "x")
+    assert len(nodes) == 5001 and text_of("<b>" * 5000 + "x") == "x" and list(html_text.subtree_hashes(nodes)) == []
+    long = "<article>" + "<p>some words of text</p>" * 100_000 + "</article>"
+    assert text_of(long).count("\n") == 99_999
+
+
+def brute_elements(html):
+    """Each element's own source between its tags, for pages that close every tag."""
+    import re
+
+    out, open_ = [], []
+    for m in re.finditer(r"<(/?)(\w+)[^>]*>", html):
+        if m[1]:
+            tag, at = open_.pop()
+            if tag in html_text.BLOCKS and tag not in ("html", "body", "article", "main", "head"):
+                out.append(html[at : m.end()])
+        else:
+            open_.append((m[2], m.start()))
+    return out
+
+
+def test_template_counts_against_brute_force(spark):
+    rng = random.Random(11)
+    parts = ["<div><p>Follow us</p></div>", "<div class='x'><p>Follow us</p></div>", "<ul><li>a</li><li>b</li></ul>", "<p>line</p>", "<section><div><p>Follow us</p></div></section>"]
+    rows = []
+    for k in range(60):
+        body = "".join(rng.choices(parts, k=rng.randint(0, 4))) + f"<div><p>own {k % 40}</p></div>"
+        rows.append((k, f"http://h{k % 3}.example/{k}", f"<body>{body}</body>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = Counter()
+    for r in html_text.subtree_counts(df, 10_000).collect():
+        got[(r["host"], r["n_pages"])] += 1
+    pages = {}
+    for _, url, html in rows:
+        for e in brute_elements(html):
+            pages.setdefault((url.split("/")[2], e), set()).add(text_of(html))
+    assert got == Counter((host, len(v)) for (host, _), v in pages.items())
+    # Without an article, what recurs goes by its count alone.
+    texts = {r["page_id"]: r["text"] for r in html_text.extract_text(df).collect()}
+    assert all(texts[k] == f"own {k % 40}" for k in texts) and any(text_of(r[2]) != texts[r[0]] for r in rows)
