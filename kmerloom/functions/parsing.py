@@ -20,7 +20,7 @@ def lenient_number(text: Column) -> Column:
 
 
 def six_digits(values: Column | str) -> Column:
-    """Six significant digits, without padding; only used on small, final tables."""
+    """Six significant digits, without padding. Asked for distinct p-values only, of which there are few."""
 
     @F.pandas_udf("string")
     def run(numbers: pd.Series) -> pd.Series:

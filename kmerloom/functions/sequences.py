@@ -59,8 +59,10 @@ def windows(reads: DataFrame, k: int, seq: str = "seq", pos: str = "pos", kmer:
     return cut.withColumn(pos, F.col("_at") + F.col("_in")).withColumn(kmer, F.substring(F.col("_piece"), F.col("_in") + 1, F.lit(k))).drop("_at", "_in", "_piece")
 
 
-def text_to_bases(text: Column) -> Column:
-    """Letters onto the four bases in turn, all else onto N: a deterministic stand-in for sequencing reads."""
+def text_to_bases(text: Column, joined: bool = False) -> Column:
+    """Letters onto the four bases in turn, all else onto N, or away if ``joined``: a deterministic stand-in for reads."""
     letters = "abcdefghijklmnopqrstuvwxyz"
-    onto = "".join(BASES[i % 4] for i in range(26)) + "N"
-    return F.translate(F.lower(F.regexp_replace(text, "[^A-Za-z]", "-")), letters + "-", onto)
+    onto = "".join(BASES[i % 4] for i in range(26))
+    if joined:
+        return F.translate(F.lower(F.regexp_replace(text, "[^A-Za-z]", "")), letters, onto)
+    return F.translate(F.lower(F.regexp_replace(text, "[^A-Za-z]", "-")), letters + "-", onto + "N")

@@ -1,4 +1,4 @@
-"""The whole analysis as one Spark job: reads of two groups to significant k-mers, their ranking and contigs."""
+"""The whole analysis as Spark jobs: reads of two groups to significant k-mers, their ranking and contigs."""
 
 from __future__ import annotations
 
@@ -7,14 +7,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.packing import MAX_K
+from ..functions.parsing import six_digits
 from ..functions.statistics import with_fisher
 from ..operators import assembly, counting, matrix, presence, report
 from ..sources import manifest, reads
 
+HEADER = ("pval", "grp1_high", "grp1_low", "grp2_high", "grp2_low")
+
 
 @dataclass(frozen=True)
 class Settings:
-    """Thresholds of an analysis; ``legacy``: missing counts as 1, point probabilities, and a cut that is included."""
+    """Thresholds of an analysis.
+
+    ``legacy``: missing counts as 1, point probabilities, and a cut on the printed p-value that is included. ``matrix``:
+    also write the matrix of all counts. ``full_table``: also write the annotated table of all k-mers.
+    """
 
     k: int = 27
     min_count: int = 2
@@ -24,49 +32,112 @@ class Settings:
     alternative: str = "two"
     count_cap: int | None = None
     legacy: bool = False
+    matrix: bool = True
+    full_table: bool = False
 
 
 def legacy_settings(**changes) -> Settings:
     return Settings(**({"cmin1": 2, "cmin2": 1, "alternative": "point", "legacy": True} | changes))
 
 
+def _counts_schema(k: int) -> str:
+    return f"grp int, kmer {'long' if k <= MAX_K else 'string'}, cnt long, sample string"
+
+
 def count_table(spark: SparkSession, read_table: DataFrame, out: str, settings: Settings) -> DataFrame:
-    """Counts of all samples, written once: every later step reads this table."""
-    counts = counting.count_kmers(read_table, settings.k, settings.min_count, settings.count_cap, keys=("sample", "grp"))
+    """Counts of all samples, written once: every later step reads this table. k-mers are packed where they fit."""
+    counts = counting.count_kmers(read_table, settings.k, settings.min_count, settings.count_cap, keys=("sample", "grp"), packed=settings.k <= MAX_K)
     counts.write.partitionBy("sample").parquet(f"{out}/counts")
-    return spark.read.schema("grp int, kmer string, cnt long, sample string").parquet(f"{out}/counts")
+    return open_counts(spark, out, settings.k)
+
+
+def open_counts(spark: SparkSession, out: str, k: int) -> DataFrame:
+    return spark.read.schema(_counts_schema(k)).parquet(f"{out}/counts")
+
+
+def _text(k: int):
+    return (counting.kmer_text("kmer", k) if k <= MAX_K else F.col("kmer")).alias("kmer")
+
+
+def _write_annotated(rows: DataFrame, counts: DataFrame, samples: list[str], missing: int, k: int, path: str, order: str) -> None:
+    """The table of p, the four cells, the k-mer and every sample's count, with its header."""
+    wide = report.annotated(rows, counts, samples, missing)
+    cells = [F.col(c).alias(name) for c, name in zip(("p6", *report.CELLS), HEADER, strict=True)]
+    wide = wide.orderBy(order).select(*cells, _text(k), *[F.col("counts")[i].alias(s) for i, s in enumerate(samples)])
+    reads.write_tsv(wide, path)
 
 
 def run_association(spark: SparkSession, root: str, out: str, settings: Settings = Settings()) -> dict[str, int]:
     """From ``females/`` and ``males/`` under ``root`` to tables under ``out``; returns numbers of samples and k-mers.
 
-    Writes ``counts`` and ``tested`` (all k-mers with their tests) as Parquet, ``significant`` as TSV, ``top`` as TSV,
-    ``fasta`` and ``contigs``. Samples without any surviving k-mer still count as samples.
+    Writes ``counts`` and ``tested`` (all k-mers with their tests) as Parquet; ``matrix``, ``significant`` (p, cells, k-mer
+    and the counts of all samples), ``top`` and ``averages`` (field and mean of the values above 1 in ``significant``) as
+    TSV; ``fasta`` and ``contigs``. Samples without any surviving k-mer still count as samples.
     """
     files = manifest.discover(spark, root)
+    samples = manifest.sample_order(files)
     sizes = {r["grp"]: r["n"] for r in files.groupBy("grp").agg(F.countDistinct("sample").alias("n")).collect()}
     n1, n2 = sizes.get(1, 0), sizes.get(2, 0)
     globs = [f"{root}/{g}/*.fq.gz" for g, n in zip(manifest.GROUPS, (n1, n2), strict=True) if n]
     if not globs:
         raise ValueError(f"{root} has no read files")
     counts = count_table(spark, reads.read_fastq(spark, globs), out, settings)
-    tables = presence.presence(counts, n1, n2, settings.cmin1, settings.cmin2, missing=1 if settings.legacy else 0)
+    missing = 1 if settings.legacy else 0
+    if settings.matrix:
+        export_matrix(spark, out, samples, missing, settings.k)
+    tables = presence.presence(counts, n1, n2, settings.cmin1, settings.cmin2, missing=missing)
     seen = Observation("tested")
     with_fisher(tables, settings.alternative).observe(seen, F.count("*").alias("n")).write.parquet(f"{out}/tested")
     tested = spark.read.parquet(f"{out}/tested")
-    found = tested.where(F.col("pval") <= settings.p_cut if settings.legacy else F.col("pval") < settings.p_cut)
-    ranked = report.ranked(found)
-    ranked.select("rank", "p6", *report.CELLS, "kmer").write.parquet(f"{out}/ranked")
+    # p-values are few: each is formatted once.
+    digits = tested.select("pval").distinct().withColumn("p6", six_digits("pval"))
+    if settings.full_table:
+        _write_annotated(tested.join(digits, "pval"), counts, samples, missing, settings.k, f"{out}/full", "kmer")
+    if settings.legacy:
+        found = tested.join(digits.where(F.col("p6").cast("double") <= settings.p_cut).drop("p6"), "pval")
+    else:
+        found = tested.where(F.col("pval") < settings.p_cut)
+    report.ranked(found).select("rank", "pval", "p6", *report.CELLS, "kmer").write.parquet(f"{out}/ranked")
     ranked = spark.read.parquet(f"{out}/ranked")
-    reads.write_tsv(ranked.orderBy("rank").select(F.col("p6").alias("pval"), F.col("a").alias("grp1_high"), F.col("b").alias("grp1_low"), F.col("c").alias("grp2_high"), F.col("d").alias("grp2_low"), "kmer"), f"{out}/significant")
+    _write_annotated(ranked, counts, samples, missing, settings.k, f"{out}/significant", "rank")
     reads.write_tsv(report.top_groups(ranked.withColumn("pval", F.col("p6").cast("double"))), f"{out}/top")
-    reads.write_fasta(report.fasta_records(ranked).orderBy("rank"), f"{out}/fasta")
-    contigs = assembly.unitigs(ranked, settings.k)
+    write_averages(spark, f"{out}/significant", f"{out}/averages")
+    text = ranked.withColumn("kmer", _text(settings.k))
+    reads.write_fasta(report.fasta_records(text).orderBy("rank"), f"{out}/fasta")
+    contigs = assembly.unitigs(text, settings.k)
     reads.write_fasta(contigs.select(F.concat(F.lit("contig_"), F.xxhash64("seq")).alias("name"), "seq"), f"{out}/contigs")
     return {"n1": n1, "n2": n2, "tested": seen.get["n"], "significant": ranked.count()}
 
 
-def export_matrix(spark: SparkSession, out: str, samples: list[str], missing: int = 0) -> None:
-    """The wide matrix of a finished analysis as TSV in k-mer order; wide tables are for export only."""
-    counts = spark.read.schema("grp int, kmer string, cnt long, sample string").parquet(f"{out}/counts")
-    reads.write_tsv(matrix.count_matrix(counts, samples, missing).orderBy("kmer"), f"{out}/matrix")
+def write_averages(spark: SparkSession, table: str, path: str) -> None:
+    """``field<TAB>mean`` of an annotated table's fields from the seventh on, means in six digits."""
+    lines = spark.read.text(table)
+    means = matrix.field_means(lines, header=matrix.header_of(lines))
+    means = means.orderBy("field").select("field", six_digits("avg").alias("avg"))
+    means.write.option("sep", "\t").csv(path)
+
+
+def export_matrix(spark: SparkSession, out: str, samples: list[str], missing: int = 0, k: int = 27) -> None:
+    """The wide matrix of a finished count table as TSV in k-mer order; wide tables are for export only."""
+    wide = matrix.count_arrays(open_counts(spark, out, k), samples, missing).orderBy("kmer")
+    reads.write_tsv(wide.select(_text(k), *[F.col("counts")[i].alias(s) for i, s in enumerate(samples)]), f"{out}/matrix")
+
+
+def run_matrix(spark: SparkSession, path: str, n1: int, out: str, settings: Settings = Settings()) -> dict[str, int]:
+    """Tests a matrix that is there as TSV with a header: the first ``n1`` samples are group 1.
+
+    Writes ``significant`` (p, cells and each line as it was, with the header brought up to date) and ``averages``.
+    """
+    lines = spark.read.text(path)
+    header = matrix.header_of(lines)
+    tables = matrix.line_tables(lines, n1, settings.cmin1, settings.cmin2, header)
+    found = presence.significant(tables, settings.p_cut, settings.alternative, printed=settings.legacy)
+    digits = found.select("pval").distinct().withColumn("p6", six_digits("pval"))
+    names = [*HEADER, *header.split("\t")]
+    fields = F.split("value", "\t", -1)
+    wide = found.join(digits, "pval").orderBy("kmer").select(
+        *[F.col(c).alias(name) for c, name in zip(("p6", *report.CELLS), HEADER, strict=True)], *[F.get(fields, F.lit(i)).alias(name) for i, name in enumerate(names[5:])]
+    )
+    reads.write_tsv(wide, f"{out}/significant")
+    write_averages(spark, f"{out}/significant", f"{out}/averages")
+    return {"significant": spark.read.option("sep", "\t").option("header", "true").csv(f"{out}/significant").count()}

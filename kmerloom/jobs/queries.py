@@ -6,9 +6,6 @@ sample, English is group 1. P-values are compared as rounded logarithms, since t
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +13,11 @@ from ..functions import parsing, sequences, signatures, statistics
 from ..operators import assembly, counting, lookup, matrix, presence, report
 from ..sources import manifest
 from ..sources.reads import document_reads
+from ..storage import scratch
 from ..streaming import cohort
 
 K = 7
+LONG_K = 12
 MIN_COUNT = 2
 P_CUT = 0.01
 
@@ -39,13 +38,15 @@ def query(sql: str | None = None):
 # SQL text that the queries share.
 
 _ONTO = "".join("ACGT"[i % 4] for i in range(26)) + "N"
-READS = f"""reads AS (SELECT doc_id AS read_id, CASE WHEN lang = 'en' THEN 1 ELSE 2 END AS grp, lang || '-' || source AS sample,
- translate(lower(regexp_replace(text, '[^A-Za-z]', '-', 'g')), 'abcdefghijklmnopqrstuvwxyz-', '{_ONTO}') AS seq
- FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL)"""
+_ROWS = "SELECT doc_id AS read_id, CASE WHEN lang = 'en' THEN 1 ELSE 2 END AS grp, lang || '-' || source AS sample,"
+_KNOWN = "FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL"
+# Letters only, so that long k-mers do not end with each word.
+JOINED = f"""reads AS ({_ROWS} translate(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'abcdefghijklmnopqrstuvwxyz', '{_ONTO[:26]}') AS seq {_KNOWN})"""
+READS = f"""reads AS ({_ROWS} translate(lower(regexp_replace(text, '[^A-Za-z]', '-', 'g')), 'abcdefghijklmnopqrstuvwxyz-', '{_ONTO}') AS seq {_KNOWN})"""
 
 
 def _windows(k: int) -> str:
-    return f"{READS}, windows AS (SELECT read_id, grp, sample, i - 1 AS pos, substr(seq, i, {k}) AS w FROM (SELECT *, unnest(range(1, length(seq) - {k} + 2)) AS i FROM reads))"
+    return f"{JOINED if k >= LONG_K else READS}, windows AS (SELECT read_id, grp, sample, i - 1 AS pos, substr(seq, i, {k}) AS w FROM (SELECT *, unnest(range(1, length(seq) - {k} + 2)) AS i FROM reads))"
 
 
 def _kmers(k: int) -> str:
@@ -88,13 +89,22 @@ def _sizes(reads: DataFrame) -> tuple[int, int]:
     return found.get(1, 0), found.get(2, 0)
 
 
-def _sample_counts(spark: SparkSession, sf_dir: str, k: int = K, least: int = MIN_COUNT) -> DataFrame:
-    return counting.count_kmers(document_reads(spark, sf_dir), k, least, keys=("sample", "grp"))
+def _reads(spark: SparkSession, sf_dir: str, k: int = K) -> DataFrame:
+    return document_reads(spark, sf_dir, deal=True, joined=k >= LONG_K)
+
+
+def _sample_counts(spark: SparkSession, sf_dir: str, k: int = K, least: int = MIN_COUNT, packed: bool = True) -> DataFrame:
+    """Counts of each sample; k-mers stay packed until a query shows them."""
+    return counting.count_kmers(_reads(spark, sf_dir, k), k, least, keys=("sample", "grp"), packed=packed)
+
+
+def _kmer(k: int = K):
+    return counting.kmer_text("kmer", k).alias("kmer")
 
 
-def _tables(spark: SparkSession, sf_dir: str, **thresholds) -> DataFrame:
-    n1, n2 = _sizes(document_reads(spark, sf_dir))
-    return presence.presence(_sample_counts(spark, sf_dir), n1, n2, **thresholds)
+def _tables(spark: SparkSession, sf_dir: str, k: int = K, sizes: tuple[int, int] | None = None, **thresholds) -> DataFrame:
+    n1, n2 = sizes or _sizes(document_reads(spark, sf_dir))
+    return presence.presence(_sample_counts(spark, sf_dir, k), n1, n2, **thresholds)
 
 
 # Samples and reads.
@@ -123,69 +133,89 @@ def reads_too_short(spark: SparkSession, sf_dir: str) -> DataFrame:
 # k-mers.
 
 
-@query(f"WITH {_windows(27)} SELECT read_id, count(*) AS n_windows, count(*) FILTER (NOT regexp_matches(w, '[^ACGT]')) AS n_valid, min(w) AS first_kmer, CAST(max(pos) AS INTEGER) AS last_pos FROM windows GROUP BY read_id")
+@query(f"WITH {_windows(11)} SELECT read_id, count(*) AS n_windows, count(*) FILTER (NOT regexp_matches(w, '[^ACGT]')) AS n_valid, min(w) AS first_kmer, CAST(max(pos) AS INTEGER) AS last_pos FROM windows GROUP BY read_id")
 def kmer_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = sequences.windows(document_reads(spark, sf_dir), 27)
+    cut = sequences.windows(_reads(spark, sf_dir), 11)
     return cut.groupBy("read_id").agg(F.count("*").alias("n_windows"), F.count_if(sequences.is_valid(F.col("kmer"))).alias("n_valid"), F.min("kmer").alias("first_kmer"), F.max("pos").alias("last_pos"))
 
 
 @query(f"WITH {_kmers(5)} SELECT kmer, count(*) AS n FROM kmers GROUP BY kmer")
 def kmer_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counting.kmers(document_reads(spark, sf_dir), 5).groupBy("kmer").agg(F.count("*").alias("n"))
+    return counting.packed_counts(_reads(spark, sf_dir), 5, ()).select(_kmer(5), F.col("cnt").alias("n"))
 
 
 @query(f"WITH {_windows(6)} SELECT DISTINCT w AS kmer, reverse(translate(w, 'ACGT', 'TGCA')) AS rc, w = reverse(translate(w, 'ACGT', 'TGCA')) AS palindrome FROM windows WHERE NOT regexp_matches(w, '[^ACGT]')")
 def kmer_reverse_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = counting.kmers(document_reads(spark, sf_dir), 6, both_strands=False).select("kmer").distinct()
+    own = counting.packed_counts(_reads(spark, sf_dir), 6, (), both_strands=False).select(_kmer(6))
     rc = sequences.reverse_complement(F.col("kmer"))
     return own.select("kmer", rc.alias("rc"), (F.col("kmer") == rc).alias("palindrome"))
 
 
 @query(f"WITH {_counts(least=1)} SELECT sample, kmer, cnt FROM counts")
 def kmer_count_per_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sample_counts(spark, sf_dir, least=1).select("sample", "kmer", "cnt")
+    return _sample_counts(spark, sf_dir, least=1).select("sample", _kmer(), "cnt")
 
 
 @query(f"WITH {_counts()} SELECT sample, kmer, cnt FROM counts")
 def kmer_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sample_counts(spark, sf_dir).select("sample", "kmer", "cnt")
+    return _sample_counts(spark, sf_dir).select("sample", _kmer(), "cnt")
+
+
+@query(f"WITH {_counts(27)} SELECT sample, kmer, cnt FROM counts")
+def kmer_count_k27(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usual length, at which tables grow with the reads."""
+    return _sample_counts(spark, sf_dir, 27).select("sample", _kmer(27), "cnt")
+
+
+@query(f"WITH {_counts(33)} SELECT sample, kmer, cnt FROM counts")
+def kmer_count_k33(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k-mers that no longer fit a number."""
+    return counting.count_kmers(_reads(spark, sf_dir, 33), 33, MIN_COUNT)
+
+
+@query(f"WITH {_counts()}, twice AS (SELECT sample, kmer FROM counts UNION ALL SELECT sample, kmer FROM counts WHERE cnt >= 100) SELECT sample, kmer, count(*) AS n FROM twice GROUP BY ALL HAVING count(*) > 1")
+def kmer_repeated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check for repeated k-mers, on a table to which frequent ones were added once more."""
+    counts = _sample_counts(spark, sf_dir)
+    return counting.repeated_rows(counts.unionByName(counts.where("cnt >= 100"))).select("sample", _kmer(), "n")
 
 
 @query(f"WITH {_counts(4)} SELECT sample, kmer, least(cnt, 255) AS cnt FROM counts")
 def kmer_count_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counting.count_kmers(document_reads(spark, sf_dir), 4, MIN_COUNT, count_cap=255)
+    return counting.count_kmers(_reads(spark, sf_dir), 4, MIN_COUNT, count_cap=255)
 
 
 @query(f"WITH {_counts(9, 1)} SELECT sample, kmer, 2 * cnt AS cnt FROM counts")
 def kmer_low_coverage_double(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counting.count_kmers(counting.doubled(document_reads(spark, sf_dir)), 9, MIN_COUNT)
+    return counting.count_kmers(_reads(spark, sf_dir), 9, MIN_COUNT, times=2)
 
 
 @query(f"WITH {_counts()} SELECT DISTINCT kmer FROM counts")
 def kmer_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counting.universe(_sample_counts(spark, sf_dir))
+    return counting.universe(_sample_counts(spark, sf_dir)).select(_kmer())
 
 
 @query(f"WITH {_counts()} SELECT kmer, CAST(least(sum(cnt), 1000000) AS BIGINT) AS cnt FROM counts GROUP BY kmer")
 def kmer_union_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counting.union_sum(_sample_counts(spark, sf_dir))
+    return counting.union_sum(_sample_counts(spark, sf_dir)).select(_kmer(), "cnt")
 
 
-@query(f"WITH {_counts()} SELECT u.kmer, coalesce(s.cnt, 1) AS cnt FROM (SELECT DISTINCT kmer FROM counts) u LEFT JOIN (SELECT * FROM counts WHERE sample = 'en-src0') s ON u.kmer = s.kmer")
+@query(f"WITH {_counts()} SELECT u.kmer, coalesce(s.cnt, 1) AS cnt FROM (SELECT DISTINCT kmer FROM counts) u LEFT JOIN (SELECT kmer, CAST(sum(cnt) AS BIGINT) AS cnt FROM counts WHERE grp = 1 GROUP BY kmer) s ON u.kmer = s.kmer")
 def kmer_right_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All k-mers with their counts in group 1 as one table; ``kmer_right_count_all`` has every sample."""
     counts = _sample_counts(spark, sf_dir)
-    return counting.right_counts(counting.universe(counts), counts.where("sample = 'en-src0'"))
+    return counting.right_counts(counting.universe(counts), counting.union_sum(counts.where("grp = 1"), 1 << 62)).select(_kmer(), "cnt")
 
 
 @query(f"WITH {_counts()} SELECT u.kmer, s.sample, coalesce(c.cnt, 1) AS cnt FROM (SELECT DISTINCT kmer FROM counts) u CROSS JOIN (SELECT DISTINCT sample FROM reads) s LEFT JOIN counts c ON c.kmer = u.kmer AND c.sample = s.sample")
 def kmer_right_count_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sample as ``kmer_right_count`` has one."""
-    return matrix.right_counts(_sample_counts(spark, sf_dir), manifest.sample_order(document_reads(spark, sf_dir)))
+    return matrix.right_counts(_sample_counts(spark, sf_dir), manifest.sample_order(document_reads(spark, sf_dir))).select(_kmer(), "sample", "cnt")
 
 
 @query(f"WITH {_counts()} SELECT DISTINCT kmer, CAST(1 AS BIGINT) AS cnt FROM counts")
 def kmer_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counting.compact(_sample_counts(spark, sf_dir))
+    return counting.compact(_sample_counts(spark, sf_dir)).select(_kmer(), "cnt")
 
 
 @query(f"WITH {_counts()}, u AS (SELECT kmer, max(CASE WHEN grp = 1 THEN 1 ELSE 0 END) g1, max(CASE WHEN grp = 2 THEN 1 ELSE 0 END) g2 FROM counts GROUP BY kmer) SELECT CASE WHEN g1 = 1 AND g2 = 1 THEN 'both' WHEN g1 = 1 THEN 'group 1' ELSE 'group 2' END AS side, count(*) AS n_kmers FROM u GROUP BY ALL")
@@ -197,13 +227,17 @@ def kmer_set_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Matrices.
 
-_SOURCES = [f"en-src{i}" for i in range(20)]
+# The samples of the test tables: fixed values of the SQL only, since a query there must name its columns.
+_LANGUAGES = ("de", "en", "es", "fr")
+_SAMPLES = [f"{lang}-src{i}" for lang in _LANGUAGES for i in range(20)]
 
 
-@query("WITH " + _counts(5) + " SELECT kmer, " + ", ".join(f"""coalesce(max(cnt) FILTER (sample = '{s}'), 0) AS "{s}\"""" for s in _SOURCES) + " FROM counts WHERE sample IN (" + ", ".join(f"'{s}'" for s in _SOURCES) + ") GROUP BY kmer")
+@query("WITH " + _counts(5) + " SELECT kmer, " + ", ".join(f"""coalesce(max(cnt) FILTER (sample = '{s}'), 0) AS "{s}\"""" for s in _SAMPLES) + " FROM counts GROUP BY kmer")
 def count_matrix_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _sample_counts(spark, sf_dir, 5)
-    return matrix.count_matrix(counts.where(F.col("sample").isin(_SOURCES)), _SOURCES)
+    """One column for every sample of both groups."""
+    samples = manifest.sample_order(document_reads(spark, sf_dir))
+    wide = matrix.count_matrix(_sample_counts(spark, sf_dir, 5), samples)
+    return wide.select(_kmer(5), *[F.col(f"`{s}`") for s in samples])
 
 
 @query(
@@ -215,7 +249,7 @@ def count_matrix_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 def count_matrix_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All samples, as lines of a matrix file: group 1 first, each group in natural order."""
     samples = manifest.sample_order(document_reads(spark, sf_dir))
-    return matrix.count_arrays(_sample_counts(spark, sf_dir, 5), samples).select("kmer", F.array_join(F.col("counts").cast("array<string>"), "\t").alias("cells"))
+    return matrix.count_arrays(_sample_counts(spark, sf_dir, 5), samples).select(_kmer(5), F.array_join(F.col("counts").cast("array<string>"), "\t").alias("cells"))
 
 
 @query(
@@ -234,24 +268,24 @@ def count_matrix_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_counts()}, {_presence()} SELECT * FROM presence")
 def presence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tables(spark, sf_dir)
+    return _tables(spark, sf_dir).select(_kmer(), "a", "b", "c", "d")
 
 
 @query(f"WITH {_counts()}, {_presence(3, 1)} SELECT * FROM presence")
 def presence_grey_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tables(spark, sf_dir, cmin1=3, cmin2=1)
+    return _tables(spark, sf_dir, cmin1=3, cmin2=1).select(_kmer(), "a", "b", "c", "d")
 
 
 @query(f"WITH {_counts()}, {_presence(2, 1, 1)} SELECT * FROM presence")
 def presence_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tables(spark, sf_dir, cmin1=2, cmin2=1, missing=1)
+    return _tables(spark, sf_dir, cmin1=2, cmin2=1, missing=1).select(_kmer(), "a", "b", "c", "d")
 
 
 def _fisher_query(alternative: str):
     sql = f"WITH {_counts()}, {_presence()}, {_fisher(alternative)} SELECT kmer, a, b, c, d, {_LN} FROM presence JOIN tests USING (a, b, c, d)"
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return statistics.with_fisher(_tables(spark, sf_dir), alternative).select("kmer", "a", "b", "c", "d", _ln_p())
+        return statistics.with_fisher(_tables(spark, sf_dir), alternative).select(_kmer(), "a", "b", "c", "d", _ln_p())
 
     run.__name__ = f"fisher_{ {'two': 'two_sided'}.get(alternative, alternative) }"
     return query(sql)(run)
@@ -263,19 +297,25 @@ for _alternative in statistics.ALTERNATIVES:
 _SIGNIFICANT = f"{_counts()}, {_presence()}, {_fisher('two')}, significant AS (SELECT kmer, a, b, c, d, pval FROM presence JOIN tests USING (a, b, c, d) WHERE pval < {P_CUT})"
 
 
-def _significant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return presence.significant(_tables(spark, sf_dir), P_CUT)
+def _significant(spark: SparkSession, sf_dir: str, k: int = K) -> DataFrame:
+    return presence.significant(_tables(spark, sf_dir, k), P_CUT)
 
 
 @query(f"WITH {_SIGNIFICANT} SELECT kmer, a, b, c, d, {_LN} FROM significant")
 def significant_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _significant(spark, sf_dir).select("kmer", "a", "b", "c", "d", _ln_p())
+    return _significant(spark, sf_dir).select(_kmer(), "a", "b", "c", "d", _ln_p())
 
 
-@query(f"WITH {_counts()}, {_presence(2, 1, 1)}, {_fisher('point')} SELECT kmer, a, b, c, d, {_LN} FROM presence JOIN tests USING (a, b, c, d) WHERE pval <= {P_CUT}")
+@query(f"WITH {_counts(27)}, {_presence()}, {_fisher('two')} SELECT kmer, a, b, c, d, {_LN} FROM presence JOIN tests USING (a, b, c, d) WHERE pval < {P_CUT}")
+def significant_k27(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``significant_kmers``, at the usual length."""
+    return _significant(spark, sf_dir, 27).select(_kmer(27), "a", "b", "c", "d", _ln_p())
+
+
+@query(f"WITH {_counts()}, {_presence(2, 1, 1)}, {_fisher('point')} SELECT kmer, a, b, c, d, {_LN} FROM presence JOIN tests USING (a, b, c, d) WHERE CAST(format('{{:.6g}}', pval) AS DOUBLE) <= {P_CUT}")
 def significant_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _tables(spark, sf_dir, cmin1=2, cmin2=1, missing=1)
-    return presence.significant(tables, P_CUT, "point", inclusive=True).select("kmer", "a", "b", "c", "d", _ln_p())
+    return presence.significant(tables, P_CUT, "point", printed=True).select(_kmer(), "a", "b", "c", "d", _ln_p())
 
 
 @query(f"WITH {_SIGNIFICANT} SELECT a, b, c, d, {_LN}, count(*) AS n_kmers FROM significant GROUP BY pval, a, b, c, d ORDER BY ln_p, a, b, c, d LIMIT 9")
@@ -286,7 +326,7 @@ def top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_SIGNIFICANT}, p6 AS (SELECT kmer, format('{{:.6g}}', pval) AS p6 FROM significant), r AS (SELECT *, row_number() OVER (ORDER BY CAST(p6 AS DOUBLE), kmer) AS rank FROM p6) SELECT rank, 'kmer' || rank || '_pval_' || p6 AS name, kmer AS seq FROM r")
 def ranked_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.fasta_records(report.ranked(_significant(spark, sf_dir)))
+    return report.fasta_records(report.ranked(_significant(spark, sf_dir)).withColumn("kmer", _kmer()))
 
 
 @query(f"WITH {_counts()} SELECT sample, round(avg(cnt), 9) AS mean_depth FROM counts WHERE cnt > 1 GROUP BY sample")
@@ -300,20 +340,64 @@ def significant_mean_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.mean_depth(counts).select("sample", F.round("mean_depth", 9).alias("mean_depth"))
 
 
-def _specific(group: int):
+def _specific(group: int, share: float):
     own, other = ("a", "c") if group == 1 else ("c", "a")
-    sql = f"WITH {_counts()}, {_presence()} SELECT kmer, a, b, c, d FROM presence WHERE {own} = (SELECT count(DISTINCT sample) FROM reads WHERE grp = {group}) AND {other} = 0"
+    sql = f"WITH {_counts()}, {_presence()} SELECT kmer, a, b, c, d FROM presence WHERE {own} >= {share} * (SELECT count(DISTINCT sample) FROM reads WHERE grp = {group}) AND {other} = 0"
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        n1, n2 = _sizes(document_reads(spark, sf_dir))
-        return presence.group_specific(_tables(spark, sf_dir), n1, n2, group)
+        sizes = _sizes(document_reads(spark, sf_dir))
+        return presence.group_specific(_tables(spark, sf_dir, sizes=sizes), *sizes, group, share).select(_kmer(), "a", "b", "c", "d")
 
     run.__name__ = f"specific_group{group}"
     return query(sql)(run)
 
 
-_specific(1)
-_specific(2)
+# No k-mer is in all 60 samples of three languages and in none of the fourth: a quarter of them is asked of group 2.
+_specific(1, 1.0)
+_specific(2, 0.25)
+
+
+# Annotated tables.
+
+_ORDER = (
+    "samples AS (SELECT DISTINCT grp, sample, [CASE WHEN regexp_matches(p, '[0-9]') THEN {'kind': 1, 'n': CAST(p AS BIGINT), 's': ''} ELSE {'kind': 0, 'n': CAST(0 AS BIGINT), 's': p} END"
+    " FOR p IN regexp_extract_all(sample, '[0-9]+|[^0-9]+')] AS natural_key FROM reads)"
+)
+_ANNOTATED = (
+    f"{_SIGNIFICANT}, {_ORDER}, cells AS (SELECT u.*, s.grp, s.natural_key, coalesce(c.cnt, 0) AS cnt FROM significant u CROSS JOIN samples s LEFT JOIN counts c ON c.kmer = u.kmer AND c.sample = s.sample)"
+)
+
+
+def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = manifest.sample_order(document_reads(spark, sf_dir))
+    return report.annotated(_significant(spark, sf_dir), _sample_counts(spark, sf_dir), samples)
+
+
+@query(f"WITH {_ANNOTATED} SELECT kmer, a, b, c, d, {_LN}, string_agg(CAST(cnt AS VARCHAR), chr(9) ORDER BY grp, natural_key) AS cells FROM cells GROUP BY kmer, a, b, c, d, pval")
+def annotated_significant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Significant k-mers with the counts of every sample, group 1 first, each group in natural order."""
+    return _annotated(spark, sf_dir).select(_kmer(), "a", "b", "c", "d", _ln_p(), F.array_join(F.col("counts").cast("array<string>"), "\t").alias("cells"))
+
+
+@query(
+    f"WITH {_ANNOTATED}, places AS (SELECT grp, natural_key, CAST(6 + row_number() OVER (ORDER BY grp, natural_key) AS INTEGER) AS field FROM samples)"
+    " SELECT field, round(avg(cnt), 9) AS avg FROM cells JOIN places USING (grp, natural_key) WHERE cnt > 1 GROUP BY field"
+)
+def field_means_significant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The means of the annotated table's fields, read back from its lines."""
+    rows = _annotated(spark, sf_dir)
+    value = F.concat_ws("\t", F.col("pval").cast("string"), "a", "b", "c", "d", _kmer(), F.col("counts").cast("array<string>"))
+    return matrix.field_means(rows.select(value.alias("value"))).select("field", F.round("avg", 9).alias("avg"))
+
+
+@query(f"WITH {_SIGNIFICANT} SELECT kmer, a, b, c, d, {_LN} FROM significant")
+def matrix_lines_significant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same k-mers from the lines of a matrix, as a table that came with its counts ready is tested."""
+    reads = document_reads(spark, sf_dir)
+    samples = manifest.sample_order(reads)
+    rows = matrix.count_arrays(_sample_counts(spark, sf_dir), samples)
+    lines = rows.select(F.concat_ws("\t", _kmer(), F.col("counts").cast("array<string>")).alias("value"))
+    return presence.significant(matrix.line_tables(lines, _sizes(reads)[0]), P_CUT).select("kmer", "a", "b", "c", "d", _ln_p())
 
 
 # Lookups.
@@ -323,13 +407,13 @@ _specific(2)
 def kmer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = _sample_counts(spark, sf_dir)
     found = lookup.lookup(counting.universe(counts.where("grp = 2")), counting.union_sum(counts.where("grp = 1")), 3, 10_000)
-    return found.select("kmer", F.col("cnt").isNotNull().alias("found"), F.coalesce("cnt", F.lit(0).cast("long")).alias("cnt"))
+    return found.select(_kmer(), F.col("cnt").isNotNull().alias("found"), F.coalesce("cnt", F.lit(0).cast("long")).alias("cnt"))
 
 
 @query(f"WITH {_counts()} SELECT DISTINCT kmer FROM counts WHERE grp = 2 AND kmer IN (SELECT kmer FROM counts WHERE grp = 1)")
 def kmer_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = _sample_counts(spark, sf_dir)
-    return lookup.contained(counting.universe(counts.where("grp = 2")), counting.universe(counts.where("grp = 1")))
+    return lookup.contained(counting.universe(counts.where("grp = 2")), counting.universe(counts.where("grp = 1"))).select(_kmer())
 
 
 @query(
@@ -338,7 +422,7 @@ def kmer_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     " SELECT read_id, count(*) AS n_pos, CAST(sum(cnt) AS BIGINT) AS total, max(cnt) AS highest, count(*) FILTER (cnt = 0) AS n_absent, CAST(sum(cnt * (pos % 1000)) AS BIGINT) AS by_place FROM found GROUP BY read_id"
 )
 def read_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads = document_reads(spark, sf_dir)
+    reads = _reads(spark, sf_dir)
     db = counting.union_sum(_sample_counts(spark, sf_dir, 11).where("grp = 1"), 1 << 62)
     return lookup.counters(reads, db, 11).groupBy("read_id").agg(F.count("*").alias("n_pos"), F.sum("cnt").alias("total"), F.max("cnt").alias("highest"), F.count_if(F.col("cnt") == 0).alias("n_absent"), F.sum(F.col("cnt") * (F.col("pos") % 1000)).alias("by_place"))
 
@@ -360,7 +444,7 @@ _PACK = " + ".join(f"(instr('ACGT', substr(kmer, {i + 1}, 1)) - 1) * {4 ** (8 -
 
 @query(f"WITH {_kmers(9)} SELECT DISTINCT kmer, CAST({_PACK} AS BIGINT) AS packed, kmer AS unpacked, CAST(instr('ACGT', substr(kmer, 3, 1)) - 1 AS INTEGER) AS third FROM kmers")
 def kmer_pack_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = counting.universe(counting.kmers(document_reads(spark, sf_dir), 9))
+    own = counting.packed_counts(_reads(spark, sf_dir), 9, ()).select(_kmer(9))
     number = sequences.packed(F.col("kmer"), 9)
     return own.select("kmer", number.alias("packed"), sequences.unpacked(number, 9).alias("unpacked"), sequences.code_at(F.col("kmer"), 2).alias("third"))
 
@@ -379,7 +463,7 @@ def _mmer_allowed(w: str) -> str:
     " SELECT kmer, CAST(min(coalesce(least(f, b), 1024)) AS BIGINT) AS signature FROM n GROUP BY kmer"
 )
 def kmer_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = counting.universe(counting.kmers(document_reads(spark, sf_dir), 9))
+    own = counting.packed_counts(_reads(spark, sf_dir), 9, ()).select(_kmer(9))
     return signatures.signatures(own, 5).select("kmer", F.col("signature").cast("long").alias("signature"))
 
 
@@ -445,14 +529,13 @@ def event_user_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def unitigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contigs of the significant k-mers; compared with plain Python in the tests."""
-    return assembly.unitigs(_significant(spark, sf_dir), K)
+    return assembly.unitigs(_significant(spark, sf_dir).select(_kmer()), K)
 
 
 @query(f"WITH {_counts()} SELECT sample, kmer, cnt FROM counts")
 def streamed_cohort_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same counts from a stream of read files."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-kmerloom-")
-    path = f"{root.rstrip('/')}/kmerloom/cohort-{uuid.uuid4().hex}"
+    path = scratch(spark, "cohort")
     documents = f"{sf_dir}/documents.parquet"
     schema = spark.read.parquet(documents).schema
     # A stream reads folders; a table of one file is given by name.
@@ -462,8 +545,8 @@ def streamed_cohort_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = stream.where("text is not null and lang is not null and source is not null")
     reads = known.select(F.col("doc_id").alias("read_id"), grp.alias("grp"), F.concat_ws("-", "lang", "source").alias("sample"), sequences.text_to_bases(F.col("text")).alias("seq"))
     cohort.append_counts(reads, K, f"{path}/counts", f"{path}/state")
-    table = spark.read.schema("sample string, grp int, kmer string, cnt long, batch int").parquet(f"{path}/counts")
-    return cohort.cohort_counts(table).select("sample", "kmer", "cnt")
+    table = spark.read.schema(cohort.SCHEMA).parquet(f"{path}/counts")
+    return cohort.cohort_counts(table).select("sample", _kmer(), "cnt")
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:

@@ -8,20 +8,13 @@ correction or bubble removal.
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequences import reverse_complement
+from ..storage import checkpointed as _checkpointed
 
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of an iterative job in the shared folder that the cluster names."""
-    spark: SparkSession = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-kmerloom-"))
-    return df.checkpoint()
+PIECE = 4096
 
 
 def unitigs(kmers: DataFrame, k: int, min_length: int | None = None) -> DataFrame:
@@ -50,13 +43,21 @@ def unitigs(kmers: DataFrame, k: int, min_length: int | None = None) -> DataFram
         if ranks.where("moved").isEmpty():
             break
         ranks = ranks.drop("moved")
-    spelled = ranks.groupBy("head").agg(F.array_sort(F.collect_list(F.struct("dist", F.substring("node", -1, 1).alias("base")))).alias("bases"), F.count("*").alias("n_kmers"))
-    tail = F.array_join(F.transform("bases", lambda b: b["base"]), "")
+    # A long contig is spelled in pieces by many tasks first; the last step joins one string per piece.
+    base = F.struct("dist", F.substring("node", -1, 1).alias("text"))
+    pieces = ranks.groupBy("head", F.floor(F.col("dist") / PIECE).alias("dist")).agg(F.array_sort(F.collect_list(base)).alias("parts"), F.count("*").alias("n"))
+    pieces = pieces.select("head", "n", F.struct("dist", _joined("parts").alias("text")).alias("piece"))
+    spelled = pieces.groupBy("head").agg(F.array_sort(F.collect_list("piece")).alias("parts"), F.sum("n").alias("n_kmers"))
+    tail = _joined("parts")
     spelled = spelled.select(F.concat(F.col("head"), F.substring(tail, F.lit(2), F.length(tail))).alias("seq"), "n_kmers")
     once = spelled.select(F.least("seq", reverse_complement(F.col("seq"))).alias("seq"), "n_kmers").distinct()
     return once.where(F.length("seq") >= (k if min_length is None else min_length))
 
 
+def _joined(parts: str) -> Column:
+    return F.array_join(F.transform(parts, lambda p: p["text"]), "")
+
+
 def _cut_cycles(nodes: DataFrame, chain: DataFrame) -> DataFrame:
     """``(v, prev)`` of the links of ``chain``, without those that close a cycle.
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.sequences import canonical, is_valid, windows
+from ..functions.packing import MAX_K, counted_batches
+from ..functions.sequences import canonical, is_valid, unpacked, windows
 
 
 def kmers(reads: DataFrame, k: int, both_strands: bool = True) -> DataFrame:
@@ -14,18 +19,51 @@ def kmers(reads: DataFrame, k: int, both_strands: bool = True) -> DataFrame:
     return valid.withColumn("kmer", canonical(F.col("kmer"))) if both_strands else valid
 
 
-def count_kmers(reads: DataFrame, k: int, min_count: int = 2, count_cap: int | None = None, keys: tuple[str, ...] = ("sample",), both_strands: bool = True) -> DataFrame:
-    """k-mers of each sample with at least ``min_count`` occurrences over all its reads; counts stop at ``count_cap``.
+def packed_counts(reads: DataFrame, k: int, keys: tuple[str, ...] = ("sample",), both_strands: bool = True) -> DataFrame:
+    """``(keys ..., kmer, cnt)``: k-mers up to 31 as packed longs, with their numbers of occurrences.
 
-    Counting is one partial and one final aggregation: frequent k-mers are summed before the shuffle.
+    k-mers are counted within pieces of a batch first, then within a task, then over all tasks: one shuffle of numbers.
     """
-    counts = kmers(reads, k, both_strands).groupBy(*keys, "kmer").agg(F.count("*").alias("cnt")).where(F.col("cnt") >= min_count)
-    return counts if count_cap is None else counts.withColumn("cnt", F.least("cnt", F.lit(count_cap).cast("long")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return counted_batches(batches, k, both_strands)
+
+    fields = [*(T.StructField(c, reads.schema[c].dataType) for c in keys), T.StructField("kmer", T.LongType()), T.StructField("cnt", T.LongType())]
+    pieces = reads.where(F.length("seq") >= k).select(*keys, "seq").mapInArrow(run, T.StructType(fields))
+    return pieces.groupBy(*keys, "kmer").agg(F.sum("cnt").alias("cnt"))
 
 
-def doubled(reads: DataFrame) -> DataFrame:
-    """Every read twice: with a minimum of two, k-mers seen once stay (low-coverage mode)."""
-    return reads.unionAll(reads)
+def count_kmers(
+    reads: DataFrame, k: int, min_count: int = 2, count_cap: int | None = None, keys: tuple[str, ...] = ("sample",), both_strands: bool = True, packed: bool = False, times: int = 1
+) -> DataFrame:
+    """k-mers of each sample with at least ``min_count`` occurrences over all its reads; counts stop at ``count_cap``.
+
+    ``times`` counts each read as often as that (2 is the low-coverage mode, in which k-mers seen once stay). ``packed``
+    leaves k-mers as longs, for all that only compares them; ``unpacked`` brings them back. k-mers of more than 31 bases
+    are strings throughout. Null and short reads have no k-mers; repeated reads count each; an empty table gives none.
+    """
+    if k > MAX_K:
+        if packed:
+            raise ValueError(f"k = {k} does not fit a signed 64-bit integer")
+        counts = kmers(reads, k, both_strands).groupBy(*keys, "kmer").agg(F.count("*").alias("cnt"))
+    else:
+        counts = packed_counts(reads, k, keys, both_strands)
+    if times != 1:
+        counts = counts.withColumn("cnt", F.col("cnt") * times)
+    counts = counts.where(F.col("cnt") >= min_count)
+    if count_cap is not None:
+        counts = counts.withColumn("cnt", F.least("cnt", F.lit(count_cap).cast("long")))
+    return counts if packed or k > MAX_K else counts.withColumn("kmer", unpacked(F.col("kmer"), k))
+
+
+def kmer_text(kmer: Column | str, k: int) -> Column:
+    """A packed k-mer as text."""
+    return unpacked(F.col(kmer) if isinstance(kmer, str) else kmer, k)
+
+
+def repeated_rows(counts: DataFrame) -> DataFrame:
+    """``(sample, kmer, n)`` of k-mers that a sample's table holds more than once: empty for a sound table."""
+    return counts.groupBy("sample", "kmer").agg(F.count("*").alias("n")).where("n > 1")
 
 
 def universe(counts: DataFrame) -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.sequences import canonical, is_valid, windows
+from ..functions.packing import MAX_K, placed_batches
+from ..functions.sequences import canonical, is_valid, packed, windows
 
 
 def lookup(probe: DataFrame, database: DataFrame, low: int | None = None, high: int | None = None) -> DataFrame:
@@ -26,12 +31,26 @@ def contained(probe: DataFrame, database: DataFrame) -> DataFrame:
 def counters(reads: DataFrame, database: DataFrame, k: int, both_strands: bool = True) -> DataFrame:
     """``(read_id, pos, cnt)``: the database's count at each position of each read, 0 where it has none.
 
-    Distinct k-mers are looked up by a plain join, which Spark may split where one k-mer is very frequent.
+    Windows with other symbols have keys that differ from each other and from any k-mer, so that they are no hot key of
+    the join; a very frequent k-mer's rows are all on the left side, where Spark may split them.
     """
-    cut = windows(reads.select("read_id", "seq"), k)
-    key = canonical(F.col("kmer")) if both_strands else F.col("kmer")
-    cut = cut.withColumn("kmer", F.when(is_valid(F.col("kmer")), key))
-    return cut.join(database.select("kmer", "cnt"), "kmer", "left").select("read_id", "pos", F.coalesce("cnt", F.lit(0).cast("long")).alias("cnt"))
+    own = reads.where(F.length("seq") >= k).select("read_id", "seq")
+    if k > MAX_K:
+        cut = windows(own, k)
+        key = canonical(F.col("kmer")) if both_strands else F.col("kmer")
+        cut = cut.withColumn("kmer", F.when(is_valid(F.col("kmer")), key).otherwise(F.concat(F.lit("-"), F.col("pos"))))
+        db = database.select("kmer", "cnt")
+    else:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return placed_batches(batches, k, both_strands)
+
+        out = T.StructType([T.StructField("read_id", reads.schema["read_id"].dataType), T.StructField("pos", T.IntegerType()), T.StructField("kmer", T.LongType())])
+        cut = own.mapInArrow(run, out)
+        db = database.select("kmer", "cnt")
+        if isinstance(database.schema["kmer"].dataType, T.StringType):
+            db = db.select(packed(F.col("kmer"), k).alias("kmer"), "cnt")
+    return cut.join(db, "kmer", "left").select("read_id", "pos", F.coalesce("cnt", F.lit(0).cast("long")).alias("cnt"))
 
 
 def counter_arrays(found: DataFrame) -> DataFrame:

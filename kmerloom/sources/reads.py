@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,40 +10,39 @@ from .manifest import GROUPS, sample_of
 
 
 def read_fastq(spark: SparkSession, paths: str | list[str], groups: tuple[str, str] = GROUPS) -> DataFrame:
-    """``(path, grp, sample, line, seq)`` of gzipped four-line FASTQ files, of which each is read by one task, in order.
+    """``(path, grp, sample, seq)`` of four-line FASTQ files, compressed or plain.
 
-    Gzip cannot be split: many files per sample, not large ones, spread the work. Files must be compressed; a plain file
-    would be split and lose its framing.
+    Lines are cut where a line starts with ``@``, which every record does. A quality line that starts so is cut off its
+    record, which loses nothing: a piece is a record if its third line starts with ``+``, and its second is the sequence.
+    Plain files can thereby be split anywhere and are read by many tasks; gzip cannot be split, so that many files per
+    sample, not large ones, spread the work. Files without records give no rows; a truncated last record has none either.
     """
-    lines = spark.read.text(paths).select(F.input_file_name().alias("path"), "value")
-
-    def sequences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        path, at = None, 0
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            new = pdf["path"].ne(pdf["path"].shift()).to_numpy()
-            new[0] = pdf["path"].iloc[0] != path
-            block = pd.Series(new).cumsum().to_numpy()
-            number = pdf.groupby(block).cumcount().to_numpy()
-            number = number + (block == 0) * at
-            path, at = pdf["path"].iloc[-1], int(number[-1]) + 1
-            keep = number % 4 == 1
-            yield pd.DataFrame({"path": pdf["path"][keep], "line": number[keep] // 4, "seq": pdf["value"][keep]})
-
-    reads = lines.mapInPandas(sequences, "path string, line long, seq string")
+    pieces = spark.read.option("lineSep", "\n@").text(paths).select(F.input_file_name().alias("path"), F.split("value", "\r?\n", 4).alias("lines"))
+    records = pieces.where((F.size("lines") >= 3) & F.get("lines", F.lit(2)).startswith("+"))
     grp = F.when(F.col("path").rlike(f"(?:^|/){groups[0]}/"), 1).otherwise(2)
-    return reads.select("path", grp.alias("grp"), sample_of(F.col("path"), groups).alias("sample"), "line", "seq")
+    return records.select("path", grp.alias("grp"), sample_of(F.col("path"), groups).alias("sample"), F.get("lines", F.lit(1)).alias("seq"))
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df``, a plain scan, dealt over the cores where it has fewer splits than there are cores.
+
+    On tables of many splits nothing is shuffled; a single file of one row group would leave all cores but one idle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def document_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_reads(spark: SparkSession, sf_dir: str, deal: bool = False, joined: bool = False) -> DataFrame:
     """``(read_id, grp, sample, seq)``: whole texts of ``documents`` as reads; group 1 is English.
 
-    A sample is a language and a source. Rows without a text, language or source are no reads.
+    A sample is a language and a source. Rows without a text, language or source are no reads. ``deal``: see ``dealt``; ``joined``:
+    letters only, so that long k-mers do not end with each word.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null and lang is not null and source is not null")
+    if deal:
+        docs = dealt(docs.select("doc_id", "lang", "source", "text"))
     grp = F.when(F.col("lang") == "en", 1).otherwise(2)
-    return docs.select(F.col("doc_id").alias("read_id"), grp.alias("grp"), F.concat_ws("-", "lang", "source").alias("sample"), text_to_bases(F.col("text")).alias("seq"))
+    return docs.select(F.col("doc_id").alias("read_id"), grp.alias("grp"), F.concat_ws("-", "lang", "source").alias("sample"), text_to_bases(F.col("text"), joined).alias("seq"))
 
 
 def write_tsv(df: DataFrame, path: str, compression: str = "gzip") -> None:

@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.counting import kmers
+from ..operators.counting import packed_counts
+
+SCHEMA = "sample string, grp int, kmer long, cnt long, batch int"
 
 
 def append_counts(reads: DataFrame, k: int, table: str, checkpoint: str) -> None:
     """Count the canonical k-mers of every new micro-batch of the stream ``reads`` and append them to ``table``.
 
-    Each batch writes its partial counts under its own number, so that a repeated batch replaces what it wrote before.
+    k-mers (up to 31 bases) are packed. Each batch writes its partial counts under its own number, so that a repeated batch replaces what it wrote before.
     Returns when all that was there at the start is counted.
     """
 
     def add(batch: DataFrame, number: int) -> None:
-        counts = kmers(batch, k).groupBy("sample", "grp", "kmer").agg(F.count("*").alias("cnt"))
+        counts = packed_counts(batch, k, ("sample", "grp"))
         counts.write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     reads.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -68,10 +68,44 @@ def test_cut_is_strict(spark):
     found = presence.presence(counts(spark), 5, 5)
     assert {r["kmer"] for r in presence.significant(found, 0.01).collect()} == {"AAACG", "AACGT"}
     one = spark.createDataFrame([(3, 0, 0, 0)], "a long, b long, c long, d long")
-    assert presence.significant(one, 1.0).count() == 0 and presence.significant(one, 1.0, inclusive=True).count() == 1
+    assert presence.significant(one, 1.0).count() == 0 and presence.significant(one, 1.0, printed=True).count() == 1
     assert [r["kmer"] for r in presence.group_specific(found, 5, 5, 2).collect()] == ["AACGT"]
 
 
+def test_tests_run_once_per_table(spark):
+    """The sum of a test stands above the distinct tables, and the cut above the sum: nothing of it is done row by row."""
+    rows = spark.createDataFrame([(f"k{i}", 5, 0, i % 3, 5 - i % 3) for i in range(50)], "kmer string, a long, b long, c long, d long")
+    plan = presence.significant(rows, 0.01)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    exps = [i for i, line in enumerate(plan) if "EXP(" in line.upper()]
+    assert exps and all("Aggregate" in plan[i] for i in exps)
+    cut = [i for i, line in enumerate(plan) if "Filter" in line and "0.01" in line]
+    assert cut and max(cut) < min(exps)
+    distinct = [i for i, line in enumerate(plan) if "Aggregate [a" in line]
+    assert max(distinct) > max(i for i, line in enumerate(plan) if "Generate explode" in line)
+
+
+def test_legacy_cut_is_on_the_printed_value(spark):
+    # The point probability of this table is 0.0099999504...: printed 0.01 or not decides between neighbours.
+    rows = spark.createDataFrame([(5, 0, 0, 5)], "a long, b long, c long, d long")
+    p = 1 / 252
+    assert presence.significant(rows, float(f"{p:.6g}"), "point", printed=True).count() == 1
+    assert (presence.significant(rows, float(f"{p:.6g}"), "point").count() == 1) == (p < float(f"{p:.6g}"))
+
+
+def test_ranks_with_one_p_value(spark):
+    rows = spark.range(500).select(F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("kmer"), F.lit(0.25).alias("pval"))
+    got = report.ranked(rows).orderBy("rank").collect()
+    assert [(r["rank"], r["kmer"]) for r in got] == [(i + 1, f"k{i:04d}") for i in range(500)]
+
+
+def test_long_contigs_are_spelled_in_pieces(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(assembly, "PIECE", 7)
+    text = "".join(random.Random(5).choices("ACGT", k=60))
+    assert contigs(spark, canonical_set(text, 11), 11) == [min(text, rc(text))]
+
+
 def test_report(spark):
     found = presence.significant(presence.presence(counts(spark), 5, 5), 0.05)
     groups = [tuple(r) for r in report.top_groups(found.withColumn("pval", F.round("pval", 8))).collect()]

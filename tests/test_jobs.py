@@ -29,11 +29,24 @@ def test_association(spark, cohort, tmp_path):
     contigs = [r["value"] for r in spark.read.text(f"{out}/contigs").collect() if r["value"][0] != ">"]
     rc = OWN[::-1].translate(str.maketrans("ACGT", "TGCA"))
     assert contigs == [min(OWN, rc)]
-    association.export_matrix(spark, out, ["female-S0", "male-S0"])
+    assert {(r["female-S0"], r["male-S4"]) for r in rows} == {("2", "0")}
+    means = sorted(tuple(r) for r in spark.read.option("sep", "\t").csv(f"{out}/averages").collect())
+    assert means == sorted((str(7 + i), "2") for i in range(5))
     wide = spark.read.option("sep", "\t").option("header", "true").csv(f"{out}/matrix").collect()
     assert len(wide) == found["tested"] and {r["male-S0"] for r in wide} == {"0", "2"}
     with pytest.raises(ValueError):
         association.run_association(spark, str(tmp_path / "out" / "top"), str(tmp_path / "none"))
+    again = str(tmp_path / "again")
+    assert association.run_matrix(spark, f"{out}/matrix", 5, again) == {"significant": found["significant"]}
+    assert sorted(spark.read.text(f"{again}/significant").collect()) == sorted(spark.read.text(f"{out}/significant").collect())
+
+
+def test_legacy_and_full_tables(spark, cohort, tmp_path):
+    out = str(tmp_path / "out")
+    found = association.run_association(spark, cohort, out, association.legacy_settings(k=9, full_table=True, matrix=False))
+    full = spark.read.option("sep", "\t").option("header", "true").csv(f"{out}/full").collect()
+    assert len(full) == found["tested"] and {r["male-S0"] for r in full} == {"1", "2"}
+    assert found["significant"] == len(OWN) - 8
 
 
 def test_database(spark, tmp_path):

@@ -1,9 +1,13 @@
+import random
+from collections import Counter
+
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kmerloom.functions import parsing, sequences, signatures
+from kmerloom.functions import packing, parsing, sequences, signatures
 from kmerloom.operators import counting, lookup, matrix
 
 READS = [(1, "ACGTNACGTACG"), (2, "AC"), (3, "acgt"), (4, None)]
@@ -22,7 +26,7 @@ def test_canonical_counts(spark):
     assert counted(counting.count_kmers(reads(spark), 3, 2)) == {"ACG": 7, "GTA": 2}
     assert counted(counting.count_kmers(reads(spark), 3, 3)) == {"ACG": 7}
     assert counted(counting.count_kmers(reads(spark), 3, 1, count_cap=5)) == {"ACG": 5, "GTA": 2}
-    assert counted(counting.count_kmers(counting.doubled(reads(spark)), 3, 1)) == {"ACG": 14, "GTA": 4}
+    assert counted(counting.count_kmers(reads(spark), 3, 2, times=2)) == {"ACG": 14, "GTA": 4}
     assert counted(counting.count_kmers(reads(spark, []), 3, 1)) == {}
 
 
@@ -31,6 +35,10 @@ def test_counters_along_reads(spark):
     asked = reads(spark, [(1, "ACGTNACGTA"), (2, "TTTACG"), (3, "AC")])
     found = {r["read_id"]: r["counters"] for r in lookup.counter_arrays(lookup.counters(asked, db, 3)).collect()}
     assert found == {1: [7, 7, 0, 0, 0, 7, 7, 2], 2: [0, 0, 2, 7]}
+    long = "ACGT" * 12 + "N" + "ACGT" * 9
+    db = counting.count_kmers(reads(spark, [(1, long)]), 33, 1)
+    got = lookup.counter_arrays(lookup.counters(reads(spark, [(1, long)]), db, 33)).first()["counters"]
+    assert len(got) == len(long) - 32 and got[16:49] == [0] * 33 and min(got[:16] + got[49:]) > 0
 
 
 def test_windows_of_long_reads_cross_pieces(spark):
@@ -39,11 +47,48 @@ def test_windows_of_long_reads_cross_pieces(spark):
     assert [(r["pos"], r["kmer"]) for r in rows] == [(i, text[i : i + 9]) for i in range(len(text) - 8)]
 
 
-@settings(max_examples=20, deadline=None)
-@given(st.text("ACGT", min_size=1, max_size=31))
-def test_packing_keeps_order_and_value(kmer):
-    value = sum("ACGT".index(c) * 4 ** (len(kmer) - 1 - i) for i, c in enumerate(kmer))
-    assert value < 1 << 62
+def rc(s):
+    return s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ACGTacgtN", max_size=80), st.integers(1, 31), st.booleans())
+def test_packed_windows(text, k, both):
+    values, ok = packing.packed_windows(np.frombuffer(text.encode(), np.uint8), k, both)
+    want = []
+    for i in range(len(text) - k + 1):
+        w = text[i : i + k].upper()
+        w = min(w, rc(w)) if both else w
+        want.append(None if "N" in w else sum("ACGT".index(c) * 4 ** (k - 1 - j) for j, c in enumerate(w)))
+    assert [int(v) if o else None for v, o in zip(values, ok, strict=True)] == want
+
+
+@pytest.mark.parametrize("k", [5, 12, 31, 33])
+def test_counts_by_sample_against_python(spark, k, monkeypatch):
+    """Keys with nulls, long reads in pieces, other symbols; above 31 bases k-mers are strings."""
+    rng = random.Random(k)
+    base = "".join(rng.choices("ACGT", k=400))
+    rows = [(i, rng.choice(["a", "b", None]), i % 2, base[rng.randint(0, 200) :][: rng.randint(0, 200)] + rng.choice(["", "N", "nx-ü", "acgt"])) for i in range(60)]
+    rows += [(99, "a", 0, base * 400), (100, "b", None, None), (101, "b", 1, "")]
+    df = spark.createDataFrame(rows, "read_id long, sample string, grp int, seq string")
+    want = Counter()
+    for _, sample, grp, seq in rows:
+        for i in range(len(seq or "") - k + 1):
+            w = seq[i : i + k].upper()
+            if not set(w) - set("ACGT"):
+                want[(sample, grp, min(w, rc(w)))] += 1
+    got = {(r["sample"], r["grp"], r["kmer"]): r["cnt"] for r in counting.count_kmers(df, k, 1, keys=("sample", "grp")).collect()}
+    assert got == want
+    packed_rows = counting.count_kmers(df, k, 1, keys=(), packed=True).count() if k < 32 else len({x for *_, x in want})
+    assert packed_rows == len({x for *_, x in want})
+    if k > 31:
+        with pytest.raises(ValueError):
+            counting.count_kmers(df, k, packed=True)
+
+
+def test_repeated_rows(spark):
+    table = spark.createDataFrame([("s", "A", 1), ("s", "A", 2), ("t", "A", 1)], "sample string, kmer string, cnt long")
+    assert [tuple(r) for r in counting.repeated_rows(table).collect()] == [("s", "A", 2)]
 
 
 def test_packed_and_back(spark):
@@ -98,6 +143,16 @@ def test_matrix_and_back(spark):
     assert back == {("AC", "m-1"): 3, ("AC", "m-2"): 4, ("GT", "m-1"): 0}
 
 
+def test_headers_are_no_rows(spark):
+    lines = spark.createDataFrame([("kmer\tf\tm",), ("AC\t3\t4",), ("kmer\tf\tm",)], "value string")
+    head = matrix.header_of(lines)
+    assert sorted(tuple(r) for r in matrix.read_matrix(lines, header=head).collect()) == [("AC", "f", 3.0), ("AC", "m", 4.0)]
+    with pytest.raises(ValueError):
+        matrix.read_matrix(lines)
+    one = matrix.line_tables(lines.unionAll(spark.createDataFrame([("",), ("GT\tx\tnan\t5",), (None,)], "value string")), 1, header=head)
+    assert {r["kmer"]: tuple(r)[1:5] for r in one.collect()} == {"AC": (1, 0, 1, 0), "": (0, 0, 0, 0), "GT": (0, 1, 1, 0)}
+
+
 def test_field_means(spark):
     rows = ["0.00793651\t5\t0\t0\t5\tAAACG\t3\t2\t4\t2\t5\t0\t0\t0\t0\t0", "0.00793651\t0\t5\t5\t0\tAACGT\t0\t0\t0\t0\t0\t2\t2\t3\t9\t2"]
     got = matrix.field_means(spark.createDataFrame([(r,) for r in rows], "value string")).orderBy("field").collect()

@@ -31,6 +31,30 @@ def test_fastq(spark, cohort_dir):
     assert rows == [("female-F1", 1, "ACGTA"), ("female-F1", 1, "GGGCC"), ("female-F1", 1, "TTTAC"), ("female-F10", 1, "AAAAA"), ("female-F2", 1, "CCCCC")] + [("male-M1", 2, "ACACA")] * 3
 
 
+def test_ids_without_groups(spark, cohort_dir):
+    found = manifest.discover(spark, cohort_dir, prefix_group=False)
+    assert {r["sample"] for r in found.collect()} == {"F1", "F2", "F10", "M1"}
+
+
+def test_plain_fastq_and_awkward_qualities(spark, tmp_path):
+    """Split anywhere; qualities that start with @ or +, CRLF, no last newline, a record cut short."""
+    (tmp_path / "females").mkdir()
+    seqs = [f"ACGT{'ACGT'[i % 4]}{'TTG' * (i % 5)}" for i in range(400)]
+    quals = ["@" + "I" * (len(s) - 1) if i % 3 == 0 else "+" * len(s) for i, s in enumerate(seqs)]
+    (tmp_path / "females" / "A_1.fq").write_text("".join(f"@r{i} @x\n{s}\n+r{i}\n{q}\n" for i, (s, q) in enumerate(zip(seqs, quals, strict=True)))[:-1])
+    (tmp_path / "females" / "B_1.fq").write_bytes(b"@r\r\nGGG\r\n+\r\n@@@\r\n@cut\r\nTTT")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        df = reads.read_fastq(spark, f"{tmp_path}/females/*.fq")
+        assert df.rdd.getNumPartitions() > 5
+        rows = df.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert sorted(r["seq"] for r in rows if r["sample"] == "female-A") == sorted(seqs)
+    assert [r["seq"] for r in rows if r["sample"] == "female-B"] == ["GGG"]
+
+
 def test_tsv_and_fasta(spark, tmp_path):
     df = spark.createDataFrame([("kmer1_pval_0.1", "ACG")], "name string, seq string")
     reads.write_fasta(df, str(tmp_path / "fa"), "none")
@@ -46,13 +70,13 @@ def test_stream_adds_new_samples(spark, tmp_path):
         spark.createDataFrame([row], schema).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
         cohort.append_counts(stream, 3, str(tmp_path / "counts"), str(tmp_path / "state"))
-        table = spark.read.schema("sample string, grp int, kmer string, cnt long, batch int").parquet(str(tmp_path / "counts"))
+        table = spark.read.schema(cohort.SCHEMA).parquet(str(tmp_path / "counts"))
         got = {(r["sample"], r["kmer"]): r["cnt"] for r in cohort.cohort_counts(table, 1).collect()}
-        want = {(r["sample"], r["kmer"]): r["cnt"] for r in count_kmers(spark.createDataFrame(rows[: k + 1], schema), 3, 1).collect()}
+        want = {(r["sample"], r["kmer"]): r["cnt"] for r in count_kmers(spark.createDataFrame(rows[: k + 1], schema), 3, 1, packed=True).collect()}
         assert got == want
 
 
-@pytest.mark.parametrize("name", ["significant_kmers", "ranked_fasta", "read_counters", "kmer_signature", "part_segment_enrichment", "count_matrix_wide"])
+@pytest.mark.parametrize("name", ["significant_kmers", "ranked_fasta", "read_counters", "kmer_signature", "part_segment_enrichment", "count_matrix_all", "annotated_significant", "field_means_significant", "matrix_lines_significant", "significant_legacy", "kmer_count_k33"])
 def test_queries_match_sql(spark, sf, name):
     con = duckdb.connect()
     for t in ("documents", "events", "lineitem", "orders", "customer", "nation", "part"):
