@@ -99,10 +99,10 @@ MAIL = "Write to Anna.99@Mail7.example.com, or call +1 (017) 555-7713 190.137.22
 
 
 def test_entities():
-    kinds = [(k, MAIL[s:e]) for s, e, k, _ in pii.find_entities(MAIL)]
+    kinds = [(k, MAIL[s:e]) for s, e, k, _, _ in pii.find_entities(MAIL)]
     assert kinds == [
         ("email", "Anna.99@Mail7.example.com"), ("phone", "+1 (017) 555-7713"), ("ip", "190.137.223.204"), ("card", "4111 1111 1111 1111"),
-        ("secret", "04dbebab91ab85687d33eeaaf9ac699e1188f962"), ("given_f_latin", "Maria"), ("surname_latin", "Schmidt"), ("surname_latin", "Jones"),
+        ("secret", "04dbebab91ab85687d33eeaaf9ac699e1188f962"), ("given_latin", "Maria"), ("surname_latin", "Schmidt"), ("surname_latin", "Jones"),
     ]
     for clean in ("Licensed under CC BY-NC 4.0.", "v1.2.3.4.5", "300.1.2.3", "It cost 1999 in 2024.", "", None):
         assert pii.find_entities(clean) == []
@@ -111,15 +111,15 @@ def test_entities():
 def test_surrogates(spark, docs):
     rows = [(1, MAIL), (2, "ANNA.99@MAIL7.EXAMPLE.COM and 4111-1111-1111-1111 by Dr Schmidt"), (3, "nothing here"), (4, None), (5, "ip 1.2.3.4, 1.2.3.5"), (5, "ip 1.2.3.4, 1.2.3.5")]
     df = docs([(i, t, None, None, 7) for i, t in rows]).withColumn("found", F.lit("z")).withColumn("row", F.lit(1))
-    out = pii.replace_entities(df)
+    out = pii.replace_entities(df, b"key")
     got = {r["doc_id"]: r for r in out.collect()}
     assert out.columns == [*df.columns, "n_entities"] and out.count() == 6
     assert got[3]["text"] == "nothing here" and got[4]["text"] is None and got[3]["n_chars"] == 7
     assert got[1]["n_chars"] == len(got[1]["text"])
     for i, t in rows[:2]:
-        for s, e, _, _ in pii.find_entities(t):
+        for s, e, *_ in pii.find_entities(t):
             assert t[s:e] not in got[i]["text"]
-    found = {k: got[1]["text"][s:e] for s, e, k, _ in pii.find_entities(got[1]["text"])}
+    found = {k: got[1]["text"][s:e] for s, e, k, *_ in pii.find_entities(got[1]["text"])}
     assert set(found) >= {"email", "phone", "ip", "card", "secret"}
     assert found["email"].upper() in got[2]["text"]
     digits = "".join(c for c in found["card"] if c.isdigit())
@@ -129,12 +129,41 @@ def test_surrogates(spark, docs):
 
 
 def test_surrogates_stay_distinct(spark):
-    keys = [("given_f_latin", f"name{k}") for k in range(150)] + [("ip", f"1.1.1.{k}") for k in range(50)]
-    rows = pii.assign(spark.createDataFrame(keys, "kind string, key string")).collect()
+    keys = [("given_latin", f"name{k}", "f") for k in range(150)] + [("ip", f"1.1.1.{k}", "") for k in range(50)]
+    rows = pii.assign(spark.createDataFrame(keys, "kind string, key string, gender string"), b"key").collect()
+    keys = [k[:2] for k in keys]
     assert len(rows) == len(keys) == len({(r["kind"], r["surrogate"]) for r in rows})
     assert not {(r["kind"], r["surrogate"]) for r in rows} & set(keys)
 
 
+def replaced(spark, docs, *texts):
+    df = docs([(k, t, None, None, 1) for k, t in enumerate(texts)])
+    return [r["text"] for r in pii.replace_entities(df, b"key").orderBy("doc_id").collect()]
+
+
+def test_names_agree_everywhere(spark, docs):
+    a, b, c, d = replaced(spark, docs, "Ms Maria Schmidt came. Later Schmidt left.", "MARIA SCHMIDT", "Dr Ingrid Bauer or Frau Ingrid Bauer", "Herr Dieter Bauer")
+    _, given, surname, *_ = a.replace(".", "").split()
+    assert surname != "Schmidt" and a == f"Ms {given} {surname} came. Later {surname} left."
+    assert b == f"{given} {surname}".upper()
+    x, y = c.split(" or ")
+    assert x.split()[1:] == y.split()[1:] and x.split()[1] in pii.GIVEN["f", "latin"] and d.split()[-1] == x.split()[-1] != "Bauer"
+
+
+def test_numbers_agree_with_and_without_country_code(spark, docs):
+    a, b, c = replaced(spark, docs, "call +1 (017) 555-7713", "call (017) 555-7713", "call +44 17 555 7713 or 4111-111111-11111 or 2001:db8::8a2e:370:7334")
+    assert a[:9] == "call +1 (" and a[8:] == b[5:] and "7713" not in a
+    assert "555" not in c[:20] and c.startswith("call +44 ") and "4111" not in c and "8a2e" not in c
+
+
+def test_full_formats_grow_and_long_texts_are_quick(spark):
+    keys = spark.range(400).select(F.lit("ssn").alias("kind"), F.concat(F.lit(""), F.col("id").cast("string")).alias("key"), F.lit("").alias("gender"))
+    rows = pii.assign(keys.where("id < 10"), b"key").collect()
+    assert len(rows) == len({r["surrogate"] for r in rows}) == 10 and not {r["surrogate"] for r in rows} & {str(i) for i in range(10)}
+    text = " ".join(f"mail{k}@host{k}.example.com" for k in range(30_000))
+    assert len(pii.find_entities(text)) == 30_000
+
+
 # Pages.
 
 
