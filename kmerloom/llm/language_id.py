@@ -123,7 +123,7 @@ def fit_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageM
     idf = np.log((1 + n_texts) / (1 + df)) + 1
     # A language's documents below a hash bound: about per_language of them, found without sorting or gathering any group.
     spot = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30))
-    bounds = docs.sparkSession.createDataFrame([(lang, min(1 << 30, (per_language << 30) // n + 1)) for lang, n in counts], "lang string, bound long")
+    bounds = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, min(1 << 30, (per_language << 30) // n + 1))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -134,7 +134,7 @@ def fit_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageM
                     rows.append((doc_id, lang, at.astype("<u2").tobytes(), n.astype("<u4").tobytes()))
             yield pd.DataFrame(rows, columns=["doc_id", "lang", "at", "n"])
 
-    picked = known.join(bounds, "lang").where(spot < F.col("bound"))
+    picked = known.where(spot < F.element_at(bounds, F.col("lang")))
     found = picked.select("doc_id", "text", "lang").mapInPandas(run, "doc_id long, lang string, at binary, n binary").toPandas()
     found = found.sort_values(["doc_id", "lang", "at"], kind="stable")
     rows = []
