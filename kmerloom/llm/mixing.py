@@ -1,18 +1,24 @@
 """Mixing sources to target weights.
 
-Each source's words are packed into blocks of ``block_words`` words, in a fixed pseudorandom order of its documents; its
-last block may be shorter. A source's target is its share of all words by weight; no target exceeds ``max_repeats`` times
-the source, and what is above goes to the other sources by weight. The mix is dealt into output shards: each shard draws
-multinomial counts of slots for the sources, without replacement from what the targets leave, so that the totals are
-exact. A source's slots are numbered over the shards; slot ``k`` takes block ``perm(k mod n)`` of the source's ``n``
-blocks, where ``perm`` is a keyed pseudorandom permutation for each pass over the source. Slots and blocks are then
-joined by source and block number. No block is taken more often than ``max_repeats`` times, and reruns give the same mix.
+Each source's words are packed into blocks of a fixed number of words, in a fixed pseudorandom order of its documents; its
+last block may be shorter. Blocks have ``block_words`` words, or less for a source too small to have ``MIN_BLOCKS`` of
+them, so that small sources meet their targets as well. A source's target is its share of all words by weight; no target
+exceeds ``max_repeats`` times the source, and what is above goes to the other sources by weight.
+
+The mix is dealt into output shards of about ``shard_slots`` slots. A shard's counts of slots by source are multinomial,
+given what the targets leave: a tree halves the shards, and at each node each source's slots go left or right by a
+binomial draw, keyed by the node. A task draws the path to its own shard, so that totals are exact and nothing but one row
+per source is planned on the driver. A source's slots are numbered over the shards; slot ``k`` takes block
+``perm(k mod n)`` of the source's ``n`` blocks, where ``perm`` is a keyed pseudorandom permutation for each pass over the
+source. Slots and blocks are then joined by source and block number. No block is taken more often than ``max_repeats``
+times, and reruns give the same mix.
 
 The words of documents before each document are found in two steps: sums of chunks of documents by hash, then a running
-sum inside each chunk, so that no source is gathered in one task. One row per source reaches the driver.
+sum inside each chunk, so that no source is gathered in one task.
 
 Defined cases: a null text has no words; a null source is a source of its own, the last one; empty tables and tables
-without words give a mix without blocks; repeated rows are documents of their own.
+without words give a mix without blocks; repeated rows are documents of their own; documents of any length are cut into
+blocks like others; other columns keep their names and values.
 """
 
 from __future__ import annotations
@@ -34,7 +40,10 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 BLOCK_WORDS = 64
-SHARDS = 512
+MIN_BLOCKS = 64
+SHARD_SLOTS = 1 << 13
+PIECE_SLOTS = 1 << 16
+SMALL_PLANS = 100_000
 CHUNK_WORDS = 500
 SEED = 20_240
 
@@ -47,18 +56,16 @@ def word_count(text) -> F.Column:
 
 def targets(sizes: list[int], weights: list[float], max_repeats: float = MAX_REPEATS) -> list[float]:
     """Words by weight; what is above ``max_repeats`` times a source goes to the others by weight until none is above."""
-    total, out, free = float(sum(sizes)), [0.0] * len(sizes), set(range(len(sizes)))
-    while free:
-        left = total - sum(out[k] for k in range(len(sizes)) if k not in free)
-        by_weight = sum(weights[k] for k in free)
-        for k in free:
-            out[k] = left * weights[k] / by_weight
-        above = {k for k in free if out[k] > max_repeats * sizes[k]}
-        if not above:
+    left, by_weight, out = float(sum(sizes)), float(sum(weights)), [0.0] * len(sizes)
+    # The first to be full is the one with the least room for its weight.
+    order = sorted(range(len(sizes)), key=lambda k: sizes[k] / weights[k])
+    for at, k in enumerate(order):
+        if left * weights[k] / by_weight <= max_repeats * sizes[k]:
+            for j in order[at:]:
+                out[j] = left * weights[j] / by_weight
             break
-        for k in above:
-            out[k] = float(max_repeats * sizes[k])
-        free -= above
+        out[k] = float(max_repeats * sizes[k])
+        left, by_weight = left - out[k], by_weight - weights[k]
     return out
 
 
@@ -67,6 +74,7 @@ class SourcePlan:
     number: int
     source: str | None
     size: int
+    block_words: int
     blocks: int
     target: float
     slots: int
@@ -79,33 +87,29 @@ def plan_sources(sized: DataFrame, block_words: int, weights: tuple[float, ...]
     goal = targets([n for _, n in rows], [float(weights[k % len(weights)]) for k in range(len(rows))], max_repeats)
     plans = []
     for k, ((source, size), target) in enumerate(zip(rows, goal, strict=True)):
-        blocks = -(-size // block_words)
+        words = max(1, min(block_words, size // MIN_BLOCKS))
+        blocks = -(-size // words)
         slots = min(round(target * blocks / size), max_repeats * blocks) if size else 0
-        plans.append(SourcePlan(k, source, size, blocks, target, slots))
+        plans.append(SourcePlan(k, source, size, words, blocks, target, slots))
     return plans
 
 
-def draw_shards(slots: list[int], shards: int, seed: int) -> np.ndarray:
-    """Slots of each source in each shard (shards x sources); shards are of equal size but for rounding."""
-    left = np.array(slots, np.int64)
-    out = np.zeros((shards, len(slots)), np.int64)
-    if not len(left):
-        return out
-    rng = np.random.default_rng(seed)
-    bounds = [int(left.sum()) * k // shards for k in range(shards + 1)]
-    for k in range(shards):
-        out[k] = _draw(rng, left, bounds[k + 1] - bounds[k])
-        left -= out[k]
-    return out
+def shard_depth(slots: list[int], shard_slots: int = SHARD_SLOTS) -> int:
+    """Halvings that bring all slots down to shards of at most about ``shard_slots``."""
+    return max(0, -(-sum(slots) // shard_slots) - 1).bit_length()
 
 
-def _draw(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """Multinomial counts of ``n`` draws by what is left; draws above what is left are drawn again among the rest."""
-    got = np.zeros_like(left)
-    while (n_open := n - int(got.sum())) > 0:
-        rest = left - got
-        got += rest if n_open >= rest.sum() else np.minimum(rng.multinomial(n_open, rest / rest.sum()), rest)
-    return got
+def shard_counts(slots: list[int], shard: int, depth: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of each source in a shard, and in all shards before it."""
+    left, before = np.array(slots, np.int64), np.zeros(len(slots), np.int64)
+    for level in range(depth):
+        node = shard >> (depth - level)
+        half = np.random.default_rng((seed, level, node)).binomial(left, 0.5)
+        if shard >> (depth - level - 1) & 1:
+            before, left = before + half, left - half
+        else:
+            left = half
+    return left, before
 
 
 def permuted(k: np.ndarray, n: int, key: str) -> np.ndarray:
@@ -132,32 +136,39 @@ def permuted(k: np.ndarray, n: int, key: str) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def mix_slots(spark: SparkSession, plans: list[SourcePlan], shards: int = SHARDS, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
-    """``(shard, source_no, block, pass_no)``: one row per slot of the mix, made in tasks from one row per shard."""
-    drawn = draw_shards([p.slots for p in plans], shards, seed)
-    first = np.cumsum(drawn, axis=0) - drawn
-    blocks = [p.blocks for p in plans]
+def mix_slots(spark: SparkSession, plans: list[SourcePlan], shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
+    """``(shard, source_no, block, pass_no)``: one row per slot of the mix, made in tasks from one number per shard."""
+    slots, blocks = [p.slots for p in plans], [p.blocks for p in plans]
+    depth = shard_depth(slots, shard_slots)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for shard in pdf["id"]:
-                for s in np.flatnonzero(drawn[shard]):
-                    k = first[shard, s] + np.arange(drawn[shard, s])
-                    turn = k // blocks[s]
-                    block = np.empty_like(k)
-                    for t in np.unique(turn):
-                        block[turn == t] = permuted(k[turn == t] % blocks[s], blocks[s], f"{seed}/{s}/{t}")
-                    yield pd.DataFrame({"shard": shard, "source_no": s, "block": block, "pass_no": turn})
-
+                counts, before = shard_counts(slots, int(shard), depth, seed)
+                for s in np.flatnonzero(counts):
+                    # A shard may be larger than planned for, if slots are few: it goes out in pieces.
+                    for at in range(0, int(counts[s]), PIECE_SLOTS):
+                        k = before[s] + np.arange(at, min(at + PIECE_SLOTS, int(counts[s])))
+                        turn = k // blocks[s]
+                        block = np.empty_like(k)
+                        for t in np.unique(turn):
+                            block[turn == t] = permuted(k[turn == t] % blocks[s], blocks[s], f"{seed}/{s}/{t}")
+                        yield pd.DataFrame({"shard": shard, "source_no": s, "block": block, "pass_no": turn})
+
+    tasks = min(1 << depth, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     # Spark takes this table for as small as its one row per shard; it must not be broadcast.
-    return spark.range(shards).repartition(min(shards, max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))), "id").mapInPandas(run, "shard long, source_no int, block long, pass_no long").hint("shuffle_merge")
+    return spark.range(0, 1 << depth, 1, tasks).mapInPandas(run, "shard long, source_no int, block long, pass_no long").hint("shuffle_merge")
+
+
+def plan_table(spark: SparkSession, plans: list[SourcePlan]) -> DataFrame:
+    """One row per source; broadcast where they are few."""
+    rows = spark.createDataFrame([(p.source, p.number, p.block_words, p.size, p.target) for p in plans], "plan_source string, source_no int, block_words long, source_size long, target double")
+    return F.broadcast(rows) if len(plans) <= SMALL_PLANS else rows
 
 
 def placed(sized: DataFrame, plans: list[SourcePlan], row: tuple[str, ...]) -> DataFrame:
-    """``sized`` with ``source_no`` and ``before``, the words of its source before each document."""
-    spark = sized.sparkSession
-    numbers = spark.createDataFrame([(p.source, p.number) for p in plans], "plan_source string, source_no int")
-    n = sized.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
+    """``sized`` with its source's plan and ``before``, the words of its source before each document."""
+    n = sized.join(plan_table(sized.sparkSession, plans), F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
     # Chunks of a source, and documents of a chunk, both grow with the root of the input.
     chunks = 1 + math.isqrt(sum(p.size for p in plans) // CHUNK_WORDS)
     n = n.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(chunks)))
@@ -169,9 +180,9 @@ def placed(sized: DataFrame, plans: list[SourcePlan], row: tuple[str, ...]) -> D
     return n.join(bases, ["source_no", "chunk"]).withColumn("before", F.col("base") + F.col("inside")).drop("base", "inside", "chunk")
 
 
-def document_blocks(at: DataFrame, block_words: int) -> DataFrame:
+def document_blocks(at: DataFrame) -> DataFrame:
     """One row per document and block that holds words of it, with the words' first number and count."""
-    first, last = F.expr(f"before div {block_words}"), F.expr(f"(before + size - 1) div {block_words}")
+    first, last, block_words = F.expr("before div block_words"), F.expr("(before + size - 1) div block_words"), F.col("block_words")
     rows = at.where("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
     start = F.greatest(F.col("before"), F.col("block") * block_words)
     end = F.least(F.col("before") + F.col("size"), (F.col("block") + 1) * block_words)
@@ -187,10 +198,9 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = placed(sized, plans, ("size",)).withColumn("row", F.monotonically_increasing_id())
     at = common.written(at, "placed")
     slots = mix_slots(spark, plans)
-    pieces = document_blocks(at, BLOCK_WORDS).select("row", "source_no", "block", "words")
+    pieces = document_blocks(at).select("row", "source_no", "block", "words")
     taken = pieces.join(slots, ["source_no", "block"]).groupBy("row").agg(F.sum("words").alias("taken"))
-    known = spark.createDataFrame([(p.number, p.size, p.target) for p in plans], "source_no int, source_size long, target double")
-    out = at.join(taken, "row", "left").join(F.broadcast(known), "source_no")
+    out = at.join(taken, "row", "left")
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -208,7 +218,7 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     rows = common.written(rows, "rows")
     narrow = rows.select("row", "doc_id", "source", "size")
     plans = plan_sources(narrow, block_words)
-    pieces = document_blocks(placed(narrow, plans, ("row",)), block_words).select("row", "source_no", "block", "first_word", "words")
+    pieces = document_blocks(placed(narrow, plans, ("row",))).select("row", "source_no", "block", "first_word", "words")
     taken = pieces.join(mix_slots(spark, plans), ["source_no", "block"])
     passes = taken.groupBy("row", "pass_no").agg(F.sum("words").alias("words"), F.array_sort(F.collect_list(F.struct("first_word", "words"))).alias("parts"))
 

@@ -11,7 +11,9 @@ with numpy and returns links that join the same members, one per member at most.
 ``chunk`` members is dealt to several tasks, each comparing two chunks of it, so that every pair is still compared.
 
 Defined cases: a null or blank text has fingerprint zero, linked like any other; repeated rows link with each other; a
-component's id is the smallest non-null doc_id in it.
+component's id is the smallest non-null doc_id in it, null where it has none; texts of any length are read whole; an
+empty table gives an empty result; columns other than doc_id and text are not read, and ``keep_first`` returns them as
+they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -230,5 +232,6 @@ def keep_first(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     winners = _classes(prints, chunk).groupBy("root").agg(best).select("best.first", "best.best_fp")
     kept = rows.join(winners, (F.col("fp") == F.col("best_fp")) & F.col("doc_id").eqNullSafe(F.col("first")))
     if prints.groupBy("doc_id", "fp").count().where("count > 1").limit(1).collect():
-        kept = kept.dropDuplicates(["doc_id", "fp"])
+        # Of repeated rows the one with the smallest hash of its content stays, whichever order they come in.
+        kept = kept.groupBy("doc_id", "fp").agg(F.min_by("doc", F.struct(F.xxhash64(F.to_json("doc")), F.to_json("doc"))).alias("doc"))
     return kept.select("doc.*")

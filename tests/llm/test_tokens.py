@@ -186,8 +186,36 @@ def test_permutations():
 
 
 def test_shards_add_up():
-    drawn = mixing.draw_shards([100, 0, 333], 10, 1)
-    assert drawn.sum(0).tolist() == [100, 0, 333] and drawn.min() >= 0 and set(drawn.sum(1)) <= {43, 44}
+    slots = [100, 0, 333, 7]
+    depth = mixing.shard_depth(slots, 40)
+    assert depth == 4 and mixing.shard_depth(slots, 1000) == 0 and mixing.shard_depth([], 10) == 0
+    drawn = [mixing.shard_counts(slots, k, depth, 1) for k in range(1 << depth)]
+    assert sum(c for c, _ in drawn).tolist() == slots
+    before = [0] * 4
+    for counts, start in drawn:
+        assert start.tolist() == before and counts.min() >= 0
+        before = [a + b for a, b in zip(before, counts.tolist(), strict=True)]
+    huge = mixing.shard_counts([10**12, 5], 3, 20, 1)[0]
+    assert 0.9e12 / 2**20 < huge[0] < 1.1e12 / 2**20
+
+
+def brute_targets(sizes, weights, most=3):
+    out, free = [0.0] * len(sizes), set(range(len(sizes)))
+    while free:
+        left, total = sum(sizes) - sum(out[k] for k in range(len(sizes)) if k not in free), sum(weights[k] for k in free)
+        above = {k for k in free if left * weights[k] / total > most * sizes[k]}
+        for k in above or free:
+            out[k] = most * sizes[k] if above else left * weights[k] / total
+        free -= above or free
+    return out
+
+
+def test_targets_against_rounds():
+    rng = random.Random(2)
+    for _ in range(300):
+        sizes = [rng.choice([0, 1, rng.randint(0, 50), rng.randint(0, 5000)]) for _ in range(rng.randint(0, 12))]
+        weights = [1 + k % 3 for k in range(len(sizes))]
+        assert mixing.targets(sizes, weights) == pytest.approx(brute_targets(sizes, weights))
 
 
 def test_mix(spark, docs):
