@@ -1,6 +1,9 @@
 """From raw documents to token ids: quality rules, near-duplicates, personal data, mixing, encoding.
 
-Each stage takes what the stage before it kept; all but the last return the columns of ``documents``.
+Each stage takes what the stage before it kept; all but the last return the columns of ``documents``, whatever their
+names. Defined cases: a null or empty text fails the quality rules; of repeated rows and near-duplicates one stays; of
+equal doc_ids the text with the smallest fingerprint decides; texts of any length are read whole; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -10,42 +13,28 @@ from pyspark.sql import DataFrame, SparkSession
 from kmerloom.llm import common, mixing, pii, quality, sentencepieces, simhash
 
 
-#: Rows of whole texts that a Python worker holds at a time.
-BATCH_ROWS = 1000
-
-
-def _small_batches(spark: SparkSession) -> None:
-    """Workers of several stages live side by side on an executor: none of them gets Spark's default of 10,000 texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    _small_batches(spark)
     return quality.keep_quality(docs, common.read_table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays."""
-    _small_batches(spark)
     return simhash.keep_first(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by surrogates."""
-    _small_batches(spark)
-    return pii.replace_entities(docs).drop("n_entities")
+    return pii.replace_entities(docs, pii.session_key(spark), counted=None)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often, and with the words, that the mix takes."""
-    _small_batches(spark)
     return mixing.mix_documents(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text."""
-    _small_batches(spark)
     return sentencepieces.encode_texts(docs, sentencepieces.default_model())
 
 
