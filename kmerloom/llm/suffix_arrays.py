@@ -131,29 +131,14 @@ def later_windows(runs: Runs, size: int) -> tuple[np.ndarray, np.ndarray]:
     return later, windows
 
 
-def repeated_windows(shards: list[list[bytes]], size: int) -> list[tuple[Runs, np.ndarray]]:
-    """For each shard, in order, its runs and the positions whose window also starts earlier, in it or a shard before.
-
-    Each shard has a suffix array of its own; shards are merged by searching one's windows in the sorted windows of those
-    before it, two at a time.
-    """
-    out: list[tuple[Runs, np.ndarray]] = []
-    sorted_: list[np.ndarray] = []
-    for shard in shards:
-        runs = Runs.of(shard)
-        later, windows = later_windows(runs, size)
-        first = windows[~later[windows]]
-        for (earlier, _), known in zip(out, sorted_, strict=True):
-            if len(first) and len(known):
-                table, asked = window_strings(earlier, known, size), window_strings(runs, first, size)
-                at = np.searchsorted(table, asked)
-                hit = at < len(table)
-                hit[hit] = table[at[hit]] == asked[hit]
-                later[first[hit]] = True
-                first = first[~hit]
-        out.append((runs, later))
-        sorted_.append(first)
-    return out
+def later_rows(groups: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """True where an earlier row has the same group and window: each is looked up by binary search in the merged windows."""
+    merged = np.unique(windows)
+    entry = np.searchsorted(merged, windows)
+    _, first = np.unique(np.stack([groups, entry], 1), axis=0, return_index=True)
+    later = np.ones(len(windows), bool)
+    later[first] = False
+    return later
 
 
 def covered(later: np.ndarray, runs: Runs, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

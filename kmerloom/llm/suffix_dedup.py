@@ -5,24 +5,30 @@ the same document. Strings are judged on the input.
 
 1. Every window of ``size`` bytes gets a key: the smallest hash of its 24-byte grams. Neighbouring windows with one key
    form a run. Equal windows have equal keys, so that keys shard the corpus by content and no two shards share a window.
-2. Runs are shuffled by key, as hashes and places only. A run whose bytes an earlier run equals goes as a whole; of
-   others, those that share their key with a different run, or may repeat a window themselves, are candidates.
+2. Runs are shuffled by key and content hash, as hashes and places only. A run that equals an earlier one goes as a whole;
+   of others, those that share their key with a different run, or may repeat a window themselves, are candidates. Runs
+   count as equal where the key (64 bits of content), 96 bits of two hashes of all bytes, and the length agree.
 3. Only candidates' bytes are fetched and shuffled by key. Each shard of them gets a suffix array (Larsson-Sadakane) and
-   common prefixes (Kasai); of windows in a class of equal ones, all but the first are marked. A key with more bytes than
-   a shard may have is cut into several, which binary search merges.
-4. Marked stretches are gathered by document and cut out.
+   common prefixes (Kasai); of windows in a class of equal ones, all but the first are marked.
+4. A key with more bytes than a shard may have is dealt to several shards by place. Each sorts its own suffixes and hands
+   on one window of each class; windows are dealt by content to merging tasks, which find equal windows of different
+   shards by binary search in the merged, sorted windows and mark all but the first. No task holds more than a shard, and
+   work grows with the windows, not with pairs of shards.
+5. Marked stretches are gathered by document and cut out.
 
 Keys of very common text, found on a sample of the documents, are refined by two more minimizers of the same window, so
 that windows which reach into different contexts part. This and the collapse of equal runs inside each task balance the
 work; neither changes a result.
 
 Defined cases: a null text is empty; a null doc_id comes before all others; rows that repeat a doc_id come in the order of
-their texts' hashes, and of equal rows the first stays.
+their texts' hashes, and of equal rows the first stays; texts of any length are searched whole; columns other than doc_id
+and text are not read, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .suffix_arrays import covered, repeated_windows, words_at
+from .suffix_arrays import Runs, covered, later_rows, later_windows, window_strings, words_at
 
 SIZE = 100
 GRAM = 24
@@ -41,6 +47,7 @@ HOT_RUNS = 20_000
 SAMPLE = 64
 MAX_HOT = 100_000
 COMBINER_RUNS = 200_000
+BUCKETS = 64
 FIRST = -(1 << 63)
 
 MULTIPLIERS = np.array([[0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], [0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], [0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F]], np.uint64)
@@ -89,10 +96,11 @@ def window_runs(data: bytes, size: int, hot: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _documents(docs: DataFrame, repeats: bool) -> DataFrame:
-    """``(ord, tie, text)``: the order of documents; ``tie`` only where doc_ids repeat."""
+    """``(doc_id, ord, tie, text)``: ``ord`` and ``tie`` give the order of documents; ``tie`` only where ids repeat."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     tie = F.xxhash64(text) if repeats else F.lit(0).cast("long")
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("ord"), tie.alias("tie"), text.alias("text"))
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(FIRST)).alias("ord"), tie.alias("tie"), text.alias("text"))
 
 
 def hot_keys(docs: DataFrame, size: int, sample: int = SAMPLE, hot_runs: int = HOT_RUNS) -> np.ndarray:
@@ -112,13 +120,13 @@ def hot_keys(docs: DataFrame, size: int, sample: int = SAMPLE, hot_runs: int = H
 
 
 def _places(docs: DataFrame, size: int, hot: np.ndarray) -> DataFrame:
-    """``(key, run, ord, tie, start, n, again, gone)``: hash and place of each run; ``gone``: an equal run in the same task is earlier."""
-    schema = pa.schema([("key", pa.int64()), ("run", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("again", pa.bool_()), ("gone", pa.bool_())])
+    """``(key, run, more, ord, tie, start, n, again, gone)``: hashes and place of each run; ``gone``: an equal run in the same task is earlier."""
+    schema = pa.schema([("key", pa.int64()), ("run", pa.int64()), ("more", pa.int32()), ("ord", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("again", pa.bool_()), ("gone", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
+        from xxhash import xxh3_128_digest
 
-        seen: dict[int, tuple[int, int, int]] = {}
+        seen: dict[tuple[bytes, int], tuple[int, int, int]] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -128,142 +136,132 @@ def _places(docs: DataFrame, size: int, hot: np.ndarray) -> DataFrame:
                     keys, starts, n, again = window_runs(data, size, hot)
                     if not len(keys):
                         continue
-                    hashes = [xxh64_intdigest(data[s:e]) for s, e in zip(starts.tolist(), (starts + n + size - 1).tolist(), strict=True)]
+                    hashes = [xxh3_128_digest(data[s:e]) for s, e in zip(starts.tolist(), (starts + n + size - 1).tolist(), strict=True)]
                     gone = np.zeros(len(keys), bool)
-                    for k, (h, s) in enumerate(zip(hashes, starts.tolist(), strict=True)):
+                    for k, (run, s) in enumerate(zip(zip(hashes, n.tolist(), strict=True), starts.tolist(), strict=True)):
                         here = (o, t, s)
-                        there = seen.setdefault(h, here)
+                        there = seen.setdefault(run, here)
                         if there < here:
                             gone[k] = True
                         elif here < there:
-                            seen[h] = here
+                            seen[run] = here
                     if len(seen) > COMBINER_RUNS:
                         seen.clear()
                     full = np.ones(len(keys), np.int64)
-                    for column, values in zip(out, (keys.view(np.int64), np.array(hashes, np.uint64).view(np.int64), o * full, t * full, starts.astype(np.int32), n.astype(np.int32), again, gone), strict=True):
+                    digests = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
+                    for column, values in zip(out, (keys.view(np.int64), digests[:, 0], digests[:, 1].astype(np.int32), o * full, t * full, starts.astype(np.int32), n.astype(np.int32), again, gone), strict=True):
                         column.append(values)
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], schema=schema)
 
-    return docs.mapInArrow(run, "key long, run long, ord long, tie long, start int, n int, again boolean, gone boolean")
+    return docs.select("ord", "tie", "text").mapInArrow(run, "key long, run long, more int, ord long, tie long, start int, n int, again boolean, gone boolean")
 
 
 def _sorted_out(places: DataFrame) -> DataFrame:
-    """Of all runs, those that go whole (``whole``) and the candidates: the first of each run where its key has others or it may repeat itself."""
-    schema = pa.schema([("key", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("whole", pa.bool_())])
+    """``(key, ord, tie, start, n, again, whole)``: the first of each run, and all that an earlier run equals (``whole``)."""
+    same = Window.partitionBy("key", "run", "more", "n").orderBy("ord", "tie", "start")
+    # Equal rows have equal places: none of them is later than another, and one is enough.
+    live = places.where(~F.col("gone")).select("*", F.row_number().over(same).alias("no"), F.rank().over(same).alias("rank")).where("rank > 1 or no = 1")
+    columns = ["key", "ord", "tie", "start", "n", "again"]
+    return live.select(*columns, (F.col("rank") > 1).alias("whole")).union(places.where("gone").select(*columns, F.lit(True)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # What the next batch needs to know: the last run, and the last first of a run while its key has no other.
-        last: tuple | None = None
-        held: list[np.ndarray] | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, run_, o, t, s, n, again, gone = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(8))
-            live = ~gone
-            k, r = key[live], run_[live]
-            place = np.stack([o[live], t[live], s[live].astype(np.int64)])
-            new_run, new_key = np.ones(len(k), bool), np.ones(len(k), bool)
-            same_place = np.zeros(len(k), bool)
-            if len(k):
-                new_key[1:] = k[1:] != k[:-1]
-                new_run[1:] = new_key[1:] | (r[1:] != r[:-1])
-                same_place[1:] = ~new_run[1:] & (place[:, 1:] == place[:, :-1]).all(0)
-                if last is not None:
-                    new_key[0] = k[0] != last[0]
-                    new_run[0] = new_key[0] or r[0] != last[1]
-                    same_place[0] = not new_run[0] and tuple(place[:, 0]) == last[2]
-                last = (k[-1], r[-1], tuple(place[:, -1]))
-            first = np.flatnonzero(new_run)
-            columns = [k[first], o[live][first], t[live][first], s[live][first], n[live][first], again[live][first]]
-            fresh = new_key[first]
-            if held is not None:
-                columns = [np.concatenate((a, b)) for a, b in zip(held[:6], columns, strict=True)]
-                fresh = np.concatenate((held[6], fresh))
-            # A first is a candidate if the first before it or after it has its key, or if it may repeat itself.
-            keep = ~fresh | columns[5]
-            keep[:-1] |= ~fresh[1:]
-            held = None
-            if len(fresh):
-                if not keep[-1]:
-                    held = [c[-1:] for c in columns] + [fresh[-1:]]
-            whole = np.flatnonzero(~new_run & ~same_place)
-            parts = [
-                [np.concatenate(x) for x in zip([c[keep] for c in columns[:5]], [k[whole], o[live][whole], t[live][whole], s[live][whole], n[live][whole]], [key[gone], o[gone], t[gone], s[gone], n[gone]], strict=True)],
-                np.r_[np.zeros(int(keep.sum()), bool), np.ones(len(whole) + int(gone.sum()), bool)],
-            ]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, parts[0]), pa.array(parts[1])], schema=schema)
-
-    # Runs already known to go pass through wherever they are.
-    dealt = places.repartition(F.when(F.col("gone"), F.xxhash64("ord", "start")).otherwise(F.col("key")))
-    return dealt.sortWithinPartitions("key", "run", "ord", "tie", "start").mapInArrow(run, "key long, ord long, tie long, start int, n int, whole boolean")
+
+def _candidates(found: DataFrame, size: int, shard_bytes: int) -> DataFrame:
+    """``(key, ord, tie, start, n, shards)`` of first runs whose key has others, or that may repeat themselves."""
+    firsts = found.where("not whole")
+    keys = firsts.groupBy("key").agg(F.count("*").alias("runs"), F.max("again").alias("any"), F.sum(F.col("n") + size - 1).alias("bytes"))
+    keys = keys.where("runs > 1 or any").select("key", (F.col("runs") > 1).alias("several"), F.ceil(F.col("bytes") / shard_bytes).cast("int").alias("shards"))
+    return firsts.join(keys, "key").where("several or again").select("key", "ord", "tie", "start", "n", "shards")
 
 
 def _candidate_bytes(candidates: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """``(key, ord, tie, start, data)`` of the candidate runs."""
-    asked = candidates.groupBy("ord", "tie").agg(F.collect_list(F.struct("key", "start", "n")).alias("asked"))
+    """``(key, ord, tie, start, data, shards)`` of the candidate runs."""
+    asked = candidates.groupBy("ord", "tie").agg(F.collect_list(F.struct("key", "start", "n", "shards")).alias("asked"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for o, t, text, runs in pdf.itertuples(index=False):
                 data = text.encode()
-                rows += [(r["key"], o, t, r["start"], data[r["start"] : r["start"] + r["n"] + size - 1]) for r in runs]
-            yield pd.DataFrame(rows, columns=["key", "ord", "tie", "start", "data"])
-
-    return texts.join(asked, ["ord", "tie"]).select("ord", "tie", "text", "asked").mapInPandas(run, "key long, ord long, tie long, start int, data binary")
+                rows += [(r["key"], o, t, r["start"], data[r["start"] : r["start"] + r["n"] + size - 1], r["shards"]) for r in runs]
+            yield pd.DataFrame(rows, columns=["key", "ord", "tie", "start", "data", "shards"])
+
+    return texts.join(asked, ["ord", "tie"]).select("ord", "tie", "text", "asked").mapInPandas(run, "key long, ord long, tie long, start int, data binary, shards int")
+
+
+def _shards_of(batches: Iterator[pd.DataFrame], columns: tuple[str, ...], shard_bytes: int) -> Iterator[list[tuple]]:
+    """Rows of neighbouring groups, whole groups together, up to about ``shard_bytes`` of ``data``."""
+    rows: list[tuple] = []
+    group: list[tuple] = []
+    total = size = 0
+    for pdf in batches:
+        place = pdf.columns.get_loc("data")
+        width = len(columns)
+        for row in pdf.itertuples(index=False, name=None):
+            if group and row[:width] != group[0][:width]:
+                if rows and total + size > shard_bytes:
+                    yield rows
+                    rows, total = [], 0
+                rows, total = rows + group, total + size
+                group, size = [], 0
+            group.append(row)
+            size += len(row[place])
+    if rows and total + size > shard_bytes:
+        yield rows
+        rows = []
+    if rows or group:
+        yield rows + group
 
 
 def _marked(runs: DataFrame, size: int, shard_bytes: int) -> DataFrame:
-    """``(ord, tie, start, end)``: stretches of candidate runs under windows that also start earlier."""
-
-    def mark(rows: list[tuple], shards: list[list[bytes]]) -> pd.DataFrame:
-        found, at = [], 0
-        for runs_, later in repeated_windows(shards, size):
-            for k, start, end in zip(*covered(later, runs_, size), strict=True):
-                _, o, t, s, _ = rows[at + k]
-                found.append((o, t, s + int(start), s + int(end)))
-            at += len(runs_.ends)
-        return pd.DataFrame(found, columns=["ord", "tie", "start", "end"])
+    """``(ord, tie, start, end)``: stretches of candidate runs under windows that also start earlier, for keys of one shard."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Whole keys share a shard while they fit; a larger key has shards of its own, merged with each other.
-        rows: list[tuple] = []
-        total = 0
-        key_rows: list[tuple] = []
-        key_total = 0
-
-        def close_key() -> Iterator[pd.DataFrame]:
-            nonlocal rows, total, key_rows, key_total
-            if key_total > shard_bytes:
-                shards, room = [[]], shard_bytes
-                for row in key_rows:
-                    if room < len(row[4]) and shards[-1]:
-                        shards.append([])
-                        room = shard_bytes
-                    shards[-1].append(row[4])
-                    room -= len(row[4])
-                yield mark(key_rows, shards)
-            else:
-                if total + key_total > shard_bytes and rows:
-                    yield mark(rows, [[r[4] for r in rows]])
-                    rows, total = [], 0
-                rows += key_rows
-                total += key_total
-            key_rows, key_total = [], 0
-
-        for pdf in batches:
-            for row in pdf.itertuples(index=False, name=None):
-                if key_rows and row[0] != key_rows[0][0]:
-                    yield from close_key()
-                key_rows.append(row)
-                key_total += len(row[4])
-        if key_rows:
-            yield from close_key()
-        if rows:
-            yield mark(rows, [[r[4] for r in rows]])
-
-    return runs.repartition("key").sortWithinPartitions("key", "ord", "tie", "start").mapInPandas(run, "ord long, tie long, start int, end int")
+        for rows in _shards_of(batches, ("key",), shard_bytes):
+            laid = Runs.of([r[4] for r in rows])
+            later, _ = later_windows(laid, size)
+            found = [(rows[k][1], rows[k][2], rows[k][3] + int(start), rows[k][3] + int(end)) for k, start, end in zip(*covered(later, laid, size), strict=True)]
+            yield pd.DataFrame(found, columns=["ord", "tie", "start", "end"])
+
+    dealt = runs.select("key", "ord", "tie", "start", "data").repartition("key").sortWithinPartitions("key", "ord", "tie", "start")
+    return dealt.mapInPandas(run, "ord long, tie long, start int, end int")
+
+
+def _marked_large(runs: DataFrame, size: int, shard_bytes: int) -> DataFrame:
+    """The same for keys of several shards: each shard's own suffix array, then one merge by content."""
+
+    def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["key", "bucket", "ord", "tie", "start", "end", "data"]
+        for rows in _shards_of(batches, ("key", "shard"), shard_bytes):
+            laid = Runs.of([r[5] for r in rows])
+            later, windows = later_windows(laid, size)
+            found = [(rows[k][0], 0, *rows[k][2:4], rows[k][4] + int(start), rows[k][4] + int(end), None) for k, start, end in zip(*covered(later, laid, size), strict=True)]
+            yield pd.DataFrame(found, columns=columns)
+            first = windows[~later[windows]]
+            for at in range(0, len(first), 1 << 13):
+                part = first[at : at + (1 << 13)]
+                run_of = np.searchsorted(laid.ends, part)
+                out = []
+                for p, k in zip(part.tolist(), run_of.tolist(), strict=True):
+                    window = laid.data[p : p + size]
+                    key, _, o, t, s, _, shards = rows[k]
+                    place = s + p - int(laid.starts[k])
+                    out.append((key, zlib.crc32(window) % (BUCKETS * shards), o, t, place, place + size, window))
+                yield pd.DataFrame(out, columns=columns)
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _shards_of(batches, ("key", "bucket"), shard_bytes):
+            laid = Runs.of([r[5] for r in rows])
+            # Rows come sorted by key, bucket and place: of equal windows the first row is the first place.
+            later = later_rows(np.array([r[0] for r in rows], np.int64), window_strings(laid, laid.starts, size))
+            yield pd.DataFrame([(*rows[k][2:5], rows[k][4] + size) for k in np.flatnonzero(later)], columns=["ord", "tie", "start", "end"])
+
+    shard = F.pmod(F.xxhash64("ord", "tie", "start"), F.col("shards"))
+    dealt = runs.select("key", shard.alias("shard"), "ord", "tie", "start", "data", "shards").repartition("key", "shard").sortWithinPartitions("key", "shard", "ord", "tie", "start")
+    done = common.written(dealt.mapInPandas(own, "key long, bucket long, ord long, tie long, start int, end int, data binary"), "windows")
+    windows = done.where("data is not null").select("key", "bucket", "ord", "tie", "start", "data")
+    merged = windows.repartition("key", "bucket").sortWithinPartitions("key", "bucket", "ord", "tie", "start").mapInPandas(merge, "ord long, tie long, start int, end int")
+    return merged.union(done.where("data is null").select("ord", "tie", "start", "end"))
 
 
 def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -277,25 +275,31 @@ def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def removed_spans(docs: DataFrame, repeats: bool, size: int = SIZE, shard_bytes: int = SHARD_BYTES, hot_runs: int = HOT_RUNS, sample: int = SAMPLE) -> tuple[DataFrame, DataFrame]:
-    """``(ord, tie, text)`` of all documents, and ``(ord, tie, spans)`` of those that lose bytes; spans may overlap."""
-    spark = docs.sparkSession
-    texts = _documents(docs, repeats)
-    found = common.written(_sorted_out(_places(texts, size, hot_keys(texts, size, sample, hot_runs))), "runs")
-    dealt = texts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "ord", "tie")
-    bytes_ = _candidate_bytes(found.where("not whole"), dealt, size)
-    marked = _marked(bytes_, size, shard_bytes)
+def removed_spans(docs: DataFrame, texts: DataFrame, size: int = SIZE, shard_bytes: int = SHARD_BYTES, hot_runs: int = HOT_RUNS, sample: int = SAMPLE) -> DataFrame:
+    """``(ord, tie, spans)`` of the documents ``docs (ord, tie, text)`` that lose bytes; spans may overlap.
+
+    ``texts`` are the same, dealt by ``ord`` and ``tie``, each pair of these once.
+    """
+    found = common.written(_sorted_out(_places(docs, size, hot_keys(docs, size, sample, hot_runs))), "runs")
+    runs = _candidate_bytes(_candidates(found, size, shard_bytes), texts, size)
+    large = _candidates(found, size, shard_bytes).where("shards > 1").limit(1).collect()
+    if large:
+        runs = common.written(runs, "candidates")
+        marked = _marked(runs.where("shards = 1"), size, shard_bytes).union(_marked_large(runs.where("shards > 1"), size, shard_bytes))
+    else:
+        marked = _marked(runs, size, shard_bytes)
     whole = found.where("whole").select("ord", "tie", "start", (F.col("start") + F.col("n") + size - 1).alias("end"))
-    spans = whole.unionByName(marked).groupBy("ord", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return dealt, spans
+    return whole.unionByName(marked).groupBy("ord", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def dedup_documents(docs: DataFrame, size: int = SIZE, shard_bytes: int = SHARD_BYTES, hot_runs: int = HOT_RUNS, sample: int = SAMPLE) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept)`` for every row; ``kept`` is what remains, as bytes."""
-    repeats = bool(docs.groupBy("doc_id").count().where("count > 1").limit(1).collect())
-    texts, spans = removed_spans(docs, repeats, size, shard_bytes, hot_runs, sample)
-    copy = F.row_number().over(Window.partitionBy("ord", "tie").orderBy("tie")) if repeats else F.lit(1)
-    joined = texts.withColumn("copy", copy).join(spans, ["ord", "tie"], "left")
+    repeats = bool(docs.groupBy(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST))).count().where("count > 1").limit(1).collect())
+    texts = _documents(docs, repeats).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "ord", "tie")
+    copy = F.row_number().over(Window.partitionBy("ord", "tie").orderBy(F.col("doc_id").asc_nulls_first())) if repeats else F.lit(1)
+    texts = texts.withColumn("copy", copy)
+    spans = removed_spans(_documents(docs, repeats), texts.where("copy = 1"), size, shard_bytes, hot_runs, sample)
+    joined = texts.join(spans, ["ord", "tie"], "left")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.octet_length("text").cast("int").alias("end")))
     joined = joined.withColumn("spans", F.when((F.col("copy") > 1) & (F.octet_length("text") >= size), whole).otherwise(F.col("spans")))
 
@@ -318,7 +322,7 @@ def dedup_documents(docs: DataFrame, size: int = SIZE, shard_bytes: int = SHARD_
     lost = F.col("spans").isNotNull()
     done = joined.withColumn("cut", cut(F.when(lost, F.col("text")), F.col("spans")))
     return done.select(
-        F.when(F.col("ord") != FIRST, F.col("ord")).alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"), "cut.n_removed", "cut.n_spans",
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "cut.n_removed", "cut.n_spans",
         F.when(lost, F.col("cut.kept")).otherwise(F.col("text").cast("binary")).alias("kept"),
     )
 

@@ -150,12 +150,19 @@ def test_suffix_arrays_against_sorting():
                 k += 1
             assert prefix[b] == k
         seen = set()
-        shards = [s for s in (runs[: len(runs) // 2], runs[len(runs) // 2 :]) if s]
-        for shard, (laid, later) in zip(shards, suffix_arrays.repeated_windows(shards, 4), strict=True):
-            for i, r in enumerate(shard):
-                for k in range(len(r) - 3):
-                    assert later[laid.starts[i] + k] == (r[k : k + 4] in seen)
-                    seen.add(r[k : k + 4])
+        laid, (later, _) = suffix_arrays.Runs.of(runs), suffix_arrays.later_windows(suffix_arrays.Runs.of(runs), 4)
+        for i, r in enumerate(runs):
+            for k in range(len(r) - 3):
+                assert later[laid.starts[i] + k] == (r[k : k + 4] in seen)
+                seen.add(r[k : k + 4])
+
+
+def test_merging_shards():
+    rng = random.Random(2)
+    words = [bytes(rng.choices(b"ab", k=4)) for _ in range(200)]
+    groups = [rng.randrange(3) for _ in words]
+    got = suffix_arrays.later_rows(np.array(groups), np.array(words, "S4"))
+    assert got.tolist() == [(g, w) in set(zip(groups[:k], words[:k], strict=True)) for k, (g, w) in enumerate(zip(groups, words, strict=True))]
 
 
 @pytest.mark.parametrize("settings", [{}, {"shard_bytes": 500, "hot_runs": 2, "sample": 1}])
@@ -176,8 +183,11 @@ def test_repeated_strings(spark, docs, settings):
 
 def test_repeated_rows_and_null_ids(spark, docs):
     text = "".join(random.Random(8).choices("abcdef ", k=250))
-    rows = [(5, text), (5, text), (None, text), (7, text + "!")]
+    rows = [(5, text), (5, text), (None, text), (-(1 << 63), text), (7, text + "!")]
     done = suffix_dedup.dedup_documents(docs([(i, t, None, None, 1) for i, t in rows]))
     got = sorted(((-1 if r["doc_id"] is None else r["doc_id"]), r["n_removed"]) for r in done.collect())
-    assert got == [(-1, 0), (5, 250), (5, 250), (7, 250)]
+    assert got == [(-(1 << 63), 250), (-1, 0), (5, 250), (5, 250), (7, 250)]
+    # The first of all is itself repeated, beside a different text with its passages.
+    first = suffix_dedup.dedup_documents(docs([(i, t, None, None, 1) for i, t in [(1, text), (1, text), (2, "x" + text[:200])]]))
+    assert sorted((r["doc_id"], r["n_removed"]) for r in first.collect()) == [(1, 0), (1, 250), (2, 200)]
     assert suffix_dedup.dedup_documents(docs([])).count() == 0
