@@ -50,14 +50,15 @@ def brute_vectors(rows, threshold):
     return sorted((r[0], n[k], rows[root.get(k, k)][0]) for k, r in enumerate(rows))
 
 
-@pytest.mark.parametrize("block_rows", [4096, 16])
-def test_embeddings(spark, block_rows):
+@pytest.mark.parametrize("block_bytes", [1 << 20, 300])
+def test_embeddings(spark, block_bytes, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "TILE", 512 if block_bytes > 300 else 8)
     rng = np.random.default_rng(1)
     base = rng.normal(size=(12, 8))
     rows = [(k, [float(x) for x in np.float32(base[k % 12] + rng.normal(size=8) * 0.25)]) for k in range(120)]
     rows += [(200 + k, rows[0][1]) for k in range(10)] + [(300, None), (301, [0.0] * 8), (302, [float("nan")] + [1.0] * 7), (303, [None] + [1.0] * 7), (304, [1.0, 2.0]), (305, [2.0, 4.0]), (306, [float("inf")] * 8), (307, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("label", F.lit(1))
-    got = sorted(tuple(r) for r in embedding_dedup.embedding_components(df, 0.9, block_rows).collect())
+    got = sorted(tuple(r) for r in embedding_dedup.embedding_components(df, 0.9, block_bytes).collect())
     assert got == brute_vectors([(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows], 0.9)
     assert sum(r[1] for r in got) > 100
 
@@ -74,11 +75,21 @@ def test_tiles_lose_no_pair():
     x = rng.normal(size=(700, 16))
     x[350:] = x[:350] + rng.normal(size=(350, 16)) * 0.2
     axes, _ = np.linalg.qr(rng.normal(size=(16, 16)))
-    found = {(int(a), int(b)) for i, j in embedding_dedup.tile_pairs(x, x, axes, 0.95, True) for a, b in zip(i, j, strict=True)}
+    found = {(min(int(a), int(b)), max(int(a), int(b))) for i, j in embedding_dedup.tile_pairs(x, x, axes, 0.95, True) for a, b in zip(i, j, strict=True)}
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     assert found == set(zip(*np.nonzero(np.triu(u @ u.T >= 0.95, 1)), strict=True))
 
 
+    two = {(int(a), int(b)) for i, j in embedding_dedup.tile_pairs(x[:300], x[300:], axes, 0.95, False) for a, b in zip(i, j, strict=True)}
+    assert two == {(a, b - 300) for a, b in found if a < 300 <= b}
+
+
+def test_extreme_components(spark):
+    rows = [(1, [1e300, 2e300]), (2, [2e-300, 4e-300]), (3, [1.0, 2.0]), (4, [-1.0, 2.0]), (5, [5e-324, 1e-323])]
+    got = embedding_dedup.embedding_components(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 0, 4), (5, 3, 1)]
+
+
 # SimHash.
 
 
