@@ -189,6 +189,14 @@ def document_blocks(at: DataFrame) -> DataFrame:
     return rows.withColumn("first_word", start - F.col("before")).withColumn("words", end - start)
 
 
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of ``op7_mixing`` that is fixed before anything is drawn, by the same code."""
+    docs = common.read_table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    plans = plan_table(spark, plan_sources(sized, BLOCK_WORDS))
+    return sized.join(plans, F.col("source").eqNullSafe(F.col("plan_source"))).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's size, its source's size and target, and the words that the mix takes from it."""
     docs = common.read_table(spark, sf_dir, "documents")

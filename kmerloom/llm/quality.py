@@ -201,6 +201,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).select("doc_id", *COUNTS, "base_failed", "kept", "quality_prob")
 
 
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of ``op4_quality_rules`` that needs no model, by the same code."""
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(docs, QualityModel(None)).select("doc_id", *COUNTS, "base_failed")
+
+
 def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with all columns of ``docs`` as they are, whatever their names."""
     name = common.free_name(docs, "scored")

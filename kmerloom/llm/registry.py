@@ -3,9 +3,10 @@
 from .embedding_dedup import op1_embedding_dedup
 from .html_text import op5_html_text
 from .language_id import op10_language_id
-from .mixing import op7_mixing
+from .mixing import mixing_targets, op7_mixing
+from .oracles import EMBEDDINGS, MIXING_TARGETS, QUALITY_COUNTS, SUFFIXES
 from .pii import op6_pii_surrogates
-from .quality import op4_quality_rules
+from .quality import op4_quality_rules, quality_base_counts
 from .sentencepieces import op8_sentencepieces
 from .simhash import op3_simhash
 from .suffix_dedup import op2_suffix_dedup
@@ -22,6 +23,13 @@ QUERIES = {
     "op8_sentencepieces": op8_sentencepieces,
     "op9_token_records": op9_token_records,
     "op10_language_id": op10_language_id,
+    "quality_base_counts": quality_base_counts,
+    "mixing_targets": mixing_targets,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_embedding_dedup": EMBEDDINGS,
+    "op2_suffix_dedup": SUFFIXES,
+    "quality_base_counts": QUALITY_COUNTS,
+    "mixing_targets": MIXING_TARGETS,
+}
