@@ -526,9 +526,28 @@ def event_user_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Assembly and streaming.
 
 
-@query()
+def _rc(w: str) -> str:
+    return f"reverse(translate({w}, 'ACGT', 'TGCA'))"
+
+
+# Walks over kept links, from first nodes on; what no walk meets lies on rings, which are cut at their smallest k-mer.
+_UNITIGS = f"""WITH RECURSIVE {_SIGNIFICANT}, nodes AS (SELECT kmer AS u FROM significant UNION SELECT {_rc('kmer')} FROM significant),
+ links AS (SELECT a.u, b.u AS v FROM nodes a JOIN nodes b ON substr(a.u, 2) = substr(b.u, 1, {K - 1})),
+ only_out AS (SELECT u, min(v) AS v FROM links GROUP BY u HAVING count(*) = 1), only_in AS (SELECT v FROM links GROUP BY v HAVING count(*) = 1),
+ chain AS MATERIALIZED (SELECT u, v FROM only_out SEMI JOIN only_in USING (v) WHERE u <> v AND v <> {_rc('u')}),
+ open AS (SELECT u AS node FROM nodes WHERE u NOT IN (SELECT v FROM chain) UNION ALL SELECT v FROM open JOIN chain ON node = u),
+ rings AS MATERIALIZED (SELECT u AS v FROM nodes WHERE u NOT IN (SELECT node FROM open)),
+ turns AS (SELECT v AS start, v AS node, false AS done FROM rings UNION ALL SELECT start, chain.v, chain.v = start FROM turns JOIN chain ON node = u WHERE NOT done),
+ smallest AS (SELECT start AS node, min(least(node, {_rc('node')})) AS least FROM turns GROUP BY start),
+ cut AS MATERIALIZED (SELECT u, v FROM chain LEFT JOIN smallest ON smallest.node = v LEFT JOIN smallest own ON own.node = u WHERE (smallest.least IS NULL OR smallest.least <> v) AND (own.least IS NULL OR own.least = u OR own.least <> {_rc('u')})),
+ walks AS (SELECT u AS node, u AS seq, CAST(1 AS BIGINT) AS n FROM nodes WHERE u NOT IN (SELECT v FROM cut) UNION ALL SELECT v, seq || right(v, 1), n + 1 FROM walks JOIN cut ON node = u),
+ ends AS (SELECT seq, n FROM walks WHERE node NOT IN (SELECT u FROM cut))
+ SELECT DISTINCT least(seq, {_rc('seq')}) AS seq, n AS n_kmers FROM ends"""
+
+
+@query(_UNITIGS)
 def unitigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contigs of the significant k-mers; compared with plain Python in the tests."""
+    """Contigs of the significant k-mers."""
     return assembly.unitigs(_significant(spark, sf_dir).select(_kmer()), K)
 
 

@@ -12,11 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequences import reverse_complement
-from ..storage import checkpointed as _checkpointed
+from ..storage import written
 
 PIECE = 4096
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """Each round is computed once: what it gives is written, and the next one reads that."""
+    return written(df, "assembly")
+
+
 def unitigs(kmers: DataFrame, k: int, min_length: int | None = None) -> DataFrame:
     """``(seq, n_kmers)``: the contigs of distinct canonical ``kmers (kmer)``, at least ``min_length`` long (default k).
 
@@ -25,7 +30,7 @@ def unitigs(kmers: DataFrame, k: int, min_length: int | None = None) -> DataFram
     """
     own = kmers.select("kmer").where(F.col("kmer").isNotNull() & ~F.col("kmer").rlike("[^ACGT]")).distinct()
     nodes = own.select(F.col("kmer").alias("u")).union(own.select(reverse_complement(F.col("kmer")).alias("u"))).distinct()
-    nodes = _checkpointed(nodes)
+    nodes = _kept(nodes)
     out = nodes.select("u", F.substring("u", 2, k - 1).alias("overlap"))
     into = nodes.select(F.col("u").alias("v"), F.substring("u", 1, k - 1).alias("overlap"))
     # At most four nodes share an overlap on each side.
@@ -33,13 +38,13 @@ def unitigs(kmers: DataFrame, k: int, min_length: int | None = None) -> DataFram
     only_out = links.groupBy("u").agg(F.count("*").alias("n"), F.first("v").alias("v")).where("n = 1").select("u", "v")
     only_in = links.groupBy("v").agg(F.count("*").alias("n")).where("n = 1").select("v")
     chain = only_out.join(only_in, "v", "left_semi").where((F.col("u") != F.col("v")) & (F.col("v") != reverse_complement(F.col("u"))))
-    chain = _checkpointed(chain.select("u", "v"))
+    chain = _kept(chain.select("u", "v"))
     heads = _cut_cycles(nodes, chain)
     # Each node knows a node before it, how far back, and doubles that until it reaches its chain's first.
-    ranks = _checkpointed(nodes.join(heads, F.col("u") == F.col("v"), "left").select(F.col("u").alias("node"), F.coalesce("prev", "u").alias("head"), F.when(F.col("prev").isNull(), 0).otherwise(1).cast("long").alias("dist")))
+    ranks = _kept(nodes.join(heads, F.col("u") == F.col("v"), "left").select(F.col("u").alias("node"), F.coalesce("prev", "u").alias("head"), F.when(F.col("prev").isNull(), 0).otherwise(1).cast("long").alias("dist")))
     while True:
         before = ranks.select(F.col("node").alias("head"), F.col("head").alias("further"), F.col("dist").alias("more"))
-        ranks = _checkpointed(ranks.join(before, "head").select("node", F.col("further").alias("head"), (F.col("dist") + F.col("more")).alias("dist"), (F.col("more") > 0).alias("moved")))
+        ranks = _kept(ranks.join(before, "head").select("node", F.col("further").alias("head"), (F.col("dist") + F.col("more")).alias("dist"), (F.col("more") > 0).alias("moved")))
         if ranks.where("moved").isEmpty():
             break
         ranks = ranks.drop("moved")
@@ -66,12 +71,12 @@ def _cut_cycles(nodes: DataFrame, chain: DataFrame) -> DataFrame:
     """
     walk = nodes.join(chain.select(F.col("v").alias("u"), F.col("u").alias("prev")), "u", "left")
     walk = walk.select(F.col("u").alias("node"), "prev", F.least("u", reverse_complement(F.col("u"))).alias("least"))
-    walk = _checkpointed(walk)
+    walk = _kept(walk)
     open_ = walk.where("prev is not null").count()
     steps, total = 1, max(1, nodes.count())
     while open_ and steps < 2 * total:
         back = walk.select(F.col("node").alias("prev"), F.col("prev").alias("further"), F.col("least").alias("other"))
-        walk = _checkpointed(walk.join(back, "prev", "left").select("node", F.col("further").alias("prev"), F.least("least", F.coalesce("other", "least")).alias("least")))
+        walk = _kept(walk.join(back, "prev", "left").select("node", F.col("further").alias("prev"), F.least("least", F.coalesce("other", "least")).alias("least")))
         left = walk.where("prev is not null").count()
         if left == open_ and steps >= left:
             break

@@ -33,14 +33,6 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/kmerloom/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by ``checkpoint()`` in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
