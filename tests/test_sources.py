@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from kmerloom import storage
 from kmerloom.operators.counting import count_kmers
 from kmerloom.sources import manifest, reads
 from kmerloom.streaming import cohort
@@ -93,6 +94,19 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
 
 
+def test_shared_folder():
+    from types import SimpleNamespace
+
+    def session(master, named=None, app="app-1"):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: named), sparkContext=SimpleNamespace(master=master, applicationId=app))
+
+    assert storage.shared_folder(session("spark://host:1", "hdfs://x/y/")) == "hdfs://x/y"
+    own = storage.shared_folder(session("local[2]"))
+    assert own.startswith("file:///") and storage.shared_folder(session("local[2]")) == own
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_folder(session("yarn"))
+
+
 def test_document_reads_leave_out_nulls(spark, tmp_path):
     df = spark.createDataFrame([(1, "Ab c", "en", "s"), (2, None, "en", "s"), (3, "x", None, "s")], "doc_id long, text string, lang string, source string")
     df.write.parquet(str(tmp_path / "documents.parquet"))
