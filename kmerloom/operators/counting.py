@@ -29,7 +29,7 @@ def packed_counts(reads: DataFrame, k: int, keys: tuple[str, ...] = ("sample",),
         return counted_batches(batches, k, both_strands)
 
     fields = [*(T.StructField(c, reads.schema[c].dataType) for c in keys), T.StructField("kmer", T.LongType()), T.StructField("cnt", T.LongType())]
-    pieces = reads.where(F.length("seq") >= k).select(*keys, "seq").mapInArrow(run, T.StructType(fields))
+    pieces = reads.select(*keys, "seq").mapInArrow(run, T.StructType(fields))
     return pieces.groupBy(*keys, "kmer").agg(F.sum("cnt").alias("cnt"))
 
 

@@ -34,7 +34,7 @@ def counters(reads: DataFrame, database: DataFrame, k: int, both_strands: bool =
     Windows with other symbols have keys that differ from each other and from any k-mer, so that they are no hot key of
     the join; a very frequent k-mer's rows are all on the left side, where Spark may split them.
     """
-    own = reads.where(F.length("seq") >= k).select("read_id", "seq")
+    own = reads.select("read_id", "seq")
     if k > MAX_K:
         cut = windows(own, k)
         key = canonical(F.col("kmer")) if both_strands else F.col("kmer")
