@@ -110,13 +110,6 @@ def sorted_windows(runs: Runs, order: np.ndarray, size: int) -> np.ndarray:
     return order[runs.ends[run_of[order]] - order >= size]
 
 
-def window_strings(runs: Runs, at: np.ndarray, size: int) -> np.ndarray:
-    """The windows at these positions; all have ``size`` bytes, so that comparing them ignores no byte."""
-    text = np.frombuffer(runs.data, np.uint8)
-    view = np.lib.stride_tricks.sliding_window_view(text, size)
-    return np.ascontiguousarray(view[at]).view(f"S{size}").ravel()
-
-
 def later_windows(runs: Runs, size: int) -> tuple[np.ndarray, np.ndarray]:
     """True at each position whose window of ``size`` bytes also starts earlier in these runs; windows in suffix order."""
     order, _ = suffix_array(runs)

@@ -11,14 +11,15 @@ the same document. Strings are judged on the input.
 3. Only candidates' bytes are fetched and shuffled by key. Each shard of them gets a suffix array (Larsson-Sadakane) and
    common prefixes (Kasai); of windows in a class of equal ones, all but the first are marked.
 4. A key with more bytes than a shard may have is dealt to several shards by place. Each sorts its own suffixes and hands
-   on one window of each class; windows are dealt by content to merging tasks, which find equal windows of different
-   shards by binary search in the merged, sorted windows and mark all but the first. No task holds more than a shard, and
+   on one window of each class, as its place and 128 bits of hash; these are dealt by hash to merging tasks, which find
+   equal windows of different shards by binary search in the merged, sorted hashes and mark all but the first. No task holds more than a shard, and
    work grows with the windows, not with pairs of shards.
 5. Marked stretches are gathered by document and cut out.
 
 Keys of very common text, found on a sample of the documents, are refined by two more minimizers of the same window, so
-that windows which reach into different contexts part. This and the collapse of equal runs inside each task balance the
-work; neither changes a result.
+that windows which reach into different contexts part. The runs of keys that stay crowded are dealt by their hash, so that
+no task holds such a key. This and the collapse of equal runs inside each task balance the work; none of it changes a
+result.
 
 Defined cases: a null text is empty; a null doc_id comes before all others; rows that repeat a doc_id come in the order of
 their texts' hashes, and of equal rows the first stays; texts of any length are searched whole; columns other than doc_id
@@ -28,7 +29,6 @@ and text are not read, whatever their names; an empty table gives an empty resul
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,16 +38,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .suffix_arrays import Runs, covered, later_rows, later_windows, window_strings, words_at
+from .suffix_arrays import Runs, covered, later_rows, later_windows, words_at
 
 SIZE = 100
 GRAM = 24
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 2 << 20
 HOT_RUNS = 20_000
 SAMPLE = 64
 MAX_HOT = 100_000
 COMBINER_RUNS = 200_000
-BUCKETS = 64
+BUCKETS = 16
+ROW_BYTES = 32
 FIRST = -(1 << 63)
 
 MULTIPLIERS = np.array([[0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], [0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], [0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F]], np.uint64)
@@ -103,13 +104,12 @@ def _documents(docs: DataFrame, repeats: bool) -> DataFrame:
     return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(FIRST)).alias("ord"), tie.alias("tie"), text.alias("text"))
 
 
-def hot_keys(docs: DataFrame, size: int, sample: int = SAMPLE, hot_runs: int = HOT_RUNS) -> np.ndarray:
+def _frequent(docs: DataFrame, size: int, known: np.ndarray, sample: int, hot_runs: int) -> np.ndarray:
     """Keys with about ``hot_runs`` runs or more, estimated on one document in ``sample``; at most ``MAX_HOT`` of them."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        none = np.empty(0, np.uint64)
         for pdf in batches:
-            keys = [window_runs(t.encode(), size, none)[0] for t in pdf["text"]]
+            keys = [window_runs(t.encode(), size, known)[0] for t in pdf["text"]]
             yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64) if keys else []}, dtype="int64")
 
     least = max(2, hot_runs // sample)
@@ -119,9 +119,15 @@ def hot_keys(docs: DataFrame, size: int, sample: int = SAMPLE, hot_runs: int = H
     return np.sort(rows["key"].to_numpy(np.int64).view(np.uint64))
 
 
-def _places(docs: DataFrame, size: int, hot: np.ndarray) -> DataFrame:
-    """``(key, run, more, ord, tie, start, n, again, gone)``: hashes and place of each run; ``gone``: an equal run in the same task is earlier."""
-    schema = pa.schema([("key", pa.int64()), ("run", pa.int64()), ("more", pa.int32()), ("ord", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("again", pa.bool_()), ("gone", pa.bool_())])
+def hot_keys(docs: DataFrame, size: int, sample: int = SAMPLE, hot_runs: int = HOT_RUNS) -> tuple[np.ndarray, np.ndarray]:
+    """Keys to be refined, and keys that are crowded even so. Both only balance the work: no result depends on them."""
+    hot = _frequent(docs, size, np.empty(0, np.uint64), sample, hot_runs)
+    return hot, _frequent(docs, size, hot, sample, hot_runs) if len(hot) else hot
+
+
+def _places(docs: DataFrame, size: int, hot: np.ndarray, crowded: np.ndarray) -> DataFrame:
+    """``(key, run, ord, tie, at, n)``: hashes and place of each run, packed as ``_unpacked`` says, to be shuffled."""
+    schema = pa.schema([(c, pa.int64()) for c in ("key", "run", "ord", "tie", "at", "n")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
@@ -149,29 +155,86 @@ def _places(docs: DataFrame, size: int, hot: np.ndarray) -> DataFrame:
                         seen.clear()
                     full = np.ones(len(keys), np.int64)
                     digests = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
-                    for column, values in zip(out, (keys.view(np.int64), digests[:, 0], digests[:, 1].astype(np.int32), o * full, t * full, starts.astype(np.int32), n.astype(np.int32), again, gone), strict=True):
+                    at = starts.astype(np.int64) << 32 | digests[:, 1] & 0xFFFFFFFF
+                    flags = gone + 2 * again.astype(np.int64) + 4 * np.isin(keys, crowded)
+                    for column, values in zip(out, (keys.view(np.int64), digests[:, 0], o * full, t * full, at, n.astype(np.int64) << 3 | flags), strict=True):
                         column.append(values)
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], schema=schema)
 
-    return docs.select("ord", "tie", "text").mapInArrow(run, "key long, run long, more int, ord long, tie long, start int, n int, again boolean, gone boolean")
+    return docs.select("ord", "tie", "text").mapInArrow(run, "key long, run long, ord long, tie long, at long, n long")
+
+
+def _unpacked(places: DataFrame) -> DataFrame:
+    """``at`` holds a run's first window and 32 bits of a second hash, ``n`` its number of windows and three marks.
+
+    The marks: an equal run in the same task is earlier (``gone``); it may hold one window twice (``again``); its key is
+    crowded.
+    """
+    n = F.col("n")
+    return places.select(
+        "key", "run", F.col("at").bitwiseAND(0xFFFFFFFF).alias("more"), "ord", "tie", F.shiftright("at", 32).cast("int").alias("start"), F.shiftright(n, 3).cast("int").alias("n"),
+        (n.bitwiseAND(6) != 0).alias("again"), (n.bitwiseAND(1) != 0).alias("gone"),
+    )
 
 
 def _sorted_out(places: DataFrame) -> DataFrame:
-    """``(key, ord, tie, start, n, again, whole)``: the first of each run, and all that an earlier run equals (``whole``)."""
-    same = Window.partitionBy("key", "run", "more", "n").orderBy("ord", "tie", "start")
-    # Equal rows have equal places: none of them is later than another, and one is enough.
-    live = places.where(~F.col("gone")).select("*", F.row_number().over(same).alias("no"), F.rank().over(same).alias("rank")).where("rank > 1 or no = 1")
-    columns = ["key", "ord", "tie", "start", "n", "again"]
-    return live.select(*columns, (F.col("rank") > 1).alias("whole")).union(places.where("gone").select(*columns, F.lit(True)))
+    """Of all runs, those that go whole (``whole``) and the candidates: the first of each run where its key has others or it may repeat itself."""
+    schema = pa.schema([("key", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("whole", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What the next batch needs to know: the last run, and the last first of a run while its key has no other.
+        last: tuple | None = None
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, run_, more, o, t, s, n, again, gone = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(9))
+            live = ~gone
+            k, r = key[live], np.stack([run_[live], more[live], n[live].astype(np.int64)])
+            place = np.stack([o[live], t[live], s[live].astype(np.int64)])
+            new_run, new_key = np.ones(len(k), bool), np.ones(len(k), bool)
+            same_place = np.zeros(len(k), bool)
+            if len(k):
+                new_key[1:] = k[1:] != k[:-1]
+                new_run[1:] = new_key[1:] | (r[:, 1:] != r[:, :-1]).any(0)
+                same_place[1:] = ~new_run[1:] & (place[:, 1:] == place[:, :-1]).all(0)
+                if last is not None:
+                    new_key[0] = k[0] != last[0]
+                    new_run[0] = new_key[0] or tuple(r[:, 0]) != last[1]
+                    same_place[0] = not new_run[0] and tuple(place[:, 0]) == last[2]
+                last = (k[-1], tuple(r[:, -1]), tuple(place[:, -1]))
+            first = np.flatnonzero(new_run)
+            columns = [k[first], o[live][first], t[live][first], s[live][first], n[live][first], again[live][first]]
+            fresh = new_key[first]
+            if held is not None:
+                columns = [np.concatenate((a, b)) for a, b in zip(held[:6], columns, strict=True)]
+                fresh = np.concatenate((held[6], fresh))
+            # A first is a candidate if the first before it or after it has its key, or if it may repeat itself.
+            keep = ~fresh | columns[5]
+            keep[:-1] |= ~fresh[1:]
+            held = None
+            if len(fresh):
+                if not keep[-1]:
+                    held = [c[-1:] for c in columns] + [fresh[-1:]]
+            whole = np.flatnonzero(~new_run & ~same_place)
+            parts = [
+                [np.concatenate(x) for x in zip([c[keep] for c in columns[:5]], [k[whole], o[live][whole], t[live][whole], s[live][whole], n[live][whole]], [key[gone], o[gone], t[gone], s[gone], n[gone]], strict=True)],
+                np.r_[np.zeros(int(keep.sum()), bool), np.ones(len(whole) + int(gone.sum()), bool)],
+            ]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, parts[0]), pa.array(parts[1])], schema=schema)
+
+    # Runs already known to go pass through wherever they are; the runs of a crowded key are candidates wherever they are.
+    gone, crowded = F.col("n").bitwiseAND(1) != 0, F.col("n").bitwiseAND(4) != 0
+    dealt = places.repartition(F.when(gone, F.xxhash64("ord", "at")).when(crowded, F.xxhash64("key", "run")).otherwise(F.col("key")))
+    return _unpacked(dealt).sortWithinPartitions("key", "run", "more", "n", "ord", "tie", "start").mapInArrow(run, "key long, ord long, tie long, start int, n int, whole boolean")
 
 
 def _candidates(found: DataFrame, size: int, shard_bytes: int) -> DataFrame:
-    """``(key, ord, tie, start, n, shards)`` of first runs whose key has others, or that may repeat themselves."""
+    """``(key, ord, tie, start, n, shards)``: candidates with the number of shards that their key needs."""
     firsts = found.where("not whole")
-    keys = firsts.groupBy("key").agg(F.count("*").alias("runs"), F.max("again").alias("any"), F.sum(F.col("n") + size - 1).alias("bytes"))
-    keys = keys.where("runs > 1 or any").select("key", (F.col("runs") > 1).alias("several"), F.ceil(F.col("bytes") / shard_bytes).cast("int").alias("shards"))
-    return firsts.join(keys, "key").where("several or again").select("key", "ord", "tie", "start", "n", "shards")
+    keys = firsts.groupBy("key").agg(F.ceil(F.sum(F.col("n") + size - 1) / shard_bytes).cast("int").alias("shards"))
+    return firsts.join(keys, "key").select("key", "ord", "tie", "start", "n", "shards")
 
 
 def _candidate_bytes(candidates: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -181,12 +244,13 @@ def _candidate_bytes(candidates: DataFrame, texts: DataFrame, size: int) -> Data
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for o, t, text, runs in pdf.itertuples(index=False):
+            for o, t, text, runs, _ in pdf.itertuples(index=False):
                 data = text.encode()
                 rows += [(r["key"], o, t, r["start"], data[r["start"] : r["start"] + r["n"] + size - 1], r["shards"]) for r in runs]
             yield pd.DataFrame(rows, columns=["key", "ord", "tie", "start", "data", "shards"])
 
-    return texts.join(asked, ["ord", "tie"]).select("ord", "tie", "text", "asked").mapInPandas(run, "key long, ord long, tie long, start int, data binary, shards int")
+    # doc_id is not used here: with it, the dealt texts are the very ones that are cut in the end, and are shuffled once.
+    return texts.join(asked, ["ord", "tie"]).select("ord", "tie", "text", "asked", "doc_id").mapInPandas(run, "key long, ord long, tie long, start int, data binary, shards int")
 
 
 def _shards_of(batches: Iterator[pd.DataFrame], columns: tuple[str, ...], shard_bytes: int) -> Iterator[list[tuple]]:
@@ -205,7 +269,7 @@ def _shards_of(batches: Iterator[pd.DataFrame], columns: tuple[str, ...], shard_
                 rows, total = rows + group, total + size
                 group, size = [], 0
             group.append(row)
-            size += len(row[place])
+            size += ROW_BYTES + len(row[place] or b"")
     if rows and total + size > shard_bytes:
         yield rows
         rows = []
@@ -213,55 +277,50 @@ def _shards_of(batches: Iterator[pd.DataFrame], columns: tuple[str, ...], shard_
         yield rows + group
 
 
-def _marked(runs: DataFrame, size: int, shard_bytes: int) -> DataFrame:
-    """``(ord, tie, start, end)``: stretches of candidate runs under windows that also start earlier, for keys of one shard."""
+def _marked(runs: DataFrame, size: int, shard_bytes: int, large: bool) -> DataFrame:
+    """``(ord, tie, start, end)``: stretches of candidate runs under windows that also start earlier.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _shards_of(batches, ("key",), shard_bytes):
-            laid = Runs.of([r[4] for r in rows])
-            later, _ = later_windows(laid, size)
-            found = [(rows[k][1], rows[k][2], rows[k][3] + int(start), rows[k][3] + int(end)) for k, start, end in zip(*covered(later, laid, size), strict=True)]
-            yield pd.DataFrame(found, columns=["ord", "tie", "start", "end"])
-
-    dealt = runs.select("key", "ord", "tie", "start", "data").repartition("key").sortWithinPartitions("key", "ord", "tie", "start")
-    return dealt.mapInPandas(run, "ord long, tie long, start int, end int")
-
-
-def _marked_large(runs: DataFrame, size: int, shard_bytes: int) -> DataFrame:
-    """The same for keys of several shards: each shard's own suffix array, then one merge by content."""
+    ``large``: there are keys of several shards. These hand on their windows, and one merge by content follows, through
+    which stretches that are known already pass.
+    """
+    columns = ["key", "bucket", "ord", "tie", "start", "end", "data"]
 
     def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["key", "bucket", "ord", "tie", "start", "end", "data"]
+        from xxhash import xxh3_128_digest
+
         for rows in _shards_of(batches, ("key", "shard"), shard_bytes):
             laid = Runs.of([r[5] for r in rows])
             later, windows = later_windows(laid, size)
-            found = [(rows[k][0], 0, *rows[k][2:4], rows[k][4] + int(start), rows[k][4] + int(end), None) for k, start, end in zip(*covered(later, laid, size), strict=True)]
+            found = [(rows[k][0], k, *rows[k][2:4], rows[k][4] + int(start), rows[k][4] + int(end), None) for k, start, end in zip(*covered(later, laid, size), strict=True)]
             yield pd.DataFrame(found, columns=columns)
-            first = windows[~later[windows]]
+            first = windows[~later[windows]] if any(r[6] > 1 for r in rows) else windows[:0]
             for at in range(0, len(first), 1 << 13):
                 part = first[at : at + (1 << 13)]
                 run_of = np.searchsorted(laid.ends, part)
                 out = []
                 for p, k in zip(part.tolist(), run_of.tolist(), strict=True):
-                    window = laid.data[p : p + size]
                     key, _, o, t, s, _, shards = rows[k]
-                    place = s + p - int(laid.starts[k])
-                    out.append((key, zlib.crc32(window) % (BUCKETS * shards), o, t, place, place + size, window))
+                    if shards > 1:
+                        digest = xxh3_128_digest(laid.data[p : p + size])
+                        place = s + p - int(laid.starts[k])
+                        out.append((key, int.from_bytes(digest[:8], "big") % (BUCKETS * shards), o, t, place, place + size, digest))
                 yield pd.DataFrame(out, columns=columns)
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _shards_of(batches, ("key", "bucket"), shard_bytes):
-            laid = Runs.of([r[5] for r in rows])
+            yield pd.DataFrame([r[2:6] for r in rows if r[6] is None], columns=columns[2:6])
             # Rows come sorted by key, bucket and place: of equal windows the first row is the first place.
-            later = later_rows(np.array([r[0] for r in rows], np.int64), window_strings(laid, laid.starts, size))
-            yield pd.DataFrame([(*rows[k][2:5], rows[k][4] + size) for k in np.flatnonzero(later)], columns=["ord", "tie", "start", "end"])
+            asked = [r for r in rows if r[6] is not None]
+            if asked:
+                later = later_rows(np.array([r[0] for r in asked], np.int64), np.array([r[6] for r in asked], "S16"))
+                yield pd.DataFrame([asked[k][2:6] for k in np.flatnonzero(later)], columns=columns[2:6])
 
-    shard = F.pmod(F.xxhash64("ord", "tie", "start"), F.col("shards"))
+    shard = F.when(F.col("shards") > 1, F.pmod(F.xxhash64("ord", "tie", "start"), F.col("shards"))).otherwise(0)
     dealt = runs.select("key", shard.alias("shard"), "ord", "tie", "start", "data", "shards").repartition("key", "shard").sortWithinPartitions("key", "shard", "ord", "tie", "start")
-    done = common.written(dealt.mapInPandas(own, "key long, bucket long, ord long, tie long, start int, end int, data binary"), "windows")
-    windows = done.where("data is not null").select("key", "bucket", "ord", "tie", "start", "data")
-    merged = windows.repartition("key", "bucket").sortWithinPartitions("key", "bucket", "ord", "tie", "start").mapInPandas(merge, "ord long, tie long, start int, end int")
-    return merged.union(done.where("data is null").select("ord", "tie", "start", "end"))
+    done = dealt.mapInPandas(own, "key long, bucket long, ord long, tie long, start int, end int, data binary")
+    if large:
+        done = done.repartition("key", "bucket").sortWithinPartitions("key", "bucket", "ord", "tie", "start").mapInPandas(merge, "ord long, tie long, start int, end int")
+    return done.select("ord", "tie", "start", "end")
 
 
 def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -280,14 +339,10 @@ def removed_spans(docs: DataFrame, texts: DataFrame, size: int = SIZE, shard_byt
 
     ``texts`` are the same, dealt by ``ord`` and ``tie``, each pair of these once.
     """
-    found = common.written(_sorted_out(_places(docs, size, hot_keys(docs, size, sample, hot_runs))), "runs")
-    runs = _candidate_bytes(_candidates(found, size, shard_bytes), texts, size)
-    large = _candidates(found, size, shard_bytes).where("shards > 1").limit(1).collect()
-    if large:
-        runs = common.written(runs, "candidates")
-        marked = _marked(runs.where("shards = 1"), size, shard_bytes).union(_marked_large(runs.where("shards > 1"), size, shard_bytes))
-    else:
-        marked = _marked(runs, size, shard_bytes)
+    found = common.written(_sorted_out(_places(docs, size, *hot_keys(docs, size, sample, hot_runs))), "runs")
+    candidates = _candidates(found, size, shard_bytes)
+    large = bool(candidates.where("shards > 1").limit(1).collect())
+    marked = _marked(_candidate_bytes(candidates, texts, size), size, shard_bytes, large)
     whole = found.where("whole").select("ord", "tie", "start", (F.col("start") + F.col("n") + size - 1).alias("end"))
     return whole.unionByName(marked).groupBy("ord", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
@@ -295,7 +350,8 @@ def removed_spans(docs: DataFrame, texts: DataFrame, size: int = SIZE, shard_byt
 def dedup_documents(docs: DataFrame, size: int = SIZE, shard_bytes: int = SHARD_BYTES, hot_runs: int = HOT_RUNS, sample: int = SAMPLE) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept)`` for every row; ``kept`` is what remains, as bytes."""
     repeats = bool(docs.groupBy(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST))).count().where("count > 1").limit(1).collect())
-    texts = _documents(docs, repeats).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "ord", "tie")
+    # Joins are on the same columns, so that texts are shuffled once: without repeats the constant tie is none of them.
+    texts = _documents(docs, repeats).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *(("ord", "tie") if repeats else ("ord",)))
     copy = F.row_number().over(Window.partitionBy("ord", "tie").orderBy(F.col("doc_id").asc_nulls_first())) if repeats else F.lit(1)
     texts = texts.withColumn("copy", copy)
     spans = removed_spans(_documents(docs, repeats), texts.where("copy = 1"), size, shard_bytes, hot_runs, sample)
