@@ -36,7 +36,7 @@ from .components import connected_components, forest
 
 THRESHOLD = 0.95
 BLOCK_BYTES = 16 << 20
-SAMPLE = 65_536
+SAMPLE = 32_768
 LEADING = 12
 MAX_DEPTH = 12
 TILE = 512
@@ -215,9 +215,17 @@ def _links(reps: DataFrame, dim: int, threshold: float, block_bytes: int) -> Dat
     cores = spark.sparkContext.defaultParallelism
     n_blocks = max(1, min(-(-total // TILE), max(int(np.ceil(np.sqrt(6 * cores))), -(-total * dim * int(kind[2]) // block_bytes))))
     depth = min(MAX_DEPTH, max(0, (4 * n_blocks - 1).bit_length()) if n_blocks > 1 else 0)
-    every = max(1, total // (SAMPLE // 2))
-    sample = reps.where(F.pmod(F.xxhash64("class"), F.lit(every)) == 0).select("embedding").limit(SAMPLE).toPandas() if depth else None
-    points = unit(np.array(sample["embedding"].tolist(), float).reshape(-1, dim)) @ leading if depth else np.zeros((0, leading.shape[1]))
+
+    @F.pandas_udf("array<double>")
+    def lead(vectors: pd.Series) -> pd.Series:
+        return pd.Series(list(unit(np.array(vectors.tolist(), float).reshape(-1, dim)) @ leading))
+
+    points = np.zeros((0, leading.shape[1]))
+    if depth:
+        # Places on the leading axes only, of a bounded sample.
+        every = max(1, 2 * total // SAMPLE)
+        rows = reps.where(F.pmod(F.xxhash64("class"), F.lit(every)) == 0).limit(SAMPLE).select(lead("embedding").alias("at")).toPandas()
+        points = np.array(rows["at"].tolist(), float).reshape(-1, leading.shape[1])
     axis, value = cut_tree(points, depth)
 
     @F.pandas_udf("leaf int, at array<double>")
