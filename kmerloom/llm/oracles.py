@@ -40,3 +40,9 @@ MIXING_TARGETS = rf"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(c
  level AS (SELECT words_left / weight_left AS share FROM ranked WHERE words_left * weight / weight_left <= 3 * n ORDER BY no LIMIT 1)
  SELECT d.doc_id, d.size, n AS source_size, round(CASE WHEN share * weight > 3 * n THEN 3.0 * n ELSE share * weight END, 6) AS target
  FROM d JOIN sources ON d.source IS NOT DISTINCT FROM sources.source, level"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+EXACT = f"""WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
+ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+ FROM d WINDOW w AS (PARTITION BY t)"""

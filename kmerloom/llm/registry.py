@@ -1,10 +1,11 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
 from .embedding_dedup import op1_embedding_dedup
+from .exact_dedup import op13_exact_dedup
 from .html_text import op5_html_text
 from .language_id import op10_language_id
 from .mixing import mixing_targets, op7_mixing
-from .oracles import EMBEDDINGS, MIXING_TARGETS, QUALITY_COUNTS, SUFFIXES
+from .oracles import EMBEDDINGS, EXACT, MIXING_TARGETS, QUALITY_COUNTS, SUFFIXES
 from .pii import op6_pii_surrogates
 from .quality import op4_quality_rules, quality_base_counts
 from .sentencepieces import op8_sentencepieces
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_sentencepieces": op8_sentencepieces,
     "op9_token_records": op9_token_records,
     "op10_language_id": op10_language_id,
+    "op13_exact_dedup": op13_exact_dedup,
     "quality_base_counts": quality_base_counts,
     "mixing_targets": mixing_targets,
 }
@@ -30,6 +32,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_embedding_dedup": EMBEDDINGS,
     "op2_suffix_dedup": SUFFIXES,
+    "op13_exact_dedup": EXACT,
     "quality_base_counts": QUALITY_COUNTS,
     "mixing_targets": MIXING_TARGETS,
 }
