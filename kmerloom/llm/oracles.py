@@ -46,3 +46,27 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 EXACT = f"""WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
  SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
  FROM d WINDOW w AS (PARTITION BY t)"""
+
+NEGATIVES = """WITH v AS (SELECT row_number() OVER () AS row_no, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+ FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ scores AS MATERIALIZED (SELECT a.row_no AS anchor, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+ FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.row_no <> b.row_no AND len(a.e) = len(b.e)),
+ positives AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id) AS slot FROM scores WHERE same QUALIFY slot <= 5)
+ SELECT p.anchor_id, p.other_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.slot ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+ FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score QUALIFY rank <= 3"""
+
+PHRASES = rf"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, {_LOWER} AS t FROM documents),
+ pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+ grams AS (SELECT lang, size, phrase, count(*) AS f FROM (
+ SELECT lang, 1 AS size, unnest(w) AS phrase FROM pieces
+ UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM pieces
+ UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM pieces) GROUP BY ALL),
+ totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE size = 1 GROUP BY lang),
+ often AS (SELECT *, string_split(phrase, ' ') AS w FROM grams WHERE f >= 10),
+ cuts AS (SELECT lang, size, phrase, f AS a, k, array_to_string(w[:k], ' ') AS left_part, array_to_string(w[k + 1:], ' ') AS right_part FROM (SELECT *, unnest(range(1, size)) AS k FROM often WHERE size > 1)),
+ scored AS (SELECT cuts.lang, cuts.size, cuts.phrase, a, k, p.f AS l, q.f AS r, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(p.f AS HUGEINT) * q.f) AS BIGINT) AS score
+ FROM cuts JOIN often p ON p.lang = cuts.lang AND p.phrase = left_part JOIN often q ON q.lang = cuts.lang AND q.phrase = right_part),
+ best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ inside AS (SELECT lang, phrase, max(f) AS m FROM (SELECT lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM often WHERE size = 3) GROUP BY ALL),
+ ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM best LEFT JOIN inside USING (lang, phrase) WHERE m IS NULL OR size = 3 OR 100 * m < 50 * a)
+ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
