@@ -1,10 +1,11 @@
 """Personal data: keyed surrogates that keep type, format, gender, script and coreference.
 
 Whole texts are searched for e-mail addresses, telephone numbers, payment card and account numbers, social security
-numbers, IPv4 and IPv6 addresses, access tokens, and names of persons (after a title, or a known given name before a
-surname). A document's further mentions of a name's words count as well, with or without a title. Every mention has a
-canonical key: mentions that differ in case or punctuation, in a title, or in a country code before the same number, share
-it. A surrogate is drawn from a keyed hash of kind and key: digits stay digits at their places, letters stay letters in
+numbers, IPv4 and IPv6 addresses, access tokens, and names of persons: one to four words after one or more titles, or a
+known given name before a surname, in Latin or Cyrillic letters; the last word is the surname, and particles and initials
+stay. A document's further mentions of a name's words count as well, with or without a title, also where a word is an
+ordinary one in capitals. Every mention has a canonical key: mentions that differ in case or punctuation, in a title, or in
+a country code before the same number, share it; an access token is its own key, letter by letter. A surrogate is drawn from a keyed hash of kind and key: digits stay digits at their places, letters stay letters in
 their case, a card number that passes its check digit gets one that does, given names stay within gender and script,
 surnames within script; country codes stay. Names are replaced word by word, so that a full name and its surname alone
 still agree. A given name's gender is the one the corpus shows for it anywhere.
@@ -16,7 +17,8 @@ departed from rather than distinctness.
 
 Defined cases: a null text stays null; a text without mentions stays as it is, byte for byte; repeated rows are changed
 alike; texts of any length are searched whole, in time that grows with their mentions; where mentions overlap, the kind
-that is searched first has it; an empty table gives an empty result; a column ``n_entities`` is replaced, and columns
+that is searched first has it; without a key, the library's functions raise an error, and the registered query warns and
+takes an open one; an empty table gives an empty result; a column ``n_entities`` is replaced, and columns
 other than ``text`` and ``n_chars`` are not touched, whatever their names.
 """
 
@@ -24,10 +26,12 @@ from __future__ import annotations
 
 import hmac
 import re
+import warnings
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,12 +39,13 @@ from . import common
 
 #: The session setting with the secret key. Who has the key can test guesses about the originals.
 KEY_SETTING = "spark.kmerloom.surrogateKey"
-#: For tests and demonstrations, where the session names none.
+#: For the registered query and the tests, where the session names none.
 OPEN_KEY = b"not a secret"
 MAX_ROUNDS = 64
 LONGER = 16
 
-# Titles, given names by gender and script, and syllables of surnames.
+# Particles of surnames, titles, given names by gender and script, and syllables of surnames.
+PARTICLES = "(?:van|von|vom|der|den|de|del|della|di|da|dos|das|do|du|la|le|ten|ter|zu|zum|zur|af|al|el|bin|ibn|y)"
 TITLES = {
     "m": "Mr Mister Herr Señor Sr Monsieur Sir Signor Господин г-н".split(),
     "f": "Mrs Ms Miss Frau Señora Sra Señorita Madame Mme Mademoiselle Mlle Signora Госпожа г-жа".split(),
@@ -54,7 +59,9 @@ GIVEN = {
 }
 SYLLABLES = {"latin": "bar bel cor dan del fen gar hal ken lan mar mor nel par ran ros sal tor van wen".split(), "cyrillic": "бар бел вол гор дан кор лан мар нов пар рос сол тор".split()}
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,24}(?![A-Za-z0-9])")
+#: Letters of Latin, Greek and Cyrillic words beyond ASCII.
+_BEYOND = "À-ÖØ-öø-ɏͰ-ϿЀ-ӿ"
+EMAIL = re.compile(rf"(?<![\w.%+\-])[A-Za-z0-9{_BEYOND}._%+\-]+@[\w\-]+(?:\.[\w\-]+)*\.(?:[^\W\d_]{{2,}}|xn--[A-Za-z0-9\-]+)(?!\w)")
 SECRET = re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9_\-]{20,})(?![A-Za-z0-9])")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 CARD = re.compile(r"(?<![\w+\-])(?<![0-9]\.)(?:[0-9]{4}([ \-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ \-])[0-9]{6}\2[0-9]{5}|[0-9]{13,19})(?![\w\-])")
@@ -64,13 +71,17 @@ PHONE = re.compile(
 SSN = re.compile(r"(?<![\w\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w\-])")
 IP = re.compile(r"(?<!\w)(?<![0-9]\.)(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\w]|\.[0-9])")
 IPV6 = re.compile(r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){2,6}(?::[0-9A-Fa-f]{1,4}){1,5})(?![\w:])")
-_UPPER = "[A-ZÀ-ÖØ-ÞА-ЯЁ]{2,}(?:-[A-ZÀ-ÖØ-ÞА-ЯЁ]{2,})?"
-_WORD = "[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+)?"
 _TITLES = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
 _GIVEN = sorted((g for gs in GIVEN.values() for g in gs), key=len, reverse=True)
-TITLED = re.compile(rf"(?<!\w)(?P<title>{_TITLES})\.? (?P<name>{_WORD}(?: {_WORD})?|{_UPPER}(?: {_UPPER})?)(?!\w)")
-NAMED = re.compile(rf"(?<!\w)(?P<name>(?:{'|'.join(_GIVEN)}) {_WORD}|(?:{'|'.join(g.upper() for g in _GIVEN)}) {_UPPER})(?!\w)")
-NAME_WORD = re.compile(rf"(?<!\w)(?:{_WORD}|{_UPPER})(?!\w)")
+TITLE = re.compile(rf"(?<!\w)(?:(?:{_TITLES})(?!\w)\.? ?)+(?<= )")
+GIVEN_NAME = re.compile(rf"(?<!\w)(?:{'|'.join(_GIVEN)}|{'|'.join(g.upper() for g in _GIVEN)})(?= )")
+_BIG, _SMALL = r"[\p{Lu}&&[\p{Latin}\p{Cyrillic}]]\p{M}*", r"(?:[\p{Ll}&&[\p{Latin}\p{Cyrillic}]]\p{M}*)"
+_WORD = rf"(?:{_BIG}['’])?(?:{_BIG}{_SMALL}+)+(?:[\-'’](?:{_BIG}{_SMALL}+)+)*"
+_CAPITALS = rf"(?:{_BIG}['’])?(?:{_BIG}){{2,}}(?:[\-'’](?:{_BIG}){{2,}})*"
+_BEFORE = rf"(?:(?:{_BIG}\.|{PARTICLES}) )*"
+#: Words of a name, with particles and initials before each.
+WORDS = regex.compile(rf"{_BEFORE}(?P<word>{_WORD})(?: {_BEFORE}(?P<word>{_WORD})){{0,3}}(?!\w)|{_BEFORE}(?P<word>{_CAPITALS})(?: {_BEFORE}(?P<word>{_CAPITALS})){{0,3}}(?!\w)", regex.V1)
+NAME_WORD = regex.compile(rf"(?<!\w)(?:{_WORD}|{_CAPITALS})(?!\w)", regex.V1)
 HAS_DIGIT = re.compile("[0-9]")
 GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 GIVEN_GENDER = {n.casefold(): g for (g, _), ns in GIVEN.items() for n in ns}
@@ -127,7 +138,7 @@ def find_entities(text: str | None) -> list[tuple[int, int, str, str, str]]:
     if HAS_DIGIT.search(text):
         for m in SECRET.finditer(text):
             if HAS_DIGIT.search(m[0]):
-                add(*m.span(), "card" if m[0].isdigit() else "secret", m[0].lower())
+                add(*m.span(), "card" if m[0].isdigit() else "secret", m[0])
         for m in IBAN.finditer(text):
             add(*m.span(), "iban", m[0].replace(" ", ""))
         for m in CARD.finditer(text):
@@ -145,16 +156,25 @@ def find_entities(text: str | None) -> list[tuple[int, int, str, str, str]]:
                 if HAS_DIGIT.search(m[0]) and m[0].count("::") <= 1:
                     add(*m.span(), "ipv6", m[0].lower())
     names: dict[str, tuple[str, str]] = {}
-    for pattern in (TITLED, NAMED):
-        for m in pattern.finditer(text):
-            words = [(w.start() + m.start("name"), w[0]) for w in re.finditer(r"\S+", m["name"])]
-            for k, (at, word) in enumerate(words):
-                script = "cyrillic" if re.match("[А-Яа-яЁё]", word) else "latin"
-                key, kind, gender = word.casefold(), f"surname_{script}", ""
-                if k + 1 < len(words):
-                    kind, gender = f"given_{script}", GIVEN_GENDER.get(key, GENDER[m["title"]] if pattern is TITLED else "x")
-                add(at, at + len(word), kind, key, gender)
-                names.setdefault(key, (kind, gender))
+
+    def name(found: regex.Match | None, gender: str) -> None:
+        words = list(zip(found.captures("word"), found.starts("word"), strict=True)) if found else []
+        for k, (word, at) in enumerate(words):
+            script = "cyrillic" if re.match("[А-Яа-яЁё]", word) else "latin"
+            key, kind, own = word.casefold(), f"surname_{script}", ""
+            if k + 1 < len(words):
+                kind, own = f"given_{script}", GIVEN_GENDER.get(key, gender)
+            add(at, at + len(word), kind, key, own)
+            names.setdefault(key, (kind, own))
+
+    for m in TITLE.finditer(text):
+        genders = [GENDER[t] for t in re.findall(_TITLES, m[0])]
+        name(WORDS.match(text, m.end()), next((g for g in genders if g != "x"), "x"))
+    for m in GIVEN_NAME.finditer(text):
+        found = WORDS.match(text, m.start())
+        # A given name alone is no person yet.
+        if found and len(found.captures("word")) > 1:
+            name(found, "x")
     if names:
         # The document's other mentions of these words, in the cases that names have.
         for m in NAME_WORD.finditer(text):
@@ -178,7 +198,7 @@ class _Draw:
 
     def shape(self, text: str) -> str:
         letters = "abcdefghijklmnopqrstuvwxyz"
-        return "".join(str(self.below(10)) if c.isdigit() else letters[self.below(26)] if c.isascii() and c.islower() else letters[self.below(26)].upper() if c.isascii() and c.isupper() else c for c in text)
+        return "".join(str(self.below(10)) if c.isdigit() else letters[self.below(26)].upper() if c.isupper() else letters[self.below(26)] if c.isalpha() else c for c in text)
 
 
 def surrogate(kind: str, key: str, attempt: int, secret: bytes, gender: str = "") -> str:
@@ -204,14 +224,16 @@ def surrogate(kind: str, key: str, attempt: int, secret: bytes, gender: str = ""
     if kind == "iban":
         return key[:2] + d.shape(key[2:]) + more
     if kind == "ip":
-        return ".".join(str(1 + d.below(254)) for _ in range(4 + len(more)))
+        # Where IPv4 is full, an address of the range for documentation.
+        return "2001:db8:" + ":".join(f"{d.below(1 << 16):x}" for _ in range(6)) if more else ".".join(str(1 + d.below(254)) for _ in range(4))
     if kind == "ipv6":
-        return ":".join("".join("0123456789abcdef"[d.below(16)] for _ in part) if part else "" for part in key.split(":")) + "".join(f":{c}" for c in more)
+        return ":".join("".join("0123456789abcdef"[d.below(16)] for _ in part) if part else "" for part in key.split(":")) if not more else ":".join(f"{d.below(1 << 16):x}" for _ in range(8))
     if kind == "secret":
-        if re.fullmatch("[0-9a-f]+", key):
-            return "".join("0123456789abcdef"[d.below(16)] for _ in key)
-        head = re.match("akia|gh[pousr]_|sk-", key)[0]
-        return head + d.shape(key[len(head) :])
+        if re.fullmatch("[0-9a-f]+|[0-9A-F]+", key):
+            own = "".join("0123456789abcdef"[d.below(16)] for _ in key)
+            return own.upper() if key.isupper() else own
+        head = re.match("AKIA|gh[pousr]_|sk-", key)[0]
+        return head + d.shape(key[len(head) :]) + more
     role, script = kind.split("_")
     syllables = SYLLABLES[script]
     extra = "".join(syllables[d.below(len(syllables))] for _ in range(longer))
@@ -235,7 +257,7 @@ def render(mention: str, kind: str, key: str, canonical: str) -> str:
         if mention.isupper():
             return canonical.upper()
         return "-".join(p[:1].upper() + p[1:] for p in canonical.split("-"))
-    return canonical.upper() if mention.isupper() else canonical
+    return canonical.upper() if mention.isupper() and kind != "secret" else canonical
 
 
 def detect(docs: DataFrame, column: str) -> DataFrame:
@@ -308,13 +330,18 @@ def replace_entities(docs: DataFrame, secret: bytes, counted: str | None = "n_en
     return clean.select(*names).unionByName(changed.select(*names))
 
 
-def session_key(spark: SparkSession) -> bytes:
-    """The key that the session names, or an open one where it names none."""
+def session_key(spark: SparkSession, default: bytes | None = None) -> bytes:
+    """The key that the session names, or ``default``, with a warning; an error where there is neither."""
     named = spark.conf.get(KEY_SETTING, None)
-    return named.encode() if named else OPEN_KEY
+    if named:
+        return named.encode()
+    if default is None:
+        raise ValueError(f"set {KEY_SETTING} to a secret key")
+    warnings.warn(f"{KEY_SETTING} is not set: surrogates are drawn with an open key and can be traced back", stacklevel=2)
+    return default
 
 
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates for personal data, and the number of mentions replaced."""
     docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return replace_entities(docs, session_key(spark)).select("doc_id", "n_entities", "text")
+    return replace_entities(docs, session_key(spark, OPEN_KEY)).select("doc_id", "n_entities", "text")
