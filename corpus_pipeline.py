@@ -25,7 +25,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by surrogates."""
-    return pii.replace_entities(docs, pii.session_key(spark), counted=None)
+    return pii.replace_entities(docs, pii.session_key(spark, pii.OPEN_KEY), counted=None)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
