@@ -2,13 +2,18 @@
 
 Pages are cut into element trees. Every element subtree gets a hash of its tags, attributes and text; Spark counts, for
 each host, on how many different pages each hash stands. Pages of a host with the same main part, templates included, are
-copies and count once. Subtrees on ``MIN_PAGES`` pages, however many the host has, are its template and are deleted; so
-are elements that are never article text (navigation, forms, scripts, adverts, notices, reader comments, by tag, or by a
-class, id or role that consists of marking words). What is left of the page's article, or of its body where it marks no article, is the text.
+copies and count once. Subtrees on ``MIN_PAGES`` pages, however many the host has, recur: they may be its template.
 
-Inside a marked article a recurring block of plain text (paragraph, heading, list item, table cell) stays: passages that
-articles share are text. Elsewhere it goes. What is the article itself stays too, though others share it: a recurring
-subtree with half of the article's text or more, and everything where deletion would leave headings only.
+Elements that are never article text go first: navigation, forms, scripts, adverts, notices, reader comments, and what is
+not shown, by tag, attribute, or the words of a class, id or role. Of the rest a page's main part is read, chosen by how
+much text it holds: its largest article, its main element where that has more text beside its articles, or its body
+where paragraphs outside of both have twice the article's text. Articles inside the chosen part that are not it (cards,
+comments) are left out.
+
+An article is read whole. Elsewhere recurring subtrees are deleted, by their place: the smallest element with half of the
+part's own (not recurring) text stays whole, and what recurs outside of it goes. Where no element is smaller than the part
+itself, what recurs before its first or after its last own text goes; lists, tables and plain text blocks there only if
+they are mostly links. A part without any text of its own stays whole.
 
 The deletion set is broadcast while it has at most ``BROADCAST_ROWS`` rows; beyond that it is joined to the pages by
 element.
@@ -50,13 +55,18 @@ NOT_TEXT = frozenset(
 )
 # Words in class, id and role that mark parts which are not the article, and words that go with them.
 MARKS = frozenset(
-    "ad ads adv advert adverts advertisement advertisements advertising banner sponsor sponsored promo promos nav navbar navigation menu"
+    "ad ads adv advert adverts advertisement advertisements advertising adsense adsbygoogle adslot banner sponsor sponsored promo promos nav navbar navigation menu"
     " breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe"
     " signup login search share sharing social related recommended recommendations comment comments commentlist replies reply disqus"
-    " pagination pager toolbar widget widgets skip complementary contentinfo".split()
+    " pagination pager toolbar widget widgets skip complementary contentinfo commenter commenters commenting respond responses".split()
+)
+#: Words that mark a class or role by themselves, as its first or last word; an id only with known words.
+STRONG = frozenset(
+    "ad ads advert adverts advertisement adsense adsbygoogle adslot sponsored comment comments commentlist commenter disqus cookie cookies"
+    " gdpr consent newsletter".split()
 )
 BESIDE = frozenset(
-    "area articles aside bar block body bottom box btn button buttons center container content col column cta desktop fixed form"
+    "area article articles author count date discussion list meta post reader readers sticky thread user users aside bar block body bottom box btn button buttons center container content col column cta desktop fixed form"
     " google group head header icon icons inner item items label layer left link links list main mobile module outer overlay page panel"
     " placeholder posts primary reader region right row secondary section site slot small space stories text title top unit user wrap"
     " wrapper".split()
@@ -68,7 +78,9 @@ STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 # Quotes open a value only right after "=": elsewhere they are letters like others.
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
-CASES = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|[-_]+")
+CASES = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])|[-_]+")
+SIZE = re.compile(r"\d+(?:x\d+)?")
+NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
@@ -146,31 +158,42 @@ def attributes_of(text: str) -> dict[str, str]:
     return out
 
 
-def is_mark(token: str) -> bool:
-    """True for a class or id of marking words, alone or with words of layout: ``ad-box``, not ``related-work``."""
-    words = [w for w in CASES.split(token) if w and not w.isdigit()]
-    known = [w.lower() for w in words]
-    return any(w in MARKS for w in known) and all(w in MARKS or w in BESIDE for w in known)
+def is_mark(token: str, strong: bool = False) -> bool:
+    """True for a class or id of marking words, alone or with words of layout: ``ad-box``, not ``related-work``.
+
+    ``strong``: also where its first or last word, of three at most, is one that marks by itself.
+    """
+    known = [w.lower() for w in CASES.split(token) if w and not SIZE.fullmatch(w)]
+    if any(w in MARKS for w in known) and all(w in MARKS or w in BESIDE for w in known):
+        return True
+    return strong and 0 < len(known) <= 3 and (known[-1] in STRONG or known[0] in STRONG and known[1:] != ["hoc"])
 
 
 def not_text(node: Node) -> bool:
     """By its tag or its marks, an element is not part of an article.
 
-    Headings carry no marks, and an id marks only what is outside an article: ids inside are made from titles.
+    Headings carry no marks. Ids inside an article are often made from titles: there they mark only by known words, of
+    which one marks by itself.
     """
     if node.tag in NOT_TEXT:
         return True
-    if not node.attributes or node.tag in ("html", "body", "article", "main"):
+    if not node.attributes or node.tag in ("html", "body"):
         return False
     found = attributes_of(node.attributes)
-    if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or NOT_SHOWN.search(found.get("style", "")):
         return True
-    if node.tag in HEADINGS:
+    if node.tag in HEADINGS or node.tag == "main":
         return False
-    marked = [found.get("class", ""), found.get("role", "")]
-    if not node.inside and node.tag not in TEXT_BLOCKS:
-        marked.append(found.get("id", ""))
-    return any(is_mark(token) for value in marked for token in value.split())
+    if any(name.startswith("data-ad-") for name in found):
+        return True
+    tokens = f"{found.get('class', '')} {found.get('role', '')}".split()
+    if node.tag == "article":
+        # Of an article, only its own comments and adverts.
+        return any(is_mark(token, True) and STRONG & {w.lower() for w in CASES.split(token)} for token in tokens)
+    if any(is_mark(token, True) for token in tokens) or "discussion" in tokens:
+        return True
+    ids = [] if node.tag in TEXT_BLOCKS else found.get("id", "").split()
+    return any(is_mark(token) and (not node.inside or bool(STRONG & {w.lower() for w in CASES.split(token)})) for token in ids)
 
 
 def subtree_hashes(nodes: list[Node]) -> Iterator[tuple[int, Node]]:
@@ -192,22 +215,94 @@ def subtree_hashes(nodes: list[Node]) -> Iterator[tuple[int, Node]]:
         at += 1
 
 
+def _letters(text: str) -> int:
+    return sum(map(len, text.split()))
+
+
+class _Sums:
+    """Letters below each element that may be text: all, of links, and outside of what recurs and of other articles."""
+
+    def __init__(self, nodes: list[Node], gone: set[int]) -> None:
+        n = len(nodes)
+        self.all, self.links, self.own, self.prose = ([0] * n for _ in range(4))
+        for node in reversed(nodes):
+            at = node.number
+            for child in node.children:
+                if not isinstance(child, Node):
+                    k = _letters(child)
+                    self.all[at] += k
+                    self.own[at] += k
+                    self.prose[at] += k if node.tag == "p" else 0
+                elif not child.skip and child.tag != "article":
+                    c = child.number
+                    self.all[at] += self.all[c]
+                    self.links[at] += self.all[c] if child.tag == "a" else self.links[c]
+                    self.prose[at] += 0 if child.tag == "a" or c in gone else self.all[c] if node.tag == "p" else self.prose[c]
+                    self.own[at] += 0 if c in gone else self.own[c]
+
+
+def main_part(nodes: list[Node], sums: _Sums) -> Node:
+    """The article, main element or whole page that holds the text."""
+    articles, mains, at = [], [], 1
+    while at < len(nodes):
+        node = nodes[at]
+        if not node.skip:
+            if node.tag == "article":
+                articles.append(node)
+            elif node.tag == "main":
+                mains.append(node)
+        at = node.end if node.skip else at + 1
+
+    def most(found: list[Node]) -> Node | None:
+        return max(found, key=lambda x: sums.all[x.number], default=None)
+
+    article, main = most(articles), most(mains)
+    own = sums.all[article.number] if article else 0
+    best = main if main and sums.all[main.number] > own else article
+    if best is None or not sums.all[best.number]:
+        return nodes[0]
+    outside = sums.prose[0] - (sums.prose[main.number] if main else 0)
+    return nodes[0] if outside > 2 * max(own, sums.all[main.number] if main else 0) else best
+
+
+def template_parts(nodes: list[Node], part: Node, gone: set[int], sums: _Sums) -> set[int]:
+    """Of the recurring elements ``gone`` in the main part those that are template by their place."""
+    if part.tag == "article" or not gone or not sums.own[part.number]:
+        return set()
+    whole = part
+    while True:
+        inner = [c for c in whole.children if isinstance(c, Node) and not c.skip and c.number not in gone and 2 * sums.own[c.number] >= sums.own[part.number]]
+        if not inner or inner[0].tag not in BLOCKS or inner[0].tag in TEXT_BLOCKS:
+            break
+        whole = inner[0]
+    if whole.tag not in ("html", "body", "main"):
+        return {at for at in gone if not whole.number <= at < whole.end}
+    # The part's text stands in itself: what recurs at its ends goes, but for text.
+    places, at = [], part.number
+    while at < part.end:
+        node = nodes[at]
+        if at in gone or node.skip:
+            at = node.end
+            continue
+        if any(not isinstance(c, Node) and c.strip() for c in node.children):
+            places.append(at)
+        at += 1
+    out = set()
+    for at in gone:
+        if places and places[0] < at < places[-1]:
+            continue
+        text = nodes[at].tag in TEXT_BLOCKS or nodes[at].tag in ("ul", "ol", "dl", "table", "tbody", "menu")
+        if not text or 2 * sums.links[at] >= max(1, sums.all[at]):
+            out.add(at)
+    return out
+
+
 def main_text(nodes: list[Node], deleted: set[int]) -> str:
-    """The blocks of the article, or of the page where none is marked, without ``deleted`` and what is not text."""
+    """The blocks of the page's main part without the template parts among ``deleted`` and what is not text."""
     gone = {node.number for h, node in subtree_hashes(nodes) if h in deleted} if deleted else set()
-
-    def find(tag: str) -> list[Node]:
-        out, at = [], 1
-        while at < len(nodes):
-            node = nodes[at]
-            if node.tag == tag and not node.skip and at not in gone:
-                out.append(node)
-            at = node.end if node.skip or at in gone or node.tag == tag else at + 1
-        return out
-
-    marked = find("article") or find("main")
-    if marked and gone:
-        gone -= _kept(nodes, marked, gone)
+    sums = _Sums(nodes, gone)
+    part = main_part(nodes, sums)
+    gone = template_parts(nodes, part, gone, sums)
     blocks: list[str] = []
     line: list[str] = []
 
@@ -216,60 +311,28 @@ def main_text(nodes: list[Node], deleted: set[int]) -> str:
             blocks.append(text)
         line.clear()
 
-    for top in marked or nodes[:1]:
-        # Elements under way, each with what is left of its children.
-        way = [(top, iter(top.children))]
-        while way:
-            node, rest = way[-1]
-            for child in rest:
-                if not isinstance(child, Node):
-                    line.append(child)
-                elif child.tag == "br":
-                    line.append(" ")
-                elif not child.skip and child.number not in gone:
-                    if child.tag in BLOCKS:
-                        flush()
-                    way.append((child, iter(child.children)))
-                    break
-            else:
-                way.pop()
-                if node.tag in BLOCKS:
+    # Elements under way, each with what is left of its children.
+    way = [(part, iter(part.children))]
+    while way:
+        node, rest = way[-1]
+        for child in rest:
+            if not isinstance(child, Node):
+                line.append(child)
+            elif child.tag == "br":
+                line.append(" ")
+            elif not child.skip and child.number not in gone and (child.tag != "article" or not sums.all[part.number]):
+                if child.tag in BLOCKS:
                     flush()
-        flush()
+                way.append((child, iter(child.children)))
+                break
+        else:
+            way.pop()
+            if node.tag in BLOCKS:
+                flush()
+    flush()
     return "\n".join(blocks)
 
 
-def _kept(nodes: list[Node], marked: list[Node], gone: set[int]) -> set[int]:
-    """Recurring elements that are the article itself: with half of its letters, or all where only headings would stay."""
-    n = len(nodes)
-    letters, plain, left = [0] * n, [0] * n, [0] * n
-    for node in reversed(nodes):
-        at = node.number
-        for child in node.children:
-            if not isinstance(child, Node):
-                k = sum(map(len, child.split()))
-                letters[at] += k
-                plain[at] += k
-                left[at] += k
-            elif not child.skip:
-                letters[at] += letters[child.number]
-                if child.tag not in HEADINGS:
-                    plain[at] += plain[child.number]
-                    left[at] += 0 if child.number in gone else left[child.number]
-    kept: set[int] = set()
-    for top in marked:
-        if plain[top.number] and not left[top.number]:
-            kept.update(range(top.number, top.end))
-            continue
-        at = top.number + 1
-        while at < top.end:
-            node = nodes[at]
-            if at in gone and not node.skip and 2 * letters[at] >= max(letters[top.number], 1):
-                kept.update(range(at, node.end))
-            at = node.end if at in gone or node.skip else at + 1
-    return kept
-
-
 def host_of(url: str | None) -> str:
     m = re.match(r"(?:[a-zA-Z][\w+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]*)", url or "")
     return m[1].lower() if m else ""
