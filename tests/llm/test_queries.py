@@ -14,6 +14,7 @@ from kmerloom.llm import html_text, mixing, pii, quality, registry, suffix_dedup
 from kmerloom.llm import sentencepieces as pieces
 
 from .test_dedup import brute_print, brute_vectors, roots
+from .test_mining import brute_copies, brute_negatives, brute_phrases
 from .test_text import MAIL, brute_counts
 from .test_tokens import brute_targets
 
@@ -58,7 +59,7 @@ def tables(spark, tmp_path_factory):
     docs = spark.createDataFrame(document_rows(), DOCUMENTS).select("*", *[F.lit(f"own {c}").alias(c) for c in CLASHES])
     labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)] + [(None, 1, 0), (3, None, None), (9999, 0, 1), (5, 7, 0)], "doc_id long, quality int, toxic int")
     pages = spark.createDataFrame(page_rows(), "page_id long, url string, html string").withColumn("text", F.lit("own")).withColumn("host", F.lit(1))
-    vectors = spark.createDataFrame(vector_rows(), "vec_id long, embedding array<float>").withColumn("label", F.lit(1)).withColumn("class", F.lit("own"))
+    vectors = spark.createDataFrame(vector_rows(), "vec_id long, embedding array<float>").withColumn("label", F.when(F.col("vec_id") != 90, F.col("vec_id") % 4).cast("int")).withColumn("class", F.lit("own"))
     full, empty = (str(tmp_path_factory.mktemp(x)) for x in ("full", "empty"))
     for name, df in (("documents", docs), ("labels", labels), ("pages", pages), ("embeddings", vectors)):
         df.repartition(3).write.parquet(f"{full}/{name}.parquet")
@@ -207,6 +208,22 @@ def test_op10(spark, tables):
         assert r["lang_pred"] in ("en", "de", "und")
 
 
+def test_op11(spark, tables):
+    rows = [(r["vec_id"], r["label"], r["embedding"]) for r in spark.read.parquet(f"{tables[0]}/embeddings.parquet").collect()]
+    moved = [(i, (label + 1) % 10 if label is not None and i % 7 == 0 else label, v) for i, label, v in rows]
+    got = sorted(str(tuple(r)) for r in run(spark, tables, "op11_hard_negatives"))
+    assert got == brute_negatives(moved) and got
+
+
+def test_op12(spark, tables):
+    got = sorted(tuple(r) for r in run(spark, tables, "op12_phrase_mining"))
+    assert got == brute_phrases([(t, lang) for _, t, lang, *_ in document_rows()]) and len(got) > 100
+
+
+def test_op13(spark, tables):
+    assert sorted(str(tuple(r)) for r in run(spark, tables, "op13_exact_dedup")) == brute_copies([r[:2] for r in document_rows()])
+
+
 def test_pipeline_keeps_columns(spark, tables):
     """Every stage but the last returns the input's own columns, whatever their names, and values it does not change."""
     docs = spark.read.parquet(f"{tables[0]}/documents.parquet")
