@@ -43,6 +43,7 @@ BLOCK_ROWS = 8192
 ANCHOR_ROWS = 2048
 BASE = 1.6
 LEAF = 32
+SMALL = 8
 OWN_TREE = 64
 SLACK = 1e-6
 EXACT = float(1 << 53)
@@ -113,10 +114,10 @@ def cover(points: np.ndarray, norm: float) -> Iterator[tuple[int, int, float, np
             bounds = np.searchsorted(first[hit][order], np.arange(len(chosen) + 1))
             parts += [(int(batch[j]), members[order[bounds[k] : bounds[k + 1]]]) for k, j in enumerate(chosen)]
             rest = rest[~hit]
-        # Children of one row are rows of this node.
-        single = [p for _, p in parts if len(p) == 1]
-        yield parent, c, radius, np.concatenate(single) if single else rows[:0]
-        stack += [(p, q, n) for q, p in parts if len(p) > 1]
+        # The rows of small children are rows of this node.
+        small = [p for _, p in parts if len(p) <= SMALL]
+        yield parent, c, radius, np.concatenate(small) if small else rows[:0]
+        stack += [(p, q, n) for q, p in parts if len(p) > SMALL]
         n += 1
 
 
@@ -225,35 +226,37 @@ class Search:
         """For each window of scores, the first ``k`` rows in it that have another label."""
         f, n = self.f, len(low)
         found, best = [np.zeros(0, np.int64)] * n, [np.zeros(0, np.int64)] * n
-        lows, highs = np.array(low, float), np.array(high, float)
-        least = lows.copy()
+        least = list(low)
 
-        def useful(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-            return ((hi[:, None] >= least) & (lo[:, None] <= highs)).any(1)
+        def useful(lo: float, hi: float) -> bool:
+            return any(hi >= x and lo <= y for x, y in zip(least, high, strict=True))
 
         nodes = self.roots(label, False)
         lo, hi = self.bounds(nodes)
         heap = [(-h, x, m) for h, x, m in zip(hi.tolist(), lo.tolist(), nodes.tolist(), strict=True)]
         heapq.heapify(heap)
+        top = max(high)
         while heap:
             hi, lo, node = heapq.heappop(heap)
-            if not useful(np.array([lo]), np.array([-hi]))[0]:
+            if not useful(lo, -hi):
                 continue
             a, b = f.rows[node], f.rows[node + 1]
             if b > a:
                 s = self.scores(slice(a, b))
-                other = f.label[a:b] != label
-                for w in range(n):
-                    ok = other & (s >= least[w]) & (s <= high[w])
-                    if ok.any():
-                        found[w], best[w] = self.merged(found[w], best[w], np.flatnonzero(ok) + a, s[ok], k)
-                        if len(found[w]) == k:
-                            least[w] = max(lows[w], float(best[w][-1]))
+                ok = np.flatnonzero((s >= min(least)) & (s <= top) & (f.label[a:b] != label))
+                if len(ok):
+                    s = s[ok]
+                    for w in range(n):
+                        own = (s >= least[w]) & (s <= high[w])
+                        if own.any():
+                            found[w], best[w] = self.merged(found[w], best[w], ok[own] + a, s[own], k)
+                            if len(found[w]) == k:
+                                least[w] = max(low[w], int(best[w][-1]))
             kids = f.kids[f.child[node] : f.child[node + 1]]
             if len(kids):
-                lo, hi = self.bounds(kids)
-                for j in np.flatnonzero(useful(lo, hi)).tolist():
-                    heapq.heappush(heap, (-float(hi[j]), float(lo[j]), int(kids[j])))
+                for x, y, kid in zip(*(c.tolist() for c in (*self.bounds(kids), kids)), strict=True):
+                    if useful(x, y):
+                        heapq.heappush(heap, (-y, x, kid))
         return found
 
     def merged(self, found: np.ndarray, best: np.ndarray, more: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
