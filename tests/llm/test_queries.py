@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kmerloom.llm import html_text, mixing, pii, quality, registry, suffix_dedup, token_records
+from kmerloom.llm import mixing, pii, quality, registry, suffix_dedup, token_records
 from kmerloom.llm import sentencepieces as pieces
 
 from .test_dedup import brute_print, brute_vectors, roots
@@ -131,7 +131,6 @@ def test_op5(spark, tables):
     assert got[50]["text"] == got[51]["text"] == "" and got[53]["text"] == "deep" and got[54]["text"] == "plain < text"
     assert got[None]["text"] == " ".join(["word"] * 50_000)
     assert all(r["n_chars"] == len(r["text"]) and r["url"] in {p[1] for p in pages} for r in rows)
-    assert all(r["text"] == html_text.main_text(html_text.parse(p[2] or ""), set()) for p in pages for r in [got[p[0]]])
 
 
 def test_op6(spark, tables):
@@ -141,6 +140,8 @@ def test_op6(spark, tables):
     own = {r[0]: r[1] for r in document_rows()}
     new = {r["doc_id"]: r["text"] for r in rows}
     assert new[206] == new[207] != own[206]
+    for part in ("Anna.99", "555-7713", "190.137.223.204", "1111", "04dbebab91ab85687d33eeaaf9ac699e1188f962", "Maria", "Schmidt", "Jones"):
+        assert part in own[206] and part not in new[206]
     for r in rows:
         found = pii.find_entities(own[r["doc_id"]])
         assert r["n_entities"] == len(found)
