@@ -12,8 +12,11 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-from .packing import _CODES, INVALID, _bytes_of, _chunks, _groups, _joined
+from .packing import _CODES, INVALID, MAX_K, _bytes_of, _chunks, _groups, _joined
 
+MAX_PAIR = 63
+LOW = 32
+TURN = np.uint64(1 << 63)
 FLUSH_KMERS = 1 << 22
 COUNT_KMERS = 1 << 21
 _SHIFTS = np.array([6, 4, 2, 0], np.uint8)
@@ -102,18 +105,50 @@ def cut_batches(batches: Iterator[pa.RecordBatch], k: int, m: int, bins: int) ->
                 yield flush()
 
 
-def expanded(n: np.ndarray, bases: np.ndarray, k: int, both_strands: bool) -> np.ndarray:
-    """The packed (canonical) k-mers of stretches of ``n`` k-mers, in order."""
+def expanded(n: np.ndarray, bases: np.ndarray, k: int, both_strands: bool) -> tuple[np.ndarray, ...]:
+    """The packed (canonical) k-mers of stretches of ``n`` k-mers, in order: one number each, or two beyond 31 bases."""
     codes = ((bases[:, None] >> _SHIFTS) & 3).ravel().astype(np.int64)
     size = 4 * ((n + k + 2) // 4)
     at = np.repeat((np.cumsum(size) - size) - (np.cumsum(n) - n), n) + np.arange(n.sum())
     total = len(codes) - k + 1
+    if k > MAX_K:
+        return pair_windows(codes, k, total, at, both_strands)
     values = _joined(codes, k, total, True)[at]
-    return np.minimum(values, _joined(codes ^ 3, k, total, False)[at]) if both_strands else values
+    return (np.minimum(values, _joined(codes ^ 3, k, total, False)[at]) if both_strands else values,)
+
+
+def pair_windows(codes: np.ndarray, k: int, total: int, at: np.ndarray, both_strands: bool) -> tuple[np.ndarray, np.ndarray]:
+    """``(high, low)`` of the k-mers of 32 to 63 bases at places ``at``: the last 32 bases are low, so that pairs sort as strings do.
+
+    All 64 bits of ``low`` count; its first bit is turned, so that signed numbers have the order of unsigned ones.
+    """
+    lead = k - LOW
+
+    def part(own: np.ndarray, start: int, width: int, first_high: bool) -> np.ndarray:
+        return _joined(own[start:], width, total, first_high)[at] if width else np.zeros(len(at), np.int64)
+
+    high, low = part(codes, 0, lead, True), part(codes, lead, LOW, True).view(np.uint64)
+    if both_strands:
+        other = codes ^ 3
+        high2, low2 = part(other, LOW, lead, False), part(other, 0, LOW, False).view(np.uint64)
+        less = (high2 < high) | (high2 == high) & (low2 < low)
+        high, low = np.where(less, high2, high), np.where(less, low2, low)
+    return high, (low ^ TURN).view(np.int64)
+
+
+def distinct(columns: tuple[np.ndarray, ...]) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """Distinct rows in ascending order, and how often each occurs."""
+    if len(columns) == 1:
+        values, n = np.unique(columns[0], return_counts=True)
+        return (values,), n
+    order = np.lexsort(columns[::-1])
+    columns = tuple(c[order] for c in columns)
+    first = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)]) if len(order) else order
+    return tuple(c[first] for c in columns), np.diff(np.r_[first, len(order)])
 
 
 def counted_stretches(batches: Iterator[pa.RecordBatch], k: int, both_strands: bool, min_count: int, n_keys: int) -> Iterator[pa.RecordBatch]:
-    """``(keys ..., kmer, cnt)`` of rows ``(keys ..., bin, part, n, sizes, bases)`` sorted by keys, bin and part.
+    """``(keys ..., kmer, cnt)``, or ``high`` and ``low`` for longer k-mers, of rows ``(keys ..., bin, part, n, sizes, bases)`` sorted by keys, bin and part.
 
     A k-mer has one bin, so that what is held between two bins is counted whole, and ``min_count`` holds for it.
     """
@@ -127,16 +162,15 @@ def counted_stretches(batches: Iterator[pa.RecordBatch], k: int, both_strands: b
         sizes, bases = table.column("sizes").to_pylist(), table.column("bases").to_pylist()
         order = np.argsort(group, kind="stable")
         bounds = np.searchsorted(group[order], np.arange(len(first) + 1))
-        names = [*table.schema.names[:n_keys], "kmer", "cnt"]
+        names = [*table.schema.names[:n_keys], *(("kmer",) if k <= MAX_K else ("high", "low")), "cnt"]
         for g, row in enumerate(first):
             own = order[bounds[g] : bounds[g + 1]].tolist()
             n = np.frombuffer(b"".join(sizes[r] for r in own), "<u4").astype(np.int64)
-            kmer, cnt = np.unique(expanded(n, np.frombuffer(b"".join(bases[r] for r in own), np.uint8), k, both_strands), return_counts=True)
+            kmers, cnt = distinct(expanded(n, np.frombuffer(b"".join(bases[r] for r in own), np.uint8), k, both_strands))
             keep = cnt >= min_count
-            kmer, cnt = kmer[keep], cnt[keep]
-            if len(kmer):
-                at = pa.array(np.full(len(kmer), row))
-                yield pa.RecordBatch.from_arrays([*(c.take(at) for c in keys), pa.array(kmer), pa.array(cnt.astype(np.int64))], names=names)
+            if keep.any():
+                at = pa.array(np.full(int(keep.sum()), row))
+                yield pa.RecordBatch.from_arrays([*(c.take(at) for c in keys), *(pa.array(c[keep]) for c in kmers), pa.array(cnt[keep].astype(np.int64))], names=names)
 
     last = None
     for batch in batches:

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from ..functions.packing import MAX_K, counted_batches
 from ..functions.sequences import canonical, is_valid, unpacked, windows
+from ..functions.superkmers import MAX_PAIR
+from .superkmers import pair_text, superkmer_counts
 
 
 def kmers(reads: DataFrame, k: int, both_strands: bool = True) -> DataFrame:
@@ -39,13 +41,17 @@ def count_kmers(
     """k-mers of each sample with at least ``min_count`` occurrences over all its reads; counts stop at ``count_cap``.
 
     ``times`` counts each read as often as that (2 is the low-coverage mode, in which k-mers seen once stay). ``packed``
-    leaves k-mers as longs, for all that only compares them; ``unpacked`` brings them back. k-mers of more than 31 bases
-    are strings throughout. Null and short reads have no k-mers; repeated reads count each; an empty table gives none.
+    leaves k-mers as longs, for all that only compares them; ``unpacked`` brings them back. k-mers of 32 to 63 bases are
+    counted as two numbers and come as strings, longer ones are strings throughout. Null and short reads have no k-mers; repeated reads count each; an empty table gives none.
     """
     if k > MAX_K:
         if packed:
             raise ValueError(f"k = {k} does not fit a signed 64-bit integer")
-        counts = kmers(reads, k, both_strands).groupBy(*keys, "kmer").agg(F.count("*").alias("cnt"))
+        if k <= MAX_PAIR:
+            pairs = superkmer_counts(reads, k, 1 if times != 1 else min_count, keys, both_strands)
+            counts = pairs.select(*keys, pair_text(k).alias("kmer"), "cnt")
+        else:
+            counts = kmers(reads, k, both_strands).groupBy(*keys, "kmer").agg(F.count("*").alias("cnt"))
     else:
         counts = packed_counts(reads, k, keys, both_strands)
     if times != 1:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kmerloom.functions import packing, superkmers
 from kmerloom.operators import counting
-from kmerloom.operators.superkmers import superkmer_counts
+from kmerloom.operators.superkmers import pair_text, superkmer_counts
 
 RNG = random.Random(31)
 
@@ -58,11 +58,11 @@ def test_stretches_hold_every_window_once(k, m):
     bins, n, size, bases = superkmers.stretches(symbols, k, m, 13)
     assert size.sum() == len(bases) and len(bins) == len(n)
     values, ok = packing.packed_windows(symbols, k)
-    assert superkmers.expanded(n, bases, k, True).tolist() == values[ok].tolist()
+    assert superkmers.expanded(n, bases, k, True)[0].tolist() == values[ok].tolist()
     # Both strands of a k-mer have one bin.
     by = dict(zip(values[ok].tolist(), np.repeat(bins, n).tolist(), strict=True))
     other, n2, _, bases2 = (x for x in superkmers.stretches(np.frombuffer(rc(text.upper().replace("N", "-")).encode(), np.uint8), k, m, 13))
-    assert dict(zip(superkmers.expanded(n2, bases2, k, True).tolist(), np.repeat(other, n2).tolist(), strict=True)) == by
+    assert dict(zip(superkmers.expanded(n2, bases2, k, True)[0].tolist(), np.repeat(other, n2).tolist(), strict=True)) == by
 
 
 def test_batches_of_any_size_count_whole_bins(monkeypatch):
@@ -91,13 +91,19 @@ def test_counts(spark, split, both):
     assert got == brute(rows, 21, 2, both) and found.count() == len(got)
     assert superkmer_counts(df.where("false"), 21).count() == 0
     with pytest.raises(ValueError):
-        superkmer_counts(df, 33)
-
-
-def shuffled(df):
-    """Bytes that the exchanges of a finished plan wrote."""
-    df.write.format("noop").mode("overwrite").save()
-    return df
+        superkmer_counts(df, 64)
+
+
+@pytest.mark.parametrize(("k", "both"), [(32, True), (33, True), (33, False), (47, True), (63, True)])
+def test_kmers_of_two_numbers(spark, k, both):
+    rows = reads(80)
+    df = spark.createDataFrame(rows, "sample string, grp int, seq string").repartition(3)
+    found = superkmer_counts(df, k, 1, ("sample", "grp"), both, bins=16, split=500).withColumn("text", pair_text(k))
+    got = found.orderBy("high", "low").collect()
+    assert {(r["sample"], r["grp"], r["text"]): r["cnt"] for r in got} == brute(rows, k, 1, both)
+    assert [r["text"] for r in got] == sorted(r["text"] for r in got)
+    counted = counting.count_kmers(df, k, 2, keys=("sample", "grp"), both_strands=both)
+    assert {(r["sample"], r["grp"], r["kmer"]): r["cnt"] for r in counted.collect()} == brute(rows, k, 2, both)
 
 
 def test_one_signature_for_all_reads(spark):
