@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.packing import MAX_K
 from ..functions.parsing import six_digits
+from ..functions.sequences import packed
 from ..functions.statistics import with_fisher
 from ..operators import assembly, counting, matrix, presence, report
-from ..sources import manifest, reads
+from ..sources import binary_database, manifest, reads
+from ..sources.blocked_gzip import read_blocked_fastq
 
 HEADER = ("pval", "grp1_high", "grp1_low", "grp2_high", "grp2_low")
 
@@ -21,7 +23,8 @@ class Settings:
     """Thresholds of an analysis.
 
     ``legacy``: missing counts as 1, point probabilities, and a cut on the printed p-value that is included. ``matrix``:
-    also write the matrix of all counts. ``full_table``: also write the annotated table of all k-mers.
+    also write the matrix of all counts. ``full_table``: also write the annotated table of all k-mers. ``min_k``: contigs by
+    lengths from this one to k; of k alone where k is not above it.
     """
 
     k: int = 27
@@ -34,6 +37,7 @@ class Settings:
     legacy: bool = False
     matrix: bool = True
     full_table: bool = False
+    min_k: int = 17
 
 
 def legacy_settings(**changes) -> Settings:
@@ -70,18 +74,45 @@ def _write_annotated(rows: DataFrame, counts: DataFrame, samples: list[str], mis
 def run_association(spark: SparkSession, root: str, out: str, settings: Settings = Settings()) -> dict[str, int]:
     """From ``females/`` and ``males/`` under ``root`` to tables under ``out``; returns numbers of samples and k-mers.
 
+    Block gzip files are read by many tasks each, files of other gzip forms by one.
+
     Writes ``counts`` and ``tested`` (all k-mers with their tests) as Parquet; ``matrix``, ``significant`` (p, cells, k-mer
     and the counts of all samples), ``top`` and ``averages`` (field and mean of the values above 1 in ``significant``) as
     TSV; ``fasta`` and ``contigs``. Samples without any surviving k-mer still count as samples.
     """
     files = manifest.discover(spark, root)
+    # One name per file, as the plan of the scan needs them.
+    paths = sorted(r["path"] for r in files.select("path").distinct().collect())
+    if not paths:
+        raise ValueError(f"{root} has no read files")
+    counts = count_table(spark, read_blocked_fastq(spark, paths), out, settings)
+    return _analysed(spark, files, counts, out, settings)
+
+
+def run_databases(spark: SparkSession, root: str, out: str, settings: Settings = Settings()) -> dict[str, int]:
+    """As ``run_association``, from the binary databases of external counters under ``root``, whose names start with the group.
+
+    All databases are one scan; counts are as the databases have them. k is theirs and has to be that of the settings.
+    """
+    files = binary_database.discover_databases(spark, root)
+    named = {r["sample"]: r["path"] for r in files.collect()}
+    if not named:
+        raise ValueError(f"{root} has no databases")
+    lengths = {binary_database.read_info(path).kmer_length for path in named.values()}
+    if lengths != {settings.k}:
+        raise ValueError(f"databases have k-mers of {sorted(lengths)} bases, not {settings.k}")
+    listed = binary_database.read_databases(spark, named)
+    kmer = packed(F.col("kmer"), settings.k) if settings.k <= MAX_K else F.col("kmer")
+    grp = F.when(F.col("sample").startswith("female"), 1).otherwise(2)
+    listed.select("sample", grp.alias("grp"), kmer.alias("kmer"), "cnt").write.partitionBy("sample").parquet(f"{out}/counts")
+    return _analysed(spark, files, open_counts(spark, out, settings.k), out, settings)
+
+
+def _analysed(spark: SparkSession, files: DataFrame, counts: DataFrame, out: str, settings: Settings) -> dict[str, int]:
+    """What follows the count table: matrix, tests, ranking, tables and contigs."""
     samples = manifest.sample_order(files)
     sizes = {r["grp"]: r["n"] for r in files.groupBy("grp").agg(F.countDistinct("sample").alias("n")).collect()}
     n1, n2 = sizes.get(1, 0), sizes.get(2, 0)
-    globs = [f"{root}/{g}/*.fq.gz" for g, n in zip(manifest.GROUPS, (n1, n2), strict=True) if n]
-    if not globs:
-        raise ValueError(f"{root} has no read files")
-    counts = count_table(spark, reads.read_fastq(spark, globs), out, settings)
     missing = 1 if settings.legacy else 0
     if settings.matrix:
         export_matrix(spark, out, samples, missing, settings.k)
@@ -104,7 +135,7 @@ def run_association(spark: SparkSession, root: str, out: str, settings: Settings
     write_averages(spark, f"{out}/significant", f"{out}/averages")
     text = ranked.withColumn("kmer", _text(settings.k))
     reads.write_fasta(report.fasta_records(text).orderBy("rank"), f"{out}/fasta")
-    contigs = assembly.unitigs(text, settings.k)
+    contigs = assembly.iterated_unitigs(text.select(F.col("kmer").alias("seq")), settings.k, min(settings.min_k, settings.k))
     reads.write_fasta(contigs.select(F.concat(F.lit("contig_"), F.xxhash64("seq")).alias("name"), "seq"), f"{out}/contigs")
     return {"n1": n1, "n2": n2, "tested": seen.get["n"], "significant": ranked.count()}
 

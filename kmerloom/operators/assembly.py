@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequences import reverse_complement
+from ..functions.sequences import canonical, is_valid, reverse_complement, windows
 from ..storage import written
 
 PIECE = 4096
@@ -59,6 +59,25 @@ def unitigs(kmers: DataFrame, k: int, min_length: int | None = None) -> DataFram
     return once.where(F.length("seq") >= (k if min_length is None else min_length))
 
 
+def iterated_unitigs(seqs: DataFrame, k: int, min_k: int = 17, step: int = 1) -> DataFrame:
+    """``(seq, n_kmers)``: contigs of the sequences ``seqs (seq)`` by lengths from ``min_k`` to ``k``.
+
+    The contigs of one length are read together with the sequences at the next. Short k-mers bridge gaps between
+    sequences that overlap by less than k - 1 letters; longer ones part what short ones leave ambiguous. What no length
+    gains comes out as ``unitigs`` of the last length give it. Contigs have at least k letters. Null sequences and those
+    with other letters than the bases have no k-mers there; repeated ones count once; an empty table gives no contigs.
+    """
+    if not 1 <= min_k <= k or step < 1:
+        raise ValueError(f"lengths from {min_k} to {k} by {step} are none")
+    own = _kept(seqs.select("seq").where("seq is not null").distinct())
+    contigs = None
+    for size in [*range(min_k, k, step), k]:
+        parts = own if contigs is None else own.union(contigs.select("seq"))
+        cut = windows(parts, size).where(is_valid(F.col("kmer")))
+        contigs = _kept(unitigs(cut.select(canonical(F.col("kmer")).alias("kmer")), size))
+    return contigs
+
+
 def _joined(parts: str) -> Column:
     return F.array_join(F.transform(parts, lambda p: p["text"]), "")
 

@@ -3,7 +3,8 @@ import struct
 
 import pytest
 
-from kmerloom.operators import counting
+from kmerloom.jobs.association import Settings, run_association, run_databases
+from kmerloom.operators import counting, matrix
 from kmerloom.sources import binary_database as db
 
 
@@ -11,24 +12,39 @@ def number(text):
     return sum("ACGT".index(c) * 4 ** (len(text) - 1 - i) for i, c in enumerate(text))
 
 
-def save(path, counts, k, prefix, version=db.BINNED, bins=3, counter=2, signature=5, single_strand=0, mode=0):
-    """A database as the format asks: k-mers dealt to bins at random, each bin sorted."""
+def signature_of(kmer, m):
+    """The smallest m-mer of a k-mer, by the rule of the format."""
+
+    def value(w):
+        refused = w.endswith(("TTT", "TGT")) or w[-3:-1] == "TT" or "AA" in w[1:] or w.startswith(("AAA", "ACA"))
+        return 4**m if refused else number(w)
+
+    other = kmer[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    return min(value(w[i : i + m]) for w in (kmer, other) for i in range(len(kmer) - m + 1))
+
+
+def save(path, counts, k, prefix, version=db.BINNED, bins=3, counter=2, signature=5, single_strand=0, mode=0, limits=None):
+    """A database as the format asks: k-mers dealt to bins by their signatures, each bin sorted."""
     rng = random.Random(1)
     parts = [[] for _ in range(bins if version == db.BINNED else 1)]
+    places = [rng.randrange(len(parts)) for _ in range(4**signature + 1)]
     for kmer in counts:
-        rng.choice(parts).append(kmer)
-    table, records, total = [], b"", 0
+        parts[places[signature_of(kmer, signature)] if version == db.BINNED else 0].append(kmer)
+    table, records, total = [], [], 0
     for part in parts:
-        part.sort()
+        by = {}
+        for kmer in sorted(part):
+            by.setdefault(number(kmer[:prefix]), []).append(kmer)
         for p in range(4**prefix):
             table.append(total)
-            for kmer in (x for x in part if number(x[:prefix]) == p):
-                records += number(kmer[prefix:]).to_bytes((k - prefix) // 4, "big") + counts[kmer].to_bytes(counter, "little")
-                total += 1
-    low, high = min(counts.values(), default=1), max(counts.values(), default=1)
+            own = by.get(p, [])
+            records += [number(kmer[prefix:]).to_bytes((k - prefix) // 4, "big") + counts[kmer].to_bytes(counter, "little") for kmer in own]
+            total += len(own)
+    records = b"".join(records)
+    low, high = limits or (min(counts.values(), default=1), max(counts.values(), default=1))
     if version == db.BINNED:
         head = struct.pack("<7IQB", k, mode, counter, prefix, signature, low, high, total, single_strand) + bytes(19)
-        middle = struct.pack(f"<{len(table) + 1}Q", *table, total) + bytes(4 * (4**signature + 1))
+        middle = struct.pack(f"<{len(table) + 1}Q", *table, total) + struct.pack(f"<{len(places)}I", *places)
     else:
         head = struct.pack("<6IQBI", k, mode, counter, prefix, low, high & 0xFFFFFFFF, total, single_strand, high >> 32) + bytes(15)
         middle = struct.pack(f"<{len(table) + 1}Q", *table, total)
@@ -109,4 +125,102 @@ def test_damaged_files_are_refused(tmp_path):
     data[4 + 16 : 4 + 24] = struct.pack("<Q", 10**6)
     open(f"{path}.kmc_pre", "wb").write(data)
     with pytest.raises(ValueError, match="damaged"):
-        list(db._Reader(path).read(db._Entries(0, 12)))
+        list(db._Reader([(None, path)]).read(db._Ranges([(0, 0, 12)])))
+
+
+FORMATS = [(9, 1, db.BINNED, 2), (27, 3, db.BINNED, 4), (35, 3, db.BINNED, 3), (12, 4, db.SINGLE, 2), (8, 0, db.BINNED, 1)]
+
+
+@pytest.mark.parametrize(("k", "prefix", "version", "counter"), FORMATS)
+def test_lookups_by_index(spark, tmp_path, monkeypatch, k, prefix, version, counter):
+    monkeypatch.setattr(db, "PAGE", 7)
+    counts, path = table(k, 400, most=200), str(tmp_path / "s")
+    save(path, counts, k, prefix, version, counter=counter)
+    asked = [*list(counts)[:150], *table(k, 100, seed=9), "A" * k, None, "", "N" * k, "A" * (k + 1), list(counts)[0], list(counts)[0].lower()]
+    probe = spark.createDataFrame(list(enumerate(asked)), "n int, kmer string").repartition(3)
+    got = {r["n"]: r["cnt"] for r in db.find_kmers(probe, path).collect()}
+    assert got == {n: counts.get(w) for n, w in enumerate(asked)}
+    narrow = {r["n"]: r["cnt"] for r in db.find_kmers(probe, path, 50, 120).collect()}
+    assert narrow == {n: c if c is not None and 50 <= c <= 120 else None for n, c in got.items()}
+
+
+def test_lookups_read_little(tmp_path, monkeypatch):
+    """A thousand k-mers of 200,000 read less than a twentieth of the records."""
+    k, path = 20, str(tmp_path / "s")
+    rng = random.Random(5)
+    counts = {"".join(rng.choices("ACGT", k=k)): rng.randint(1, 99) for _ in range(200_000)}
+    save(path, counts, k, 8, db.SINGLE)
+    size, read = 0, 0
+
+    class Counting:
+        def __init__(self, f):
+            self.f = f
+
+        def size(self):
+            return self.f.size()
+
+        def read_at(self, n, at):
+            nonlocal read
+            read += n
+            return self.f.read_at(n, at)
+
+    info = db.read_info(path)
+    with db._open(f"{path}.kmc_pre") as pre, db._open(f"{path}.kmc_suf") as suf:
+        size = suf.size()
+        asked = rng.sample(sorted(counts), 1000)
+        assert db._found(pre, Counting(suf), path, info, None, asked, None, None) == [counts[w] for w in asked]
+    assert 20 * read < size
+
+
+def test_counts_outside_of_the_range_are_not_listed(spark, tmp_path):
+    counts, path = table(9, 300, most=100), str(tmp_path / "s")
+    save(path, counts, 9, 1, limits=(10, 90))
+    assert {r["kmer"]: r["cnt"] for r in db.read_database(spark, path).collect()} == {w: c for w, c in counts.items() if 10 <= c <= 90}
+    assert {r["kmer"]: r["cnt"] for r in db.read_database(spark, path, 20, 30).collect()} == {w: c for w, c in counts.items() if 20 <= c <= 30}
+    assert db.find_kmers(spark.createDataFrame([(w,) for w in counts], "kmer string"), path).where("cnt is not null").count() == sum(10 <= c <= 90 for c in counts.values())
+
+
+def test_a_hundred_databases_are_one_scan(spark, tmp_path):
+    tables = {}
+    for n in range(100):
+        name = f"{'female' if n < 50 else 'male'}-{n}"
+        tables[name] = table(9, 20, seed=n % 7)
+        save(str(tmp_path / name), tables[name], 9, 1)
+    found = {r["sample"]: (r["path"], r["grp"]) for r in db.discover_databases(spark, str(tmp_path)).collect()}
+    assert set(found) == set(tables) and found["female-7"][1] == 1 and found["male-77"][1] == 2
+    df = db.read_databases(spark, {s: p for s, (p, _) in found.items()})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 1 and "Union" not in plan
+    assert df.rdd.getNumPartitions() < 10
+    got = {}
+    for r in df.collect():
+        got.setdefault(r["sample"], {})[r["kmer"]] = r["cnt"]
+    assert got == tables
+
+
+def test_the_job_from_databases_is_the_job_from_reads(spark, tmp_path):
+    """Databases with the counts of read files give the same tables as the read files."""
+    import gzip
+
+    rng = random.Random(8)
+    genome = ["".join(rng.choices("ACGT", k=150)) for _ in range(2)]
+    for group, g in (("females", 0), ("males", 1)):
+        (tmp_path / group).mkdir()
+        for n in range(5):
+            seqs = [genome[g], genome[g], genome[0][:60]] if n else [genome[g], genome[g]]
+            text = "".join(f"@r{i}\n{s}\n+\n{'I' * len(s)}\n" for i, s in enumerate(seqs))
+            (tmp_path / group / f"{n}_1.fq.gz").write_bytes(gzip.compress(text.encode()))
+    settings = Settings(k=13, min_count=2, p_cut=0.05)
+    one = run_association(spark, str(tmp_path), str(tmp_path / "reads"), settings)
+    (tmp_path / "dbs").mkdir()
+    counts = spark.read.parquet(str(tmp_path / "reads" / "counts")).withColumn("kmer", counting.kmer_text("kmer", 13)).collect()
+    for sample in {r["sample"] for r in counts}:
+        save(str(tmp_path / "dbs" / sample), {r["kmer"]: r["cnt"] for r in counts if r["sample"] == sample}, 13, 1)
+    two = run_databases(spark, str(tmp_path / "dbs"), str(tmp_path / "out"), settings)
+    assert one == two and one["significant"] > 50
+    for name in ("matrix", "significant", "contigs"):
+        first, second = (sorted(r["value"] for r in spark.read.text(str(tmp_path / x / name)).collect()) for x in ("reads", "out"))
+        assert first == second
+    with pytest.raises(ValueError, match="not 12"):
+        run_databases(spark, str(tmp_path / "dbs"), str(tmp_path / "x"), Settings(k=12))
+    assert matrix.header_of(spark.read.text(str(tmp_path / "out" / "matrix"))).startswith("kmer\tfemale-0")
