@@ -6,12 +6,14 @@ sample, English is group 1. P-values are compared as rounded logarithms, since t
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parsing, sequences, signatures, statistics
-from ..operators import assembly, counting, lookup, matrix, presence, report
-from ..sources import manifest
+from ..operators import assembly, counting, lookup, matrix, presence, report, superkmers
+from ..sources import count_store, manifest
 from ..sources.reads import document_reads
 from ..storage import scratch
 from ..streaming import cohort
@@ -98,6 +100,11 @@ def _sample_counts(spark: SparkSession, sf_dir: str, k: int = K, least: int = MI
     return counting.count_kmers(_reads(spark, sf_dir, k), k, least, keys=("sample", "grp"), packed=packed)
 
 
+def _stored_counts(spark: SparkSession, sf_dir: str, k: int = K) -> DataFrame:
+    """Counts for queries that read them more than once: counted once, and stored by k-mer."""
+    return count_store.stored_once(_sample_counts(spark, sf_dir, k), "counts")
+
+
 def _kmer(k: int = K):
     return counting.kmer_text("kmer", k).alias("kmer")
 
@@ -167,6 +174,12 @@ def kmer_count_k27(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sample_counts(spark, sf_dir, 27).select("sample", _kmer(27), "cnt")
 
 
+@query(f"WITH {_counts(27)} SELECT sample, kmer, cnt FROM counts")
+def kmer_count_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts by packed stretches of reads, shuffled by signature and counted inside their bins."""
+    return superkmers.superkmer_counts(_reads(spark, sf_dir, 27), 27, MIN_COUNT).select("sample", _kmer(27), "cnt")
+
+
 @query(f"WITH {_counts(33)} SELECT sample, kmer, cnt FROM counts")
 def kmer_count_k33(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k-mers that no longer fit a number."""
@@ -203,7 +216,7 @@ def kmer_union_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_counts()} SELECT u.kmer, coalesce(s.cnt, 1) AS cnt FROM (SELECT DISTINCT kmer FROM counts) u LEFT JOIN (SELECT kmer, CAST(sum(cnt) AS BIGINT) AS cnt FROM counts WHERE grp = 1 GROUP BY kmer) s ON u.kmer = s.kmer")
 def kmer_right_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All k-mers with their counts in group 1 as one table; ``kmer_right_count_all`` has every sample."""
-    counts = _sample_counts(spark, sf_dir)
+    counts = _stored_counts(spark, sf_dir)
     return counting.right_counts(counting.universe(counts), counting.union_sum(counts.where("grp = 1"), 1 << 62)).select(_kmer(), "cnt")
 
 
@@ -336,7 +349,8 @@ def sample_mean_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_SIGNIFICANT} SELECT sample, round(avg(cnt), 9) AS mean_depth FROM counts SEMI JOIN significant USING (kmer) WHERE cnt > 1 GROUP BY sample")
 def significant_mean_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = lookup.contained(_sample_counts(spark, sf_dir), _significant(spark, sf_dir))
+    counts = _stored_counts(spark, sf_dir)
+    counts = lookup.contained(counts, presence.significant(presence.presence(counts, *_sizes(document_reads(spark, sf_dir))), P_CUT))
     return report.mean_depth(counts).select("sample", F.round("mean_depth", 9).alias("mean_depth"))
 
 
@@ -357,7 +371,18 @@ _specific(1, 1.0)
 _specific(2, 0.25)
 
 
-# Annotated tables.
+# Annotated tables and stored counts.
+
+
+@query(f"WITH {_counts(11)}, {_presence()} SELECT kmer, a, b, c, d FROM presence")
+def stored_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Presence over a store of counts by k-mer to which one group's samples come after the other's."""
+    counts = _sample_counts(spark, sf_dir, 11)
+    path, name = scratch(spark, "store"), f"kmerloom_store_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count_store.store_counts(counts.where("grp = 1"), path, name, buckets)
+    stored = count_store.store_counts(counts.where("grp = 2"), path, name, buckets)
+    return presence.presence(stored, *_sizes(document_reads(spark, sf_dir))).select(_kmer(11), "a", "b", "c", "d")
 
 _ORDER = (
     "samples AS (SELECT DISTINCT grp, sample, [CASE WHEN regexp_matches(p, '[0-9]') THEN {'kind': 1, 'n': CAST(p AS BIGINT), 's': ''} ELSE {'kind': 0, 'n': CAST(0 AS BIGINT), 's': p} END"
@@ -369,8 +394,10 @@ _ANNOTATED = (
 
 
 def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = manifest.sample_order(document_reads(spark, sf_dir))
-    return report.annotated(_significant(spark, sf_dir), _sample_counts(spark, sf_dir), samples)
+    reads = document_reads(spark, sf_dir)
+    counts = _stored_counts(spark, sf_dir)
+    tested = presence.significant(presence.presence(counts, *_sizes(reads)), P_CUT)
+    return report.annotated(tested, counts, manifest.sample_order(reads))
 
 
 @query(f"WITH {_ANNOTATED} SELECT kmer, a, b, c, d, {_LN}, string_agg(CAST(cnt AS VARCHAR), chr(9) ORDER BY grp, natural_key) AS cells FROM cells GROUP BY kmer, a, b, c, d, pval")
@@ -405,14 +432,14 @@ def matrix_lines_significant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_counts()}, db AS (SELECT kmer, CAST(sum(cnt) AS BIGINT) AS cnt FROM counts WHERE grp = 1 GROUP BY kmer), probe AS (SELECT DISTINCT kmer FROM counts WHERE grp = 2) SELECT probe.kmer, db.cnt IS NOT NULL AS found, coalesce(db.cnt, 0) AS cnt FROM probe LEFT JOIN db ON probe.kmer = db.kmer AND db.cnt BETWEEN 3 AND 10000")
 def kmer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _sample_counts(spark, sf_dir)
+    counts = _stored_counts(spark, sf_dir)
     found = lookup.lookup(counting.universe(counts.where("grp = 2")), counting.union_sum(counts.where("grp = 1")), 3, 10_000)
     return found.select(_kmer(), F.col("cnt").isNotNull().alias("found"), F.coalesce("cnt", F.lit(0).cast("long")).alias("cnt"))
 
 
 @query(f"WITH {_counts()} SELECT DISTINCT kmer FROM counts WHERE grp = 2 AND kmer IN (SELECT kmer FROM counts WHERE grp = 1)")
 def kmer_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _sample_counts(spark, sf_dir)
+    counts = _stored_counts(spark, sf_dir)
     return lookup.contained(counting.universe(counts.where("grp = 2")), counting.universe(counts.where("grp = 1"))).select(_kmer())
 
 

@@ -137,6 +137,39 @@ def test_unitigs(spark):
     assert min("ACGGATTC", rc("ACGGATTC")) in got
 
 
+def iterated(spark, seqs, k, min_k, step=1):
+    return sorted(r["seq"] for r in assembly.iterated_unitigs(spark.createDataFrame([(x,) for x in seqs], "seq string"), k, min_k, step).collect())
+
+
+def test_lengths_bridge_gaps(spark):
+    """15-mers that overlap by nine letters: one length leaves two contigs, the lengths from 7 on join them."""
+    text = "ACGGATTCAGCCTATGCAATCGTTGAC"
+    cut = [text[i : i + 15] for i in range(len(text) - 14) if not 4 <= i <= 8]
+    assert contigs(spark, [min(w, rc(w)) for w in cut], 15) == sorted(min(x, rc(x)) for x in (text[:18], text[9:]))
+    for step in (1, 3):
+        assert iterated(spark, cut, 15, 7, step) == [min(text, rc(text))]
+    assert iterated(spark, [rc(w) for w in cut] + cut + [None, "NNN", ""], 15, 7) == [min(text, rc(text))]
+
+
+def test_lengths_part_repeats(spark):
+    """A stretch of eight letters stands twice: short lengths stop there, the longer ones read through it."""
+    twice = "GATTCAGC"
+    text = "ACCTG" + twice + "TGCAAT" + twice + "CCGTA"
+    whole = min(text, rc(text))
+    assert len(contigs(spark, canonical_set(text, 7), 7)) > 1
+    reads = [text[i : i + 13] for i in range(len(text) - 12)]
+    assert iterated(spark, reads, 13, 7, 2) == [whole] == contigs(spark, canonical_set(text, 13), 13)
+
+
+def test_nothing_gained_is_the_last_length(spark):
+    pieces = ["ACGGATTCAGCCTATGCA", "TTGACCGTAGGCATCCA"]
+    kmers = set().union(*(canonical_set(p, 11) for p in pieces))
+    assert iterated(spark, kmers, 11, 9) == contigs(spark, kmers, 11) == sorted(min(p, rc(p)) for p in pieces)
+    assert iterated(spark, [], 11, 9) == []
+    with pytest.raises(ValueError):
+        assembly.iterated_unitigs(spark.createDataFrame([], "seq string"), 5, 7)
+
+
 def test_cycle_is_cut(spark):
     ring = "ACGGATTCAGC"
     kmers = canonical_set(ring + ring[:6], 7)
