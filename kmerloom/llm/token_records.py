@@ -12,12 +12,13 @@ the CRC rotated right by 15 bits plus a constant, so that a checksum stored insi
 The offset index is a Parquet table ``(shard, ordinal, doc_id, offset, n_bytes, n_tokens)``: any reader can shuffle the
 records by shuffling the index and seeking.
 
-Shards are range-partitioned by key, so that shard order, then record order, is ascending key order. A shard is written
+Shards are range-partitioned by key, so that shard order, then record order, is ascending key order; there are as many as
+the texts' bytes ask for, ``SHARD_BYTES`` each, and a key on very many rows goes over several. A shard is written
 under a name of its own for each task attempt and renamed at its end; only shards of successful attempts are in the
 index, so that lost executors and repeated attempts leave nothing that a reader sees.
 
-Defined cases: a null text is empty; null keys come first and are read back as null; every 64-bit key is kept exactly; rows that repeat a key come in the order of their texts; texts of any
-length are one record; an empty table writes no shards, and index, records and layout are empty; other columns are not
+Defined cases: a null text is empty; null keys come first and are read back as null; every 64-bit key is kept exactly; rows that repeat a key come in the order of their texts' first ``PREFIX`` letters, then
+of hashes of the texts; texts of any length are one record; an empty table writes no shards, and index, records and layout are empty; other columns are not
 read, whatever their names.
 """
 
@@ -38,6 +39,8 @@ from pyspark.sql import types as T
 
 from . import common
 
+SHARD_BYTES = 128 << 20
+PREFIX = 64
 MASK_DELTA = 0xA282EAD8
 HEAD = struct.Struct("<QI")
 META = struct.Struct("<qIB")
@@ -143,12 +146,20 @@ class WordEncoder:
 def ordered_documents(docs: DataFrame, n_shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, text)`` range-partitioned and sorted by key, null keys first.
 
-    Rows with equal keys are ordered by their texts, so that repeated rows have a defined place. Texts are shuffled
-    rather than ids: they are smaller, and the sampling for the ranges then needs no tokenizer.
+    Rows with equal keys are ordered by the beginnings and hashes of their texts, so that repeated rows have a defined
+    place; a last key, which orders nothing that differs, lets ranges part rows that are all equal. Texts are shuffled rather
+    than ids: they are smaller, and the sampling for the ranges then needs no tokenizer.
     """
     picked = docs.select(common.column(key).cast("long").alias("doc_id"), common.column(text).cast("string").alias("text"))
-    order = F.col("doc_id").asc_nulls_first()
-    return picked.repartitionByRange(n_shards, order).sortWithinPartitions(order, "text")
+    picked = picked.withColumn("spread", F.monotonically_increasing_id())
+    order = [F.col("doc_id").asc_nulls_first(), F.substring("text", 1, PREFIX).asc_nulls_first(), F.xxhash64("text")]
+    return picked.repartitionByRange(n_shards, *order, "spread").sortWithinPartitions(*order).drop("spread")
+
+
+def shards_for(docs: DataFrame, shard_bytes: int = SHARD_BYTES, least: int = 8) -> int:
+    """Shards for the bytes of the texts."""
+    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    return max(least, -(-total // shard_bytes))
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -270,8 +281,7 @@ def op9_token_records(spark: SparkSession, sf_dir: str, tokenizer_path: str | No
     """Every document's place, length and checksum, as read back from the record files."""
     docs = common.read_table(spark, sf_dir, "documents")
     path = common.scratch(spark, "records")
-    shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    tokens = encode_documents(ordered_documents(docs, shards), tokenizer_path or default_tokenizer(), end_id=1)
+    tokens = encode_documents(ordered_documents(docs, shards_for(docs, least=max(8, spark.sparkContext.defaultParallelism))), tokenizer_path or default_tokenizer(), end_id=1)
     index = write_records(tokens, path)
     records = read_records(spark, path, index)
     return token_layout(records).select("doc_id", "start", F.col("n_tokens").cast(T.LongType()), "ids_crc32")
