@@ -7,7 +7,7 @@ copies and count once. Subtrees on ``MIN_PAGES`` pages, however many the host ha
 Elements that are never article text go first: navigation, forms, scripts, adverts, notices, reader comments, and what is
 not shown, by tag, attribute, or the words of a class, id or role. Of the rest a page's main part is read, chosen by how
 much text it holds: its largest article, its main element where that has more text beside its articles, or its body
-where paragraphs outside of both have twice the article's text. Articles inside the chosen part that are not it (cards,
+where paragraphs outside of both have over four times its text and 200 letters more. Articles inside the chosen part that are not it (cards,
 comments) are left out.
 
 An article is read whole. Elsewhere recurring subtrees are deleted, by their place: the smallest element with half of the
@@ -39,6 +39,7 @@ from . import common
 
 MIN_PAGES = 5
 BROADCAST_ROWS = 200_000
+OUTSIDE_TIMES, OUTSIDE_LETTERS = 4, 200
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -79,6 +80,8 @@ STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 CASES = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])|[-_]+")
+#: A slash that closes a tag, and not the end of a bare value.
+CLOSED = re.compile(r"(?:^|[\s\"'])/$")
 SIZE = re.compile(r"\d+(?:x\d+)?")
 NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -127,7 +130,7 @@ def parse(html: str) -> list[Node]:
         node = Node(tag, m[3].strip(), len(nodes))
         nodes.append(node)
         stack[-1].children.append(node)
-        if tag in VOID or node.attributes.endswith("/") and tag not in BLOCKS:
+        if tag in VOID or CLOSED.search(node.attributes) and tag not in BLOCKS:
             continue
         if tag in RAW:
             close = re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(html, at)
@@ -262,7 +265,7 @@ def main_part(nodes: list[Node], sums: _Sums) -> Node:
     if best is None or not sums.all[best.number]:
         return nodes[0]
     outside = sums.prose[0] - (sums.prose[main.number] if main else 0)
-    return nodes[0] if outside > 2 * max(own, sums.all[main.number] if main else 0) else best
+    return nodes[0] if outside > OUTSIDE_TIMES * max(own, sums.all[main.number] if main else 0) + OUTSIDE_LETTERS else best
 
 
 def template_parts(nodes: list[Node], part: Node, gone: set[int], sums: _Sums) -> set[int]:

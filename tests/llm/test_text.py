@@ -264,7 +264,8 @@ MAIN_PARTS = {
     "<article><p>The long main article</p></article><article><p>card</p></article>": "The long main article",
     "<article><p>The long main article</p><article><p>a comment</p></article></article>": "The long main article",
     "<article><article><p>inner</p></article></article>": "inner",
-    "<div id=content><p>long text of the page, in its body</p></div><article>teaser</article>": "long text of the page, in its body",
+    f"<div id=content><p>{'long text ' * 40}</p></div><article>teaser</article>": ("long text " * 40).strip(),
+    "<div><p>a notice of more letters</p></div><article>short</article>": "short",
     "<nav><p>much more text in a menu than elsewhere</p></nav><p>body</p>": "body",
     "<main></main><p>beside an empty main</p>": "beside an empty main",
 }
@@ -332,6 +333,7 @@ def test_stray_quotes_are_letters():
     assert text_of("<p title=it's>one</p><p>it's two</p>") == "one\nit's two"
     assert text_of("<a href='x>y'>t</a> <b class=\"un>closed</b>") == "t closed"  # an unclosed value ends with its tag
     assert text_of("a < b </ c> d") == "a < b d"
+    assert text_of("<p><a href=/>one</a> <b />two</p>") == "one two"
 
 
 def test_deep_and_long_pages():
