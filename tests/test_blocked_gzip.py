@@ -63,7 +63,7 @@ def test_damaged_blocks_are_refused(tmp_path):
     while at < len(data):
         starts.append(at)
         at += source.block_length(data[at : at + 256])
-    for k in starts[1:-1:3]:
+    for k in starts[1:-3:3]:
         # Marks, lengths, and contents.
         for place in (0, 2, 13, 16, 30, 200):
             bad = bytearray(data)
@@ -74,9 +74,8 @@ def test_damaged_blocks_are_refused(tmp_path):
                     read(tmp_path / "a.gz", split)
     for cut in (10, 40, 1000):
         (tmp_path / "a.gz").write_bytes(data[:-cut])
-        if cut != 28:
-            with pytest.raises(ValueError):
-                read(tmp_path / "a.gz", 1000)
+        with pytest.raises(ValueError):
+            read(tmp_path / "a.gz", 1000)
 
 
 def test_one_large_file_is_many_tasks(spark, tmp_path):
@@ -86,7 +85,7 @@ def test_one_large_file_is_many_tasks(spark, tmp_path):
     (tmp_path / "females" / "s1_1.fq.gz").write_bytes(blocked(text, 60_000))
     (tmp_path / "females" / "s2_1.fq.gz").write_bytes(gzip.compress(fastq(50, 2)[1]))
     paths = [f"file:{tmp_path}/females/s{k}_1.fq.gz" for k in (1, 2)]
-    df = source.read_blocked_fastq(spark, paths, split_bytes=1 << 20)
+    df = source.read_blocked_fastq(spark, paths, split_bytes=1 << 19)
     plain = read_fastq(spark, paths)
     assert df.rdd.getNumPartitions() >= 9 and df.columns == plain.columns
     rows = [sorted((r["grp"], r["sample"], r["seq"]) for r in x.collect()) for x in (df, plain)]

@@ -22,6 +22,15 @@ def values(df):
 
 
 def test_readers_of_a_store_shuffle_nothing(spark, tmp_path):
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _compare(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+
+
+def _compare(spark, tmp_path):
     table, _ = stored(spark, tmp_path)
     plain = spark.createDataFrame(ROWS, SCHEMA)
     samples = [f"s{s}" for s in range(6)]
