@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from . import common
 
-SHARD_BYTES = 128 << 20
+SHARD_BYTES = 64 << 20
 PREFIX = 64
 MASK_DELTA = 0xA282EAD8
 HEAD = struct.Struct("<QI")
