@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import parsing, sequences, signatures, statistics
+from ..functions import parsing, sequences, signatures, sql, statistics
 from ..operators import assembly, counting, lookup, matrix, presence, report, superkmers
 from ..sources import count_store, manifest
 from ..sources.reads import document_reads
@@ -307,6 +307,20 @@ def _fisher_query(alternative: str):
 for _alternative in statistics.ALTERNATIVES:
     _fisher_query(_alternative)
 
+@query(f"WITH {_counts()}, {_presence()}, {_fisher('two')} SELECT kmer, a, b, c, d, {_LN} FROM presence JOIN tests USING (a, b, c, d)")
+def fisher_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``fisher_two_sided``, in one SQL statement with the library's functions."""
+    sql.register_fisher(spark)
+    sql.register_kmers(spark)
+    n1, n2 = _sizes(document_reads(spark, sf_dir))
+    return spark.sql(
+        f"""WITH counts AS (SELECT sample, grp, kmer, sum(cnt) AS cnt FROM kmers(TABLE(SELECT sample, grp, seq FROM {{reads}}), {K}) GROUP BY sample, grp, kmer HAVING sum(cnt) >= {MIN_COUNT}),
+        presence AS (SELECT kmer, count_if(grp = 1) AS a, {n1} - count_if(grp = 1) AS b, count_if(grp = 2) AS c, {n2} - count_if(grp = 2) AS d FROM counts GROUP BY kmer)
+        SELECT kmer, a, b, c, d, round(ln(fisher_exact(a, b, c, d)), 6) + 0.0D AS ln_p FROM presence""",
+        reads=_reads(spark, sf_dir),
+    )
+
+
 _SIGNIFICANT = f"{_counts()}, {_presence()}, {_fisher('two')}, significant AS (SELECT kmer, a, b, c, d, pval FROM presence JOIN tests USING (a, b, c, d) WHERE pval < {P_CUT})"
 
 
