@@ -170,8 +170,9 @@ def kmer_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_counts(27)} SELECT sample, kmer, cnt FROM counts")
 def kmer_count_k27(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The usual length, at which tables grow with the reads."""
-    return _sample_counts(spark, sf_dir, 27).select("sample", _kmer(27), "cnt")
+    """The usual length, at which tables grow with the reads; one row per k-mer and piece of a batch is shuffled."""
+    counts = counting.packed_counts(_reads(spark, sf_dir, 27), 27).where(F.col("cnt") >= MIN_COUNT)
+    return counts.select("sample", _kmer(27), "cnt")
 
 
 @query(f"WITH {_counts(27)} SELECT sample, kmer, cnt FROM counts")

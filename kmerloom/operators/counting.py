@@ -15,6 +15,10 @@ from ..functions.superkmers import MAX_PAIR
 from .superkmers import pair_text, superkmer_counts
 
 
+#: From this length on few k-mers repeat within a batch, and stretches of reads are smaller than their k-mers.
+STRETCH_K = 16
+
+
 def kmers(reads: DataFrame, k: int, both_strands: bool = True) -> DataFrame:
     """One row per valid window of each read; ``both_strands``: canonical k-mers."""
     valid = windows(reads, k).where(is_valid(F.col("kmer")))
@@ -52,6 +56,8 @@ def count_kmers(
             counts = pairs.select(*keys, pair_text(k).alias("kmer"), "cnt")
         else:
             counts = kmers(reads, k, both_strands).groupBy(*keys, "kmer").agg(F.count("*").alias("cnt"))
+    elif k >= STRETCH_K:
+        counts = superkmer_counts(reads, k, 1 if times != 1 else min_count, keys, both_strands)
     else:
         counts = packed_counts(reads, k, keys, both_strands)
     if times != 1:
