@@ -143,7 +143,7 @@ def _analysed(spark: SparkSession, files: DataFrame, counts: DataFrame, out: str
 def write_averages(spark: SparkSession, table: str, path: str) -> None:
     """``field<TAB>mean`` of an annotated table's fields from the seventh on, means in six digits."""
     lines = spark.read.text(table)
-    means = matrix.field_means(lines, header=matrix.header_of(lines))
+    means = matrix.field_means(lines, header=reads.table_header(spark, table))
     means = means.orderBy("field").select("field", six_digits("avg").alias("avg"))
     means.write.option("sep", "\t").csv(path)
 
@@ -160,7 +160,7 @@ def run_matrix(spark: SparkSession, path: str, n1: int, out: str, settings: Sett
     Writes ``significant`` (p, cells and each line as it was, with the header brought up to date) and ``averages``.
     """
     lines = spark.read.text(path)
-    header = matrix.header_of(lines)
+    header = reads.table_header(spark, path)
     tables = matrix.line_tables(lines, n1, settings.cmin1, settings.cmin2, header)
     found = presence.significant(tables, settings.p_cut, settings.alternative, printed=settings.legacy)
     digits = found.select("pval").distinct().withColumn("p6", six_digits("pval"))
@@ -171,4 +171,4 @@ def run_matrix(spark: SparkSession, path: str, n1: int, out: str, settings: Sett
     )
     reads.write_tsv(wide, f"{out}/significant")
     write_averages(spark, f"{out}/significant", f"{out}/averages")
-    return {"significant": spark.read.option("sep", "\t").option("header", "true").csv(f"{out}/significant").count()}
+    return {"significant": reads.read_tsv(spark, f"{out}/significant").count()}

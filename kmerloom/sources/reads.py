@@ -46,8 +46,28 @@ def document_reads(spark: SparkSession, sf_dir: str, deal: bool = False, joined:
 
 
 def write_tsv(df: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Tab-separated files with a header, in the order of the rows' partitions."""
-    df.write.option("sep", "\t").option("header", "true").option("compression", compression).csv(path)
+    """Tab-separated files in the order of the rows' partitions, with one header: the first file by name holds it alone.
+
+    The files one after another, also compressed, are the whole table in order: ``cat part-*`` is one gzip file.
+    """
+    cells = [F.coalesce(F.col("`" + c.replace("`", "``") + "`").cast("string"), F.lit("")) for c in df.columns]
+    header = df.sparkSession.createDataFrame([("\t".join(df.columns),)], "value string").coalesce(1)
+    # A union keeps the order of partitions, and parts are numbered by it.
+    header.union(df.select(F.concat_ws("\t", *cells).alias("value"))).write.option("compression", compression).text(path)
+
+
+def table_header(spark: SparkSession, path: str) -> str:
+    """The first line of the first file by name of a tab-separated table."""
+    files = sorted(spark.read.text(path).inputFiles())
+    first = spark.read.text(files[0]).first() if files else None
+    return "" if first is None else first["value"] or ""
+
+
+def read_tsv(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``write_tsv`` as columns of strings; lines equal to the header are no rows."""
+    header = table_header(spark, path)
+    cells = F.split("value", "\t", -1)
+    return spark.read.text(path).where(F.col("value") != header).select(*[F.get(cells, F.lit(i)).alias(name) for i, name in enumerate(header.split("\t"))])
 
 
 def write_fasta(records: DataFrame, path: str, compression: str = "gzip") -> None:

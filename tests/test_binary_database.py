@@ -4,8 +4,9 @@ import struct
 import pytest
 
 from kmerloom.jobs.association import Settings, run_association, run_databases
-from kmerloom.operators import counting, matrix
+from kmerloom.operators import counting
 from kmerloom.sources import binary_database as db
+from kmerloom.sources.reads import table_header
 
 
 def number(text):
@@ -223,4 +224,4 @@ def test_the_job_from_databases_is_the_job_from_reads(spark, tmp_path):
         assert first == second
     with pytest.raises(ValueError, match="not 12"):
         run_databases(spark, str(tmp_path / "dbs"), str(tmp_path / "x"), Settings(k=12))
-    assert matrix.header_of(spark.read.text(str(tmp_path / "out" / "matrix"))).startswith("kmer\tfemale-0")
+    assert table_header(spark, str(tmp_path / "out" / "matrix")).startswith("kmer\tfemale-0")

@@ -5,6 +5,7 @@ import pytest
 from kmerloom.jobs import association
 from kmerloom.operators.counting import count_kmers
 from kmerloom.sources.database import KmerDatabase, save_database
+from kmerloom.sources.reads import read_tsv
 
 SHARED, OWN = "ACGGATTCAGCCTATG", "TTGACCAGTACGGATA"
 
@@ -24,7 +25,7 @@ def test_association(spark, cohort, tmp_path):
     out = str(tmp_path / "out")
     found = association.run_association(spark, cohort, out, association.Settings(k=9))
     assert found["n1"] == found["n2"] == 5 and found["significant"] == len(OWN) - 8
-    rows = spark.read.option("sep", "\t").option("header", "true").csv(f"{out}/significant").collect()
+    rows = read_tsv(spark, f"{out}/significant").collect()
     assert {(r["pval"], r["grp1_high"], r["grp2_low"]) for r in rows} == {("0.00793651", "5", "5")}
     contigs = [r["value"] for r in spark.read.text(f"{out}/contigs").collect() if r["value"][0] != ">"]
     rc = OWN[::-1].translate(str.maketrans("ACGT", "TGCA"))
@@ -32,7 +33,7 @@ def test_association(spark, cohort, tmp_path):
     assert {(r["female-S0"], r["male-S4"]) for r in rows} == {("2", "0")}
     means = sorted(tuple(r) for r in spark.read.option("sep", "\t").csv(f"{out}/averages").collect())
     assert means == sorted((str(7 + i), "2") for i in range(5))
-    wide = spark.read.option("sep", "\t").option("header", "true").csv(f"{out}/matrix").collect()
+    wide = read_tsv(spark, f"{out}/matrix").collect()
     assert len(wide) == found["tested"] and {r["male-S0"] for r in wide} == {"0", "2"}
     with pytest.raises(ValueError):
         association.run_association(spark, str(tmp_path / "out" / "top"), str(tmp_path / "none"))
@@ -44,7 +45,7 @@ def test_association(spark, cohort, tmp_path):
 def test_legacy_and_full_tables(spark, cohort, tmp_path):
     out = str(tmp_path / "out")
     found = association.run_association(spark, cohort, out, association.legacy_settings(k=9, full_table=True, matrix=False))
-    full = spark.read.option("sep", "\t").option("header", "true").csv(f"{out}/full").collect()
+    full = read_tsv(spark, f"{out}/full").collect()
     assert len(full) == found["tested"] and {r["male-S0"] for r in full} == {"1", "2"}
     assert found["significant"] == len(OWN) - 8
 

@@ -2,6 +2,7 @@ import gzip
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from kmerloom import storage
@@ -61,7 +62,7 @@ def test_tsv_and_fasta(spark, tmp_path):
     reads.write_fasta(df, str(tmp_path / "fa"), "none")
     assert [r["value"] for r in spark.read.text(str(tmp_path / "fa")).collect()] == [">kmer1_pval_0.1", "ACG"]
     reads.write_tsv(df, str(tmp_path / "tsv"))
-    assert spark.read.option("sep", "\t").option("header", "true").csv(str(tmp_path / "tsv")).first()["seq"] == "ACG"
+    assert reads.read_tsv(spark, str(tmp_path / "tsv")).first()["seq"] == "ACG"
 
 
 def test_stream_adds_new_samples(spark, tmp_path):
@@ -112,3 +113,16 @@ def test_document_reads_leave_out_nulls(spark, tmp_path):
     df.write.parquet(str(tmp_path / "documents.parquet"))
     rows = reads.document_reads(spark, str(tmp_path)).select("read_id", "seq").collect()
     assert [tuple(r) for r in rows] == [(1, "ACNG")]
+
+
+def test_parts_of_a_table_are_one_file_in_order(spark, tmp_path):
+    """The compressed parts one after another are one gzip file: a header, and the rows in their order."""
+    import gzip
+
+    df = spark.range(0, 5000, 1, 7).select((5000 - F.col("id")).alias("n"), F.when(F.col("id") % 3 != 0, F.concat(F.lit("x"), F.col("id"))).alias("s.t"))
+    reads.write_tsv(df.repartitionByRange(5, "n").sortWithinPartitions("n"), path := str(tmp_path / "table"))
+    parts = sorted(p for p in (tmp_path / "table").iterdir() if p.name.startswith("part-"))
+    assert len(parts) > 2
+    lines = gzip.decompress(b"".join(p.read_bytes() for p in parts)).decode().splitlines()
+    assert lines == ["n\ts.t", *[f"{n}\t{'' if (5000 - n) % 3 == 0 else f'x{5000 - n}'}" for n in range(1, 5001)]]
+    assert reads.table_header(spark, path) == "n\ts.t" and reads.read_tsv(spark, path).count() == 5000
