@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,14 +46,31 @@ def legacy_settings(**changes) -> Settings:
     return Settings(**({"cmin1": 2, "cmin2": 1, "alternative": "point", "legacy": True} | changes))
 
 
+@dataclass
+class Steps:
+    """Rows and seconds of a job's steps; rows are counted while they are written."""
+
+    done: list[tuple[str, int, float]] = field(default_factory=list)
+
+    def write(self, name: str, df: DataFrame, save: Callable[[DataFrame], None]) -> int:
+        seen, began = Observation(name), time.time()
+        save(df.observe(seen, F.count(F.lit(1)).alias("n")))
+        self.done.append((name, seen.get.get("n", 0), round(time.time() - began, 3)))
+        return self.done[-1][1]
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """``(step, rows, seconds)`` as JSON lines, in the order of the steps."""
+        spark.createDataFrame(self.done, "step string, rows long, seconds double").coalesce(1).write.json(path)
+
+
 def _counts_schema(k: int) -> str:
     return f"grp int, kmer {'long' if k <= MAX_K else 'string'}, cnt long, sample string"
 
 
-def count_table(spark: SparkSession, read_table: DataFrame, out: str, settings: Settings) -> DataFrame:
+def count_table(spark: SparkSession, read_table: DataFrame, out: str, settings: Settings, steps: Steps | None = None) -> DataFrame:
     """Counts of all samples, written once: every later step reads this table. k-mers are packed where they fit."""
     counts = counting.count_kmers(read_table, settings.k, settings.min_count, settings.count_cap, keys=("sample", "grp"), packed=settings.k <= MAX_K)
-    counts.write.partitionBy("sample").parquet(f"{out}/counts")
+    (steps or Steps()).write("counts", counts, lambda df: df.write.partitionBy("sample").parquet(f"{out}/counts"))
     return open_counts(spark, out, settings.k)
 
 
@@ -63,12 +82,11 @@ def _text(k: int):
     return (counting.kmer_text("kmer", k) if k <= MAX_K else F.col("kmer")).alias("kmer")
 
 
-def _write_annotated(rows: DataFrame, counts: DataFrame, samples: list[str], missing: int, k: int, path: str, order: str) -> None:
+def _annotated(rows: DataFrame, counts: DataFrame, samples: list[str], missing: int, k: int, order: str) -> DataFrame:
     """The table of p, the four cells, the k-mer and every sample's count, with its header."""
     wide = report.annotated(rows, counts, samples, missing)
     cells = [F.col(c).alias(name) for c, name in zip(("p6", *report.CELLS), HEADER, strict=True)]
-    wide = wide.orderBy(order).select(*cells, _text(k), *[F.col("counts")[i].alias(s) for i, s in enumerate(samples)])
-    reads.write_tsv(wide, path)
+    return wide.orderBy(order).select(*cells, _text(k), *[F.col("counts")[i].alias(s) for i, s in enumerate(samples)])
 
 
 def run_association(spark: SparkSession, root: str, out: str, settings: Settings = Settings()) -> dict[str, int]:
@@ -85,8 +103,9 @@ def run_association(spark: SparkSession, root: str, out: str, settings: Settings
     paths = sorted(r["path"] for r in files.select("path").distinct().collect())
     if not paths:
         raise ValueError(f"{root} has no read files")
-    counts = count_table(spark, read_blocked_fastq(spark, paths), out, settings)
-    return _analysed(spark, files, counts, out, settings)
+    steps = Steps()
+    counts = count_table(spark, read_blocked_fastq(spark, paths), out, settings, steps)
+    return _analysed(spark, files, counts, out, settings, steps)
 
 
 def run_databases(spark: SparkSession, root: str, out: str, settings: Settings = Settings()) -> dict[str, int]:
@@ -104,40 +123,43 @@ def run_databases(spark: SparkSession, root: str, out: str, settings: Settings =
     listed = binary_database.read_databases(spark, named)
     kmer = packed(F.col("kmer"), settings.k) if settings.k <= MAX_K else F.col("kmer")
     grp = F.when(F.col("sample").startswith("female"), 1).otherwise(2)
-    listed.select("sample", grp.alias("grp"), kmer.alias("kmer"), "cnt").write.partitionBy("sample").parquet(f"{out}/counts")
-    return _analysed(spark, files, open_counts(spark, out, settings.k), out, settings)
+    steps = Steps()
+    steps.write("counts", listed.select("sample", grp.alias("grp"), kmer.alias("kmer"), "cnt"), lambda df: df.write.partitionBy("sample").parquet(f"{out}/counts"))
+    return _analysed(spark, files, open_counts(spark, out, settings.k), out, settings, steps)
 
 
-def _analysed(spark: SparkSession, files: DataFrame, counts: DataFrame, out: str, settings: Settings) -> dict[str, int]:
-    """What follows the count table: matrix, tests, ranking, tables and contigs."""
+def _analysed(spark: SparkSession, files: DataFrame, counts: DataFrame, out: str, settings: Settings, steps: Steps) -> dict[str, int]:
+    """What follows the count table: matrix, tests, ranking, tables, contigs, and ``steps``, rows and seconds of each."""
     samples = manifest.sample_order(files)
     sizes = {r["grp"]: r["n"] for r in files.groupBy("grp").agg(F.countDistinct("sample").alias("n")).collect()}
     n1, n2 = sizes.get(1, 0), sizes.get(2, 0)
     missing = 1 if settings.legacy else 0
     if settings.matrix:
-        export_matrix(spark, out, samples, missing, settings.k)
+        steps.write("matrix", _matrix(spark, out, samples, missing, settings.k), lambda df: reads.write_tsv(df, f"{out}/matrix"))
     tables = presence.presence(counts, n1, n2, settings.cmin1, settings.cmin2, missing=missing)
-    seen = Observation("tested")
-    with_fisher(tables, settings.alternative).observe(seen, F.count("*").alias("n")).write.parquet(f"{out}/tested")
+    n_tested = steps.write("tested", with_fisher(tables, settings.alternative), lambda df: df.write.parquet(f"{out}/tested"))
     tested = spark.read.parquet(f"{out}/tested")
     # p-values are few: each is formatted once.
     digits = tested.select("pval").distinct().withColumn("p6", six_digits("pval"))
     if settings.full_table:
-        _write_annotated(tested.join(digits, "pval"), counts, samples, missing, settings.k, f"{out}/full", "kmer")
+        full = _annotated(tested.join(digits, "pval"), counts, samples, missing, settings.k, "kmer")
+        steps.write("full", full, lambda df: reads.write_tsv(df, f"{out}/full"))
     if settings.legacy:
         found = tested.join(digits.where(F.col("p6").cast("double") <= settings.p_cut).drop("p6"), "pval")
     else:
         found = tested.where(F.col("pval") < settings.p_cut)
-    report.ranked(found).select("rank", "pval", "p6", *report.CELLS, "kmer").write.parquet(f"{out}/ranked")
+    n_found = steps.write("ranked", report.ranked(found).select("rank", "pval", "p6", *report.CELLS, "kmer"), lambda df: df.write.parquet(f"{out}/ranked"))
     ranked = spark.read.parquet(f"{out}/ranked")
-    _write_annotated(ranked, counts, samples, missing, settings.k, f"{out}/significant", "rank")
+    steps.write("significant", _annotated(ranked, counts, samples, missing, settings.k, "rank"), lambda df: reads.write_tsv(df, f"{out}/significant"))
     reads.write_tsv(report.top_groups(ranked.withColumn("pval", F.col("p6").cast("double"))), f"{out}/top")
     write_averages(spark, f"{out}/significant", f"{out}/averages")
     text = ranked.withColumn("kmer", _text(settings.k))
-    reads.write_fasta(report.fasta_records(text).orderBy("rank"), f"{out}/fasta")
+    steps.write("fasta", report.fasta_records(text).orderBy("rank"), lambda df: reads.write_fasta(df, f"{out}/fasta"))
     contigs = assembly.iterated_unitigs(text.select(F.col("kmer").alias("seq")), settings.k, min(settings.min_k, settings.k))
-    reads.write_fasta(contigs.select(F.concat(F.lit("contig_"), F.xxhash64("seq")).alias("name"), "seq"), f"{out}/contigs")
-    return {"n1": n1, "n2": n2, "tested": seen.get["n"], "significant": ranked.count()}
+    named = contigs.select(F.concat(F.lit("contig_"), F.xxhash64("seq")).alias("name"), "seq")
+    steps.write("contigs", named, lambda df: reads.write_fasta(df, f"{out}/contigs"))
+    steps.save(spark, f"{out}/steps")
+    return {"n1": n1, "n2": n2, "tested": n_tested, "significant": n_found}
 
 
 def write_averages(spark: SparkSession, table: str, path: str) -> None:
@@ -148,10 +170,14 @@ def write_averages(spark: SparkSession, table: str, path: str) -> None:
     means.write.option("sep", "\t").csv(path)
 
 
+def _matrix(spark: SparkSession, out: str, samples: list[str], missing: int, k: int) -> DataFrame:
+    wide = matrix.count_arrays(open_counts(spark, out, k), samples, missing).orderBy("kmer")
+    return wide.select(_text(k), *[F.col("counts")[i].alias(s) for i, s in enumerate(samples)])
+
+
 def export_matrix(spark: SparkSession, out: str, samples: list[str], missing: int = 0, k: int = 27) -> None:
     """The wide matrix of a finished count table as TSV in k-mer order; wide tables are for export only."""
-    wide = matrix.count_arrays(open_counts(spark, out, k), samples, missing).orderBy("kmer")
-    reads.write_tsv(wide.select(_text(k), *[F.col("counts")[i].alias(s) for i, s in enumerate(samples)]), f"{out}/matrix")
+    reads.write_tsv(_matrix(spark, out, samples, missing, k), f"{out}/matrix")
 
 
 def run_matrix(spark: SparkSession, path: str, n1: int, out: str, settings: Settings = Settings()) -> dict[str, int]:

@@ -146,7 +146,7 @@ def test_lengths_bridge_gaps(spark):
     text = "ACGGATTCAGCCTATGCAATCGTTGAC"
     cut = [text[i : i + 15] for i in range(len(text) - 14) if not 4 <= i <= 8]
     assert contigs(spark, [min(w, rc(w)) for w in cut], 15) == sorted(min(x, rc(x)) for x in (text[:18], text[9:]))
-    assert iterated(spark, [rc(w) for w in cut] + cut + [None, "NNN", ""], 15, 7, 3) == [min(text, rc(text))]
+    assert iterated(spark, [rc(w) for w in cut] + cut + [None, "NNN", ""], 15, 7, 8) == [min(text, rc(text))]
 
 
 def test_lengths_part_repeats(spark):
@@ -156,13 +156,13 @@ def test_lengths_part_repeats(spark):
     whole = min(text, rc(text))
     assert len(contigs(spark, canonical_set(text, 7), 7)) > 1
     reads = [text[i : i + 13] for i in range(len(text) - 12)]
-    assert iterated(spark, reads, 13, 7, 2) == [whole] == contigs(spark, canonical_set(text, 13), 13)
+    assert iterated(spark, reads, 13, 7, 3) == [whole] == contigs(spark, canonical_set(text, 13), 13)
 
 
 def test_nothing_gained_is_the_last_length(spark):
     pieces = ["ACGGATTCAGCCTATGCA", "TTGACCGTAGGCATCCA"]
     kmers = set().union(*(canonical_set(p, 11) for p in pieces))
-    assert iterated(spark, kmers, 11, 9) == contigs(spark, kmers, 11) == sorted(min(p, rc(p)) for p in pieces)
+    assert iterated(spark, kmers, 11, 10) == contigs(spark, kmers, 11) == sorted(min(p, rc(p)) for p in pieces)
     assert iterated(spark, [], 11, 9) == []
     with pytest.raises(ValueError):
         assembly.iterated_unitigs(spark.createDataFrame([], "seq string"), 5, 7)

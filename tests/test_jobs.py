@@ -35,6 +35,9 @@ def test_association(spark, cohort, tmp_path):
     assert means == sorted((str(7 + i), "2") for i in range(5))
     wide = read_tsv(spark, f"{out}/matrix").collect()
     assert len(wide) == found["tested"] and {r["male-S0"] for r in wide} == {"0", "2"}
+    steps = {r["step"]: r for r in spark.read.json(f"{out}/steps").collect()}
+    assert [steps[x]["rows"] for x in ("matrix", "tested", "ranked", "significant", "fasta", "contigs")] == [found["tested"], found["tested"], *[found["significant"]] * 3, 1]
+    assert steps["counts"]["rows"] == spark.read.parquet(f"{out}/counts").count() and all(r["seconds"] > 0 for r in steps.values())
     with pytest.raises(ValueError):
         association.run_association(spark, str(tmp_path / "out" / "top"), str(tmp_path / "none"))
     again = str(tmp_path / "again")
