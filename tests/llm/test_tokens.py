@@ -69,6 +69,25 @@ def test_keys_stay_exact(spark, docs):
     assert [r["doc_id"] for r in found] == keys
 
 
+def test_one_key_goes_over_several_shards(spark, docs):
+    """One doc_id and one text on nearly all rows: no shard has them all, and places still add up."""
+    df = docs([(7, "the same words", None, None, 1)] * 900 + [(7, f"text {k}", None, None, 1) for k in range(30)] + [(3, "first", None, None, 1), (9, None, None, None, 1)]).repartition(6)
+    ordered = token_records.ordered_documents(df, 6)
+    sizes = [r["count"] for r in ordered.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 3 and max(sizes) < 500
+    path = common.scratch(spark, "records")
+    index = token_records.write_records(token_records.encode_documents(ordered, token_records.default_tokenizer(), 1), path)
+    rows = token_records.token_layout(token_records.read_records(spark, path, index)).orderBy("start").collect()
+    assert [r["doc_id"] for r in rows] == [3, *[7] * 930, 9]
+    at = 0
+    for r in rows:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    texts = df.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert [token_records.shards_for(df, n, 1) for n in (1 << 20, 1000)] == [1, -(-texts // 1000)]
+    assert token_records.shards_for(df.where("false")) == 8
+
+
 def test_no_records(spark, docs):
     path = common.scratch(spark, "records")
     index = token_records.write_records(token_records.encode_documents(token_records.ordered_documents(docs([]), 2), token_records.default_tokenizer(), 1), path)
