@@ -26,7 +26,8 @@ class Settings:
 
     ``legacy``: missing counts as 1, point probabilities, and a cut on the printed p-value that is included. ``matrix``:
     also write the matrix of all counts. ``full_table``: also write the annotated table of all k-mers. ``min_k``: contigs by
-    lengths from this one to k; of k alone where k is not above it.
+    lengths from this one to k; of k alone where k is not above it. ``bins``: parts of a sample's k-mers that are counted on
+    their own; at 4,096 a sample of 14 billion bases has some 3 million k-mers in each.
     """
 
     k: int = 27
@@ -40,6 +41,7 @@ class Settings:
     matrix: bool = True
     full_table: bool = False
     min_k: int = 17
+    bins: int = 4096
 
 
 def legacy_settings(**changes) -> Settings:
@@ -69,7 +71,7 @@ def _counts_schema(k: int) -> str:
 
 def count_table(spark: SparkSession, read_table: DataFrame, out: str, settings: Settings, steps: Steps | None = None) -> DataFrame:
     """Counts of all samples, written once: every later step reads this table. k-mers are packed where they fit."""
-    counts = counting.count_kmers(read_table, settings.k, settings.min_count, settings.count_cap, keys=("sample", "grp"), packed=settings.k <= MAX_K)
+    counts = counting.count_kmers(read_table, settings.k, settings.min_count, settings.count_cap, keys=("sample", "grp"), packed=settings.k <= MAX_K, bins=settings.bins)
     (steps or Steps()).write("counts", counts, lambda df: df.write.partitionBy("sample").parquet(f"{out}/counts"))
     return open_counts(spark, out, settings.k)
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.packing import MAX_K, counted_batches
 from ..functions.sequences import canonical, is_valid, unpacked, windows
 from ..functions.superkmers import MAX_PAIR
-from .superkmers import pair_text, superkmer_counts
+from .superkmers import BINS, pair_text, superkmer_counts
 
 
 #: From this length on few k-mers repeat within a batch, and stretches of reads are smaller than their k-mers.
@@ -40,24 +40,25 @@ def packed_counts(reads: DataFrame, k: int, keys: tuple[str, ...] = ("sample",),
 
 
 def count_kmers(
-    reads: DataFrame, k: int, min_count: int = 2, count_cap: int | None = None, keys: tuple[str, ...] = ("sample",), both_strands: bool = True, packed: bool = False, times: int = 1
+    reads: DataFrame, k: int, min_count: int = 2, count_cap: int | None = None, keys: tuple[str, ...] = ("sample",), both_strands: bool = True, packed: bool = False, times: int = 1, bins: int = BINS
 ) -> DataFrame:
     """k-mers of each sample with at least ``min_count`` occurrences over all its reads; counts stop at ``count_cap``.
 
     ``times`` counts each read as often as that (2 is the low-coverage mode, in which k-mers seen once stay). ``packed``
     leaves k-mers as longs, for all that only compares them; ``unpacked`` brings them back. k-mers of 32 to 63 bases are
-    counted as two numbers and come as strings, longer ones are strings throughout. Null and short reads have no k-mers; repeated reads count each; an empty table gives none.
+    counted as two numbers and come as strings, longer ones are strings throughout. ``bins``: see ``superkmer_counts``; more
+    of them suit larger samples. Null and short reads have no k-mers; repeated reads count each; an empty table gives none.
     """
     if k > MAX_K:
         if packed:
             raise ValueError(f"k = {k} does not fit a signed 64-bit integer")
         if k <= MAX_PAIR:
-            pairs = superkmer_counts(reads, k, 1 if times != 1 else min_count, keys, both_strands)
+            pairs = superkmer_counts(reads, k, 1 if times != 1 else min_count, keys, both_strands, bins=bins)
             counts = pairs.select(*keys, pair_text(k).alias("kmer"), "cnt")
         else:
             counts = kmers(reads, k, both_strands).groupBy(*keys, "kmer").agg(F.count("*").alias("cnt"))
     elif k >= STRETCH_K:
-        counts = superkmer_counts(reads, k, 1 if times != 1 else min_count, keys, both_strands)
+        counts = superkmer_counts(reads, k, 1 if times != 1 else min_count, keys, both_strands, bins=bins)
     else:
         counts = packed_counts(reads, k, keys, both_strands)
     if times != 1:
