@@ -28,7 +28,7 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,7 @@ from pyspark.sql import types as T
 from . import common
 
 SHARD_BYTES = 64 << 20
+MEMO_BYTES = 192 << 20
 PREFIX = 64
 MASK_DELTA = 0xA282EAD8
 HEAD = struct.Struct("<QI")
@@ -89,58 +90,46 @@ class WordEncoder:
     """Encodes whole texts with a word-level BPE file of the tokenizers library and remembers the words it has met.
 
     The file's pre-tokenizer never joins characters across ASCII white space, so a text's ids are those of its
-    white-space-delimited words in order. A word is encoded once by the library; its ids are then taken from a bounded
-    memo. Words of plain Latin letters go straight to the library's BPE model: for these the file's normalizer is
+    white-space-delimited words in order. A word is encoded by the library; its ids are then taken from a memo of
+    ``memo_bytes`` at most, whatever the words. Words of plain Latin letters go straight to the library's BPE model: for these the file's normalizer is
     lower-casing and its byte-level step is a fixed byte-to-character map. All other words take the library's full path.
     """
 
     PLAIN = re.compile("([A-Za-zß-öø-ÿÀ-ÖØ-Þ]*)([.,!?;:*#$%&|()]*)")
 
-    def __init__(self, path: str, memo: int = 600_000) -> None:
+    def __init__(self, path: str, memo_bytes: int = MEMO_BYTES) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.memo_size = memo
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words = common.Memo(self._word, memo_bytes // 2)
+        self.parts = common.Memo(self._part, memo_bytes // 2)
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(printable)]
         self.byte_chars = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
     def pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
+        return b"".join([i.to_bytes(self.width, "little") for i in ids])
 
     def _part(self, part: str) -> bytes:
-        if (got := self.parts.get(part)) is None:
-            chars = part.encode().decode("latin-1").translate(self.byte_chars)
-            got = self.parts[part] = self.pack([t.id for t in self.model.tokenize(chars)])
-        return got
+        chars = part.encode().decode("latin-1").translate(self.byte_chars)
+        return self.pack([t.id for t in self.model.tokenize(chars)])
 
     def _word(self, word: str) -> bytes:
+        if not word:
+            return b""
         if m := self.PLAIN.fullmatch(word):
             letters, marks = m.groups()
-            return (self._part(letters.lower()) if letters else b"") + (self._part(marks) if marks else b"")
+            return (self.parts[letters.lower()] if letters else b"") + (self.parts[marks] if marks else b"")
         return self.pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     SPACE = re.compile("[\t-\r ]+")
 
     def encode(self, text: str) -> bytes:
         """The packed ids of a whole text."""
-        words = self.words
         split = text.split() if text.isascii() and not re.search("[\x1c-\x1f]", text) else self.SPACE.split(text)
-        try:
-            return b"".join(map(words.__getitem__, split))
-        except KeyError:
-            if len(words) > self.memo_size:
-                words.clear()
-            if len(self.parts) > self.memo_size:
-                self.parts.clear()
-            for w in split:
-                if w not in words:
-                    words[w] = self._word(w) if w else b""
-            return b"".join(map(words.__getitem__, split))
+        return b"".join(map(self.words.__getitem__, split))
 
 
 def ordered_documents(docs: DataFrame, n_shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -162,11 +151,7 @@ def shards_for(docs: DataFrame, shard_bytes: int = SHARD_BYTES, least: int = 8)
     return max(least, -(-total // shard_bytes))
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """``(doc_id, width, ids)`` of ``(doc_id, text)``: the packed ids of every whole text with ``end_id`` after each.
-
-    A null text is empty. The order within partitions stays.
-    """
+def _encoding(tokenizer_path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("doc_id", pa.int64()), ("width", pa.int32()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +163,15 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataF
                 ids = [encoder.encode(t or "") + end for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([encoder.width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, width int, ids binary")
+    return run
+
+
+def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+    """``(doc_id, width, ids)`` of ``(doc_id, text)``: the packed ids of every whole text with ``end_id`` after each.
+
+    A null text is empty. The order within partitions stays.
+    """
+    return docs.select("doc_id", "text").mapInArrow(_encoding(tokenizer_path, end_id), "doc_id long, width int, ids binary")
 
 
 def write_records(tokens: DataFrame, path: str) -> DataFrame:
@@ -186,7 +179,15 @@ def write_records(tokens: DataFrame, path: str) -> DataFrame:
 
     Records keep the order of partitions and rows. An empty table writes no shards and an empty index. ``path`` is a URI in storage that all executors share.
     """
+    return _write(tokens.select("doc_id", "width", "ids"), path)
 
+
+def write_documents(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -> DataFrame:
+    """What ``write_records`` makes of ``encode_documents``, by one Python worker a task instead of two."""
+    return _write(docs.select("doc_id", "text"), path, _encoding(tokenizer_path, end_id))
+
+
+def _write(rows: DataFrame, path: str, encode: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = iter) -> DataFrame:
     schema = pa.schema([("shard", pa.string()), ("shard_no", pa.int32()), ("ordinal", pa.int32()), ("doc_id", pa.int64()), ("offset", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +197,7 @@ def write_records(tokens: DataFrame, path: str) -> DataFrame:
         store, base = file_store(path)
         name = f"shard-{no:06d}-{uuid.uuid4().hex}.rec"
         out, at, ordinal = None, 0, 0
-        for batch in batches:
+        for batch in encode(batches):
             if out is None:
                 store.create_dir(base, recursive=True)
                 out = store.open_output_stream(f"{base}/_{name}")
@@ -218,9 +219,9 @@ def write_records(tokens: DataFrame, path: str) -> DataFrame:
             out.close()
             store.move(f"{base}/_{name}", f"{base}/{name}")
 
-    spark = tokens.sparkSession
+    spark = rows.sparkSession
     # The index is written at once: its rows name the shards of the attempts that succeeded.
-    tokens.select("doc_id", "width", "ids").mapInArrow(write, INDEX_SCHEMA).write.parquet(f"{path}-index")
+    rows.mapInArrow(write, INDEX_SCHEMA).write.parquet(f"{path}-index")
     return spark.read.schema(INDEX_SCHEMA).parquet(f"{path}-index")
 
 
@@ -281,7 +282,7 @@ def op9_token_records(spark: SparkSession, sf_dir: str, tokenizer_path: str | No
     """Every document's place, length and checksum, as read back from the record files."""
     docs = common.read_table(spark, sf_dir, "documents")
     path = common.scratch(spark, "records")
-    tokens = encode_documents(ordered_documents(docs, shards_for(docs, least=max(8, spark.sparkContext.defaultParallelism))), tokenizer_path or default_tokenizer(), end_id=1)
-    index = write_records(tokens, path)
+    ordered = ordered_documents(docs, shards_for(docs, least=max(8, spark.sparkContext.defaultParallelism)))
+    index = write_documents(ordered, tokenizer_path or default_tokenizer(), 1, path)
     records = read_records(spark, path, index)
     return token_layout(records).select("doc_id", "start", F.col("n_tokens").cast(T.LongType()), "ids_crc32")

@@ -1,5 +1,6 @@
 import random
 import zlib
+from sys import getsizeof
 
 import numpy as np
 import pyarrow.fs as fs
@@ -25,6 +26,35 @@ def test_words_encode_as_the_library_does():
         assert np.frombuffer(own.encode(t), "<u2").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_memo_is_bounded_by_bytes():
+    """Long words, and one text with very many words, keep to the memo's bytes; the ids stay the library's."""
+    from tokenizers import Tokenizer
+
+    path = token_records.default_tokenizer()
+    library, own = Tokenizer.from_file(path), token_records.WordEncoder(path, memo_bytes=200_000)
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("abcdeé1", k=n)) for _ in range(words)) for n, words in ((2000, 200), (8, 6000), (5, 10))]
+    for t in texts:
+        assert np.frombuffer(own.encode(t), "<u2").tolist() == library.encode(t, add_special_tokens=False).ids
+        assert sum(getsizeof(k) + getsizeof(v) for memo in (own.words, own.parts) for k, v in memo.items()) <= 200_000
+    assert own.words and own.parts
+
+
+def test_documents_are_written_by_one_worker(spark, docs):
+    """One pass writes what encoding and writing one after the other do; each task of the query's writing has one Python worker."""
+    df = docs([(k % 5, t, None, None, 1) for k, t in enumerate(TEXTS)])
+    ordered, path = token_records.ordered_documents(df, 3), token_records.default_tokenizer()
+    folders = [common.scratch(spark, "records") for _ in range(2)]
+    indexes = [token_records.write_documents(ordered, path, 1, folders[0]), token_records.write_records(token_records.encode_documents(ordered, path, 1), folders[1])]
+    place = ["shard_no", "ordinal"]
+    one, two = [i.drop("shard").orderBy(place).collect() for i in indexes]
+    assert one == two and len(one) == len(TEXTS)
+    one, two = [token_records.read_records(spark, f, i).orderBy(place).collect() for f, i in zip(folders, indexes, strict=True)]
+    assert one == two
+    empty = token_records.write_documents(token_records.ordered_documents(docs([]), 2), path, 1, common.scratch(spark, "records"))
+    assert empty.count() == 0
+
+
 def test_frames():
     ids = np.array([1, 2, 70000], "<u4").tobytes()
     data = token_records.frame(5, ids, 4) + token_records.frame(None, b"", 2)
