@@ -15,7 +15,8 @@ front, as the model file asks; a U+2581 that the text itself holds becomes bytes
 exactly (the library reads it as white space).
 
 No piece of such a model goes on past a word: where U+2581 follows another character, a piece ends. Texts are therefore
-cut there, and a word's ids are kept in a bounded memo. A model with pieces across words is read text by text.
+cut there, and a word's ids are kept in a memo of bounded bytes, large enough for the words of a task of common size, so that
+a word is segmented once. A model with pieces across words is read text by text.
 
 Defined cases: a null text has no ids and decodes to null; an empty text has no ids; repeated rows are encoded alike; a
 very long text is read whole; other columns are not read, whatever their names, except that ``decode_ids`` replaces a
@@ -25,6 +26,7 @@ column ``text``; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +41,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 FIRST = 1 << 19
 BPE = 2
+MEMO_BYTES = 144 << 20
 
 
 def model_type(path: str) -> int:
@@ -54,13 +57,13 @@ def model_type(path: str) -> int:
 class PieceModel:
     """The pieces of a model file, and encoding and decoding by them."""
 
-    def __init__(self, path: str, memo: int = 200_000) -> None:
+    def __init__(self, path: str, memo_bytes: int = MEMO_BYTES, follow_most: int = 400_000) -> None:
         import ahocorasick
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
-        self.memo_size, self.memo = memo, {}
+        self.memo, self.follow_most = common.Memo(self._packed, memo_bytes), follow_most
         self.byte_ids = [0] * 256
         self.single: set[str] = set()
         self.bytes_of: list[bytes] = [b""] * n
@@ -135,7 +138,7 @@ class PieceModel:
     def _segment_merging(self, text: str) -> list[int]:
         """As ``segment``, for BPE models: the last piece of each prefix is the one that may follow."""
         last, lengths, memo = [FIRST] + [0] * len(text), self.lengths, self.follow_memo
-        if len(memo) > 2 * self.memo_size:
+        if len(memo) > self.follow_most:
             memo.clear()
         done = 0
         for at, (length, piece, _) in self.automaton.iter(text):
@@ -246,21 +249,10 @@ class PieceModel:
     def _ids(self, text: str) -> np.ndarray:
         if self.words is None:
             return np.array(self.segment(text), np.int32)
-        memo, words = self.memo, self.words.findall(text)
-        try:
-            found = b"".join(map(memo.__getitem__, words))
-        except KeyError:
-            if len(memo) > self.memo_size:
-                memo.clear()
-            for w in words:
-                if w not in memo:
-                    ids = np.array(self.segment(w), "<i4").tobytes()
-                    if len(w) > 64:
-                        # Very long words are not kept; this text is put together without the memo.
-                        return np.concatenate([np.array(self.segment(x), np.int32) for x in words])
-                    memo[w] = ids
-            found = b"".join(map(memo.__getitem__, words))
-        return np.frombuffer(found, "<i4")
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, self.words.findall(text))), "<i4")
+
+    def _packed(self, text: str) -> bytes:
+        return struct.pack(f"<{len(ids := self.segment(text))}i", *ids)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""

@@ -197,6 +197,22 @@ def test_merged_pieces():
         assert model.decode(model.encode(t).tolist()) == t
 
 
+def test_words_are_segmented_once():
+    """A task's words fit the memo; what doesn't fit a small one is segmented anew, within its bytes."""
+    from sentencepiece import SentencePieceProcessor
+
+    path = sentencepieces.default_model()
+    model, small, library = sentencepieces.PieceModel(path), sentencepieces.PieceModel(path, 10_000), SentencePieceProcessor(model_file=path)
+    text = " ".join(f"the{k}" for k in range(210_000))
+    first, asked, segment = model.encode(text).tolist(), [], model.segment
+    model.segment = lambda t: asked.append(t) or segment(t)
+    assert model.encode(text).tolist() == model.encode(text + " more").tolist()[:-1] == first
+    assert len(asked) == 1
+    for t in [text[:3000], "a" * 5000, *some_texts(100)]:
+        assert small.encode(t).tolist() == library.encode(t)
+        assert sum(getsizeof(k) + getsizeof(v) for k, v in small.memo.items()) <= 10_000
+
+
 def test_op8_query(spark, sf):
     from sentencepiece import SentencePieceProcessor
 
