@@ -183,7 +183,7 @@ def kmer_count_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_counts(33)} SELECT sample, kmer, cnt FROM counts")
 def kmer_count_k33(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k-mers that no longer fit a number."""
-    return counting.count_kmers(_reads(spark, sf_dir, 33), 33, MIN_COUNT)
+    return counting.count_kmers(_reads(spark, sf_dir, 33), 33, MIN_COUNT, keys=("sample", "grp")).select("sample", "kmer", "cnt")
 
 
 @query(f"WITH {_counts()}, twice AS (SELECT sample, kmer FROM counts UNION ALL SELECT sample, kmer FROM counts WHERE cnt >= 100) SELECT sample, kmer, count(*) AS n FROM twice GROUP BY ALL HAVING count(*) > 1")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.packing import MAX_K
-from ..functions.sequences import BASES, unpacked
+from ..functions.sequences import unpacked
 from ..functions.superkmers import LOW, MAX_PAIR, counted_stretches, cut_batches
 from ..storage import written
 
@@ -75,6 +75,7 @@ def superkmer_counts(reads: DataFrame, k: int, min_count: int = 1, keys: tuple[s
 
 def pair_text(k: int, high: str = "high", low: str = "low") -> Column:
     """A k-mer of two numbers as text."""
-    last = F.conv(F.col(low).bitwiseXOR(F.lit(-(1 << 63))).cast("string"), 10, 4)
-    text = F.translate(F.lpad(last, LOW, "0"), "0123", BASES)
-    return F.concat(unpacked(F.col(high), k - LOW), text) if k > LOW else text
+    # In halves: as one signed number, 2^63 has no counterpart that ``conv`` could turn back.
+    bits, half = F.col(low).bitwiseXOR(F.lit(-(1 << 63))), LOW // 2
+    text = [unpacked(F.shiftrightunsigned(bits, 2 * half), half), unpacked(bits.bitwiseAND(F.lit((1 << 2 * half) - 1)), half)]
+    return F.concat(*([unpacked(F.col(high), k - LOW)] if k > LOW else []), *text)

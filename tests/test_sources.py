@@ -91,6 +91,18 @@ def test_queries_match_sql(spark, sf, name):
     assert len(a) == len(b) and (a == b).all().all()
 
 
+def test_k33_keeps_groups_apart(spark, tmp_path):
+    """Languages and sources with dashes may give samples of both groups one name; a k-mer may end in a G and 31 A."""
+    text = "ac" + "a" * 31
+    rows = [(1, text, "en", "a-b"), (2, text, "en-a", "b"), (3, text, "fr", "b"), (4, f"{text[:9]} {text[9:]}.", "fr", "b")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(path := str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{path}/*.parquet'")
+    want = sorted(con.sql(f"select sample, kmer, cnt from ({__spark_entry__.oracle_sql()['kmer_count_k33']})").fetchall())
+    got = sorted(tuple(r) for r in __spark_entry__.queries()["kmer_count_k33"](spark, str(tmp_path)).select("sample", "kmer", "cnt").collect())
+    assert got == want == [("fr-b", "AG" + "A" * 31, 2)]
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
 

@@ -106,6 +106,18 @@ def test_kmers_of_two_numbers(spark, k, both):
     assert {(r["sample"], r["grp"], r["kmer"]): r["cnt"] for r in counted.collect()} == brute(rows, k, 2, both)
 
 
+@pytest.mark.parametrize("k", [32, 33, 63])
+def test_last_bases_of_every_sign(spark, k):
+    """The last 32 bases as a number: 0, 2^63 - 1, 2^63, 2^64 - 1 and their neighbours."""
+    lasts = ["A" * 32, "A" * 31 + "C", "C" + "T" * 31, "G" + "A" * 31, "G" + "A" * 30 + "C", "T" * 31 + "G", "T" * 32]
+    rows = [("s", 1, "ACG" * 10 + "A" + last) for last in lasts]
+    rows = [(s, g, seq[-k:]) for s, g, seq in rows]
+    df = spark.createDataFrame(rows, "sample string, grp int, seq string")
+    for both in (True, False):
+        got = {(r["sample"], r["grp"], r["kmer"]): r["cnt"] for r in counting.count_kmers(df, k, 1, keys=("sample", "grp"), both_strands=both).collect()}
+        assert got == brute(rows, k, 1, both)
+
+
 def test_one_signature_for_all_reads(spark):
     """Reads of one letter have one bin; it is dealt over several tasks and still counted whole."""
     df = spark.createDataFrame([("s", "A" * 200)] * 500 + [("s", "ACGT" * 50)] * 20, "sample string, seq string").repartition(8)
