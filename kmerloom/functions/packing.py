@@ -136,10 +136,10 @@ def counted_batches(batches: Iterator[pa.RecordBatch], k: int, both_strands: boo
             yield flush()
 
 
-def placed_batches(batches: Iterator[pa.RecordBatch], k: int, both_strands: bool) -> Iterator[pa.RecordBatch]:
+def placed_batches(batches: Iterator[pa.RecordBatch], k: int, both_strands: bool, null: bool = False) -> Iterator[pa.RecordBatch]:
     """``(key, pos, kmer)`` of batches ``(key, seq)``: one row per window.
 
-    Windows with other symbols get negative numbers, which differ, so that no join meets them as one key.
+    Windows with other symbols get negative numbers, which differ, so that no join meets them as one key, or ``null``.
     """
     for batch in batches:
         key, seq = batch.columns
@@ -150,5 +150,7 @@ def placed_batches(batches: Iterator[pa.RecordBatch], k: int, both_strands: bool
             for at in range(start, end - k + 1, CHUNK):
                 values, ok = packed_windows(data[at : min(end, at + CHUNK + k - 1)], k, both_strands)
                 pos = np.arange(at - start, at - start + len(values), dtype=np.int64)
-                values[~ok] = -1 - pos[~ok]
-                yield pa.RecordBatch.from_arrays([key.take(pa.array(np.full(len(values), r))), pa.array(pos.astype(np.int32)), pa.array(values)], names=names)
+                if not null:
+                    values[~ok] = -1 - pos[~ok]
+                kmer = pa.array(values, mask=~ok if null else None)
+                yield pa.RecordBatch.from_arrays([key.take(pa.array(np.full(len(values), r))), pa.array(pos.astype(np.int32)), kmer], names=names)

@@ -464,7 +464,7 @@ def kmer_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def read_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     reads = _reads(spark, sf_dir)
-    db = counting.union_sum(_sample_counts(spark, sf_dir, 11).where("grp = 1"), 1 << 62)
+    db = counting.union_sum(counting.count_kmers(reads.where("grp = 1"), 11, MIN_COUNT, keys=("sample", "grp"), packed=True), 1 << 62)
     return lookup.counters(reads, db, 11).groupBy("read_id").agg(F.count("*").alias("n_pos"), F.sum("cnt").alias("total"), F.max("cnt").alias("highest"), F.count_if(F.col("cnt") == 0).alias("n_absent"), F.sum(F.col("cnt") * (F.col("pos") % 1000)).alias("by_place"))
 
 

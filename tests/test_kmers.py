@@ -41,6 +41,29 @@ def test_counters_along_reads(spark):
     assert len(got) == len(long) - 32 and got[16:49] == [0] * 33 and min(got[:16] + got[49:]) > 0
 
 
+@pytest.mark.parametrize(("k", "both"), [(4, False), (11, True), (11, False), (12, True)])
+def test_counters_of_short_kmers_shuffle_no_windows(spark, k, both):
+    rng = random.Random(k)
+    base = "".join(rng.choices("ACGT", k=300))
+    rows = [(i, base[rng.randint(0, 250) :][: rng.randint(0, 90)] + rng.choice(["", "N", "nnnACGTTGCA", "N" * 40])) for i in range(40)] + [(90, None), (91, "N" * 30), (92, base), (92, rc(base))]
+    db = {}
+    for i in range(0, 300 - k, 2):
+        db[min(w := base[i : i + k], rc(w)) if both else base[i : i + k]] = i + 1
+    want = Counter((i, at, 0 if "N" in (w := seq[at : at + k].upper()) else db.get(min(w, rc(w)) if both else w, 0)) for i, seq in rows for at in range(len(seq or "") - k + 1))
+    table = spark.createDataFrame(list(db.items()), "kmer string, cnt long")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = lookup.counters(reads(spark, rows), table, k, both)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = Counter((r["read_id"], r["pos"], r["cnt"]) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == want
+    # No more than 4^11 k-mers are sent to every task, whatever their table's size; longer ones meet in a shuffle.
+    assert ("BroadcastHashJoin" in plan and "hashpartitioning" not in plan) == (k <= lookup.TABLE_K)
+
+
 def test_windows_of_long_reads_cross_pieces(spark):
     text = "ACGTTGCA" * 200
     rows = sequences.windows(spark.createDataFrame([(text,)], "seq string"), 9).orderBy("pos").collect()
